@@ -230,6 +230,13 @@ def clean_orders(df: DataFrame, params: Params = Params()) -> DataFrame:
     return with_time_features(cap_outliers(df, params))
 
 
+def price_cap_summary(df: DataFrame, params: Params = Params()) -> DataFrame:
+    """Upper price limit of each category and how many orders exceeded it."""
+    return _cleaned(df, params).groupBy("category").agg(
+        F.max(_UPPER).alias("upper_price"), F.count_if("_too_dear").alias("capped_orders")
+    )
+
+
 def null_profile(df: DataFrame, params: Params = Params()) -> DataFrame:
     """Null cells over all columns before and after imputation."""
     return _cleaned(df, params).agg(

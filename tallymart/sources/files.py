@@ -12,6 +12,7 @@ from tallymart.params import Params
 from tallymart.sources.schema import CLEAN_SCHEMA, RAW_TEXT_SCHEMA
 
 TIMESTAMP = "yyyy-MM-dd HH:mm:ss"
+MONTH_SLICES = 64
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_TEXT_SCHEMA) -> DataFrame:
@@ -36,19 +37,25 @@ def write_csv(df: DataFrame, path: str) -> None:
     ).csv(path)
 
 
-def write_orders(df: DataFrame, path: str) -> None:
-    """Write orders as Parquet in month folders, so that date filters skip whole months.
+def _by_month(df: DataFrame) -> DataFrame:
+    """Spread rows by month for writing.
 
-    Rows are spread by month and a slice of the order id before writing: without the slice a
-    month that holds a third of all orders would be written by one task.
+    Without the slice of the order id, a month that holds a third of all orders would be
+    written by one task.
     """
-    slices = F.pmod(F.xxhash64("order_id"), F.lit(64))
-    (
-        df.repartition("year_month", slices)
-        .write.mode("overwrite")
-        .partitionBy("year_month")
-        .parquet(path)
-    )
+    slices = F.pmod(F.xxhash64("order_id"), F.lit(MONTH_SLICES))
+    return df.repartition("year_month", slices)
+
+
+def write_orders(df: DataFrame, path: str) -> None:
+    """Write orders as Parquet in month folders, so that date filters skip whole months."""
+    _by_month(df).write.mode("overwrite").partitionBy("year_month").parquet(path)
+
+
+def insert_orders(df: DataFrame, table: str) -> None:
+    """Append orders with calendar columns to a table made by ``create_order_table``."""
+    names = df.sparkSession.table(table).columns
+    _by_month(df).select(*names).write.insertInto(table)
 
 
 def read_orders(spark: SparkSession, path: str) -> DataFrame:
@@ -57,9 +64,14 @@ def read_orders(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CLEAN_SCHEMA).parquet(path).select(*names)
 
 
-def load_orders(spark: SparkSession, path: str, params: Params = Params()):
-    """All cleaned orders from CSV with calendar columns derived anew, and the completed ones."""
-    orders = with_time_features(read_csv(spark, path, CLEAN_SCHEMA))
+def load_orders(
+    spark: SparkSession,
+    path: str,
+    params: Params = Params(),
+    schema: T.StructType = CLEAN_SCHEMA,
+) -> tuple[DataFrame, DataFrame]:
+    """All stored orders from CSV with calendar columns derived anew, and the completed ones."""
+    orders = with_time_features(read_csv(spark, path, schema))
     return orders, completed(orders, params)
 
 
