@@ -52,6 +52,20 @@ def rnd(x: str, digits: int) -> str:
     return f"round(({x}) + sign({x}) * 1e-7, {digits})"
 
 
+def quantile(values: str, p: float) -> str:
+    """Linear interpolation in a sorted list, in the order of operations the engine uses."""
+    at = f"((len({values}) - 1) * {p}::DOUBLE)"
+    low, high = f"{values}[floor({at})::INT + 1]", f"{values}[ceil({at})::INT + 1]"
+    return (
+        f"CASE WHEN {low} = {high} THEN {low} "
+        f"ELSE (ceil({at}) - {at}) * {low} + ({at} - floor({at})) * {high} END"
+    )
+
+
+def sorted_list(column: str) -> str:
+    return f"list({column}::DOUBLE ORDER BY {column}) FILTER ({column} IS NOT NULL)"
+
+
 def done(select: str) -> str:
     return f"WITH {DONE}\n{select}"
 
@@ -106,26 +120,29 @@ COLUMNS = (
 NULLS = " + ".join(f"({c} IS NULL)::INTEGER" for c in COLUMNS)
 
 IMPUTED = f"""med AS (
-  SELECT category AS mc, quantile_cont(unit_price, 0.5) AS m FROM uniq
-  WHERE category IS NOT NULL GROUP BY 1),
+  SELECT mc, {quantile("ps", 0.5)} AS m
+  FROM (SELECT category AS mc, {sorted_list("unit_price")} AS ps FROM uniq
+        WHERE category IS NOT NULL GROUP BY 1)),
+gmed AS (
+  SELECT {quantile("ps", 0.5)} AS gm FROM (SELECT {sorted_list("unit_price")} AS ps FROM uniq)),
 filled AS (
   SELECT uniq.* REPLACE (
-           coalesce(unit_price, m, (SELECT quantile_cont(unit_price, 0.5) FROM uniq)) AS unit_price,
+           coalesce(unit_price, m, gm) AS unit_price,
            coalesce(quantity, 1)::INTEGER AS quantity,
            coalesce(category, '{UNKNOWN}') AS category, coalesce(region, '{UNKNOWN}') AS region,
            coalesce(city, '{UNKNOWN}') AS city,
            coalesce(payment_method, '{UNKNOWN}') AS payment_method),
          {NULLS} AS nulls_before
-  FROM uniq LEFT JOIN med ON category = mc),
+  FROM uniq LEFT JOIN med ON category = mc CROSS JOIN gmed),
 imputed AS (
   SELECT * EXCLUDE (total) REPLACE ({rnd("total * (1 - least(greatest(discount_rate, 0), 1))", 2)}
            AS final_amount, total AS total_amount)
   FROM (SELECT *, {rnd("unit_price * quantity", 2)} AS total FROM filled))"""
 
 CAPPED = f"""lim AS (
-  SELECT category AS lc, quantile_cont(unit_price, 0.75) + (quantile_cont(unit_price, 0.75)
-         - quantile_cont(unit_price, 0.25)) * 3 AS upper_price
-  FROM imputed GROUP BY 1),
+  SELECT lc, q3 + (q3 - q1) * 3 AS upper_price
+  FROM (SELECT lc, {quantile("ps", 0.25)} AS q1, {quantile("ps", 0.75)} AS q3
+        FROM (SELECT category AS lc, {sorted_list("unit_price")} AS ps FROM imputed GROUP BY 1))),
 flagged AS (
   SELECT *, (quantity < 0) AS negative, (discount_rate > 1 OR discount_rate < 0) AS bad_discount,
          unit_price > upper_price AS too_dear, {NULLS} AS nulls_after
@@ -247,8 +264,8 @@ rfm AS (
 
 
 def _edges(metric: str) -> str:
-    levels = "[0.0, 0.2, 0.4, 0.6, 0.8, 1.0]"
-    return f"list_sort(list_distinct(quantile_cont({metric}::DOUBLE, {levels}))) AS {metric[0]}_edges"
+    levels = ", ".join(quantile(f"{metric}_list", i / 5) for i in range(6))
+    return f"list_distinct([{levels}]) AS {metric[0]}_edges"
 
 
 def _score(metric: str) -> str:
@@ -260,7 +277,9 @@ def _score(metric: str) -> str:
 
 
 SCORES = f"""edges AS (
-  SELECT {_edges("recency")}, {_edges("frequency")}, {_edges("monetary")} FROM rfm),
+  SELECT {_edges("recency")}, {_edges("frequency")}, {_edges("monetary")} FROM (
+    SELECT {sorted_list("recency")} AS recency_list, {sorted_list("frequency")} AS frequency_list,
+           {sorted_list("monetary")} AS monetary_list FROM rfm)),
 scored AS (
   SELECT rfm.*, (6 - {_score("recency")})::BIGINT AS recency_score,
          ({_score("frequency")})::BIGINT AS frequency_score,
@@ -566,9 +585,10 @@ prof AS (
          sum(monetary::DECIMAL(14,2))::DOUBLE / count(*) AS avg_monetary, count(*) AS count
   FROM rfm GROUP BY 1),
 high AS (
-  SELECT quantile_cont(avg_monetary, 0.7) AS m, quantile_cont(avg_frequency, 0.7) AS f,
-         quantile_cont(avg_recency, 0.7) AS r, quantile_cont(avg_frequency, 0.3) AS low_f
-  FROM prof)
+  SELECT {quantile("ms", 0.7)} AS m, {quantile("fs", 0.7)} AS f, {quantile("rs", 0.7)} AS r,
+         {quantile("fs", 0.3)} AS low_f
+  FROM (SELECT {sorted_list("avg_monetary")} AS ms, {sorted_list("avg_frequency")} AS fs,
+               {sorted_list("avg_recency")} AS rs FROM prof))
 SELECT prof.*, CASE WHEN avg_monetary > m THEN '{SEGMENT_HIGH_VALUE}'
   WHEN avg_frequency > f THEN '{SEGMENT_HIGH_FREQUENCY}'
   WHEN avg_recency > r THEN '{SEGMENT_CHURN_RISK}'
