@@ -7,124 +7,89 @@ so the whole grid runs in the JVM, spread over the cluster by series and paramet
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.functions.numeric import round_half_up
-from tallymart.operators.trends import daily_series, trend_ma7
+from tallymart.operators.trends import daily_totals, trend_ma7
 from tallymart.params import Params
 from tallymart.sources.staging import stage
 
 PENALTY = 2 * 3  # AIC term for three smoothing parameters
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Name an intermediate value inside a lambda, so that it is computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def _state(level: str, trend: str, seasonal: list[str], sse: str, fitted: str | None) -> str:
+    """Accumulator of the fold. Seasonal terms form a queue of plain fields, s0 the oldest."""
+    fields = {"level": level, "trend": trend}
+    fields |= {f"s{i}": term for i, term in enumerate(seasonal)}
+    fields["sse"] = sse
+    if fitted:
+        fields["fitted"] = fitted
+    return "named_struct(" + ", ".join(f"'{name}', {e}" for name, e in fields.items()) + ")"
 
 
-def _mean(values: Column, n: int) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda total, x: total + x) / n
+def _initial(season: int, keep_fitted: bool) -> str:
+    """State before the first update: averages of the first two seasons."""
+    first = [f"ys[{i}]" for i in range(season)]
+    second = [f"ys[{i}]" for i in range(season, 2 * season)]
+    level = f"(({' + '.join(first)}) / {season})"
+    trend = f"((({' + '.join(second)}) / {season} - {level}) / {season})"
+    seasonal = [f"({v} - {level})" for v in first]
+    fitted = [f"({level} + {trend} + {term})" for term in seasonal]
+    sse = " + ".join(f"({v} - {fit}) * ({v} - {fit})" for v, fit in zip(first, fitted))
+    return _state(level, trend, seasonal, sse, f"array({', '.join(fitted)})" if keep_fitted else None)
 
 
-def _initial(y: Column, season: int) -> Column:
-    """State before the first update: averages of the first two seasons."""
-    first = F.slice(y, 1, season)
-
-    def with_level(level: Column) -> Column:
-        trend = (_mean(F.slice(y, season + 1, season), season) - level) / season
-        seasonal = F.transform(first, lambda v: v - level)
-        fitted = F.transform(seasonal, lambda s: level + trend + s)
-        return F.struct(
-            level.alias("level"),
-            trend.alias("trend"),
-            seasonal.alias("seasonal"),
-            F.aggregate(
-                F.zip_with(first, fitted, lambda v, f: v - f),
-                F.lit(0.0),
-                lambda total, e: total + e * e,
-            ).alias("sse"),
-            fitted.alias("fitted"),
-        )
-
-    return _let(_mean(first, season), with_level)
-
-
-def _update(alpha: Column, beta: Column, gamma: Column, season: int, keep_fitted: bool):
-    """One step of the fold; the oldest seasonal term leads the queue, the newest ends it."""
-
-    def step(state: Column, y: Column) -> Column:
-        oldest = F.get(state["seasonal"], F.lit(0))
-
-        def with_level(level: Column) -> Column:
-            trend = beta * (level - state["level"]) + (1 - beta) * state["trend"]
-            seasonal = gamma * (y - level) + (1 - gamma) * oldest
-            return _let(
-                F.struct(trend.alias("t"), seasonal.alias("s")),
-                lambda new: with_fit(level, new["t"], new["s"]),
-            )
-
-        def with_fit(level: Column, trend: Column, seasonal: Column) -> Column:
-            return _let(
-                level + trend + seasonal, lambda fit: new_state(level, trend, seasonal, fit)
-            )
-
-        def new_state(level: Column, trend: Column, seasonal: Column, fit: Column) -> Column:
-            kept = F.concat(state["fitted"], F.array(fit)) if keep_fitted else state["fitted"]
-            queue = F.concat(F.slice(state["seasonal"], 2, season - 1), F.array(seasonal))
-            return F.struct(
-                level.alias("level"),
-                trend.alias("trend"),
-                queue.alias("seasonal"),
-                (state["sse"] + (y - fit) * (y - fit)).alias("sse"),
-                kept.alias("fitted"),
-            )
-
-        raised = alpha * (y - oldest) + (1 - alpha) * (state["level"] + state["trend"])
-        return _let(raised, with_level)
-
-    return step
-
-
-def _fit(y: Column, params: Params, keep_fitted: bool) -> Column:
-    """Final state of the recursion; null for a series shorter than two seasons."""
+def _fit(params: Params, keep_fitted: bool) -> Column:
+    """Final state of the recursion over ``ys``; null for a series shorter than two seasons.
+
+    Expects the columns ys, alpha, beta and gamma. Arithmetic is repeated where a lambda cannot
+    name an intermediate value; that is cheaper than wrapping it.
+    """
     season = params.season_length
-    step = _update(F.col("alpha"), F.col("beta"), F.col("gamma"), season, keep_fitted)
-    rest = F.slice(y, F.lit(season + 1), F.greatest(F.size(y) - season, F.lit(0)))
-    return F.when(
-        F.size(y) >= 2 * season, F.aggregate(rest, _initial(y, season), step)
+    level = "(alpha * (y - s.s0) + (1 - alpha) * (s.level + s.trend))"
+    trend = f"(beta * ({level} - s.level) + (1 - beta) * s.trend)"
+    newest = f"(gamma * (y - {level}) + (1 - gamma) * s.s0)"
+    fit = f"({level} + {trend} + {newest})"
+    queue = [f"s.s{i}" for i in range(1, season)] + [newest]
+    sse = f"s.sse + (y - {fit}) * (y - {fit})"
+    kept = f"concat(s.fitted, array({fit}))" if keep_fitted else None
+    update = _state(level, trend, queue, sse, kept)
+    rest = f"slice(ys, {season + 1}, size(ys) - {season})"
+    return F.expr(
+        f"CASE WHEN size(ys) >= {2 * season} THEN "
+        f"aggregate({rest}, {_initial(season, keep_fitted)}, (s, y) -> {update}) END"
     )
 
 
 def _series(df: DataFrame, keys: Sequence[str], params: Params) -> DataFrame:
     """One row per series: its days and values as arrays in date order."""
-    points = F.array_sort(F.collect_list(F.struct("ds", "y")))
+    day = F.struct(F.col("date").alias("ds"), F.col("total").cast("double").alias("y"))
     return (
-        daily_series(df, tuple(keys), params)
+        daily_totals(df, tuple(keys), params)
         .groupBy(*keys)
-        .agg(points.alias("points"))
+        .agg(F.array_sort(F.collect_list(day)).alias("points"))
         .filter(F.size("points") > 0)
         .select(*keys, F.col("points.ds").alias("days"), F.col("points.y").alias("ys"))
     )
 
 
 def _grid(series: DataFrame, keys: Sequence[str], params: Params) -> DataFrame:
-    sets = [
-        F.struct(
-            F.lit(a).alias("alpha"), F.lit(b).alias("beta"), F.lit(g).alias("gamma")
-        )
+    sets = ", ".join(
+        f"named_struct('alpha', {a}D, 'beta', {b}D, 'gamma', {g}D)"
         for a in params.alphas
         for b in params.betas
         for g in params.gammas
-    ]
+    )
     # The work is in the folds, not in the bytes, so the number of partitions is stated. Few
     # series spread their parameter sets as well; many series are spread by their keys alone.
     tasks = series.sparkSession.sparkContext.defaultParallelism
     many = bool(keys) and series.count() >= 4 * tasks
     source = series.repartition(tasks * 4, *keys) if many else series
-    rows = source.select(*keys, "ys", F.posexplode(F.array(*sets)).alias("set_no", "set"))
+    numbered = F.expr(f"posexplode(array({sets}))").alias("set_no", "set")
+    rows = source.select(*keys, "ys", numbered)
     rows = rows.select(*keys, "ys", "set_no", "set.*")
     return rows if many else rows.repartition(tasks, *keys, "set_no")
 
@@ -133,7 +98,7 @@ def _scored_grid(series: DataFrame, keys: Sequence[str], params: Params) -> Data
     n = F.size("ys")
     return (
         _grid(series, keys, params)
-        .withColumn("sse", _fit(F.col("ys"), params, keep_fitted=False)["sse"])
+        .withColumn("sse", _fit(params, keep_fitted=False)["sse"])
         .withColumn("aic", n * F.ln(F.col("sse") / n + F.lit(1e-10)) + PENALTY)
         .select(*keys, "set_no", "alpha", "beta", "gamma", "aic")
     )
@@ -160,38 +125,26 @@ def sales_forecast(df: DataFrame, keys: Sequence[str] = (), params: Params = Par
     best = _scored_grid(series, keys, params).groupBy(*keys).agg(chosen.alias("best"))
     together = series.join(best, keys, "left") if keys else series.crossJoin(F.broadcast(best))
     fitted = together.select(*keys, "days", "ys", "best.*")
-    fitted = fitted.withColumn("state", _fit(F.col("ys"), params, keep_fitted=True))
-
-    state = F.col("state")
-    horizon = F.sequence(F.lit(1), F.lit(params.forecast_days))
-    future = F.transform(
-        horizon,
-        lambda h: F.struct(
-            F.date_add(F.array_max("days"), h).alias("ds"),
-            F.lit(None).cast("double").alias("actual"),
-            F.when(
-                state.isNotNull(),
-                F.greatest(
-                    F.lit(0.0),
-                    state["level"]
-                    + h * state["trend"]
-                    + F.get(state["seasonal"], ((h - 1) % season).cast("int")),
-                ),
-            ).alias("predicted"),
-        ),
+    if keys:
+        # Stated for the same reason as above: a few long folds are little data but much work.
+        fitted = fitted.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
+    fitted = fitted.withColumn("state", _fit(params, keep_fitted=True))
+
+    queue = ", ".join(f"state.s{i}" for i in range(season))
+    ahead = f"state.level + h * state.trend + array({queue})[(h - 1) % {season}]"
+    past = F.expr(
+        "transform(ys, (y, i) -> named_struct('ds', days[i], 'actual', y, "
+        "'predicted', state.fitted[i]))"
     )
-    past = F.transform(
-        F.arrays_zip("days", "ys"),
-        lambda row, i: F.struct(
-            row["days"].alias("ds"),
-            row["ys"].alias("actual"),
-            F.get(state["fitted"], i).alias("predicted"),
-        ),
+    future = F.expr(
+        f"transform(sequence(1, {params.forecast_days}), h -> named_struct("
+        "'ds', date_add(array_max(days), h), 'actual', cast(null as double), "
+        f"'predicted', if(state is null, null, greatest(0D, {ahead}))))"
     )
-    return (
-        fitted.select(*keys, F.inline(F.concat(past, future)))
-        .withColumn("is_forecast", F.col("actual").isNull())
-        .orderBy(*keys, "ds")
+    # Rows leave each series in date order; a global sort would run the folds a second time to
+    # sample its ranges.
+    return fitted.select(*keys, F.inline(F.concat(past, future))).withColumn(
+        "is_forecast", F.col("actual").isNull()
     )
 
 

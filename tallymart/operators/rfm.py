@@ -27,11 +27,10 @@ METRICS = ("recency", "frequency", "monetary")
 SCORES = tuple(f"{m}_score" for m in METRICS)
 
 
-def rfm(df: DataFrame, params: Params = Params()) -> DataFrame:
-    """Days since the last order, number of orders, amount spent and first customer type.
+def _customer_types(df: DataFrame, params: Params) -> DataFrame:
+    """Stored totals per (customer, type), the one heavy pass over the orders.
 
-    The first type is that of the earliest order. Grouping by (customer, type) first keeps all
-    aggregates fixed-width, so the heavy pass is a hash aggregation.
+    Grouping by the type as well keeps all aggregates fixed-width, hence hash-aggregated.
     """
     typed = (
         completed(df, params)
@@ -44,7 +43,10 @@ def rfm(df: DataFrame, params: Params = Params()) -> DataFrame:
             F.max("order_date").alias("last"),
         )
     )
-    typed = stage(typed, "customer-types")
+    return stage(typed, "customer-types")
+
+
+def _rfm(typed: DataFrame) -> DataFrame:
     earliest = F.when(F.col("customer_type").isNotNull(), F.struct("first", "customer_type"))
     customers = typed.groupBy("customer_id").agg(
         F.max("last").alias("last"),
@@ -62,6 +64,14 @@ def rfm(df: DataFrame, params: Params = Params()) -> DataFrame:
     )
 
 
+def rfm(df: DataFrame, params: Params = Params()) -> DataFrame:
+    """Days since the last order, number of orders, amount spent and first customer type.
+
+    The first type is that of the earliest order.
+    """
+    return _rfm(_customer_types(df, params))
+
+
 def _bin(value: Column, edges: Column) -> Column:
     """1-based bin between distinct quantile edges; null when all edges coincide.
 
@@ -72,33 +82,40 @@ def _bin(value: Column, edges: Column) -> Column:
     return F.when(F.size(edges) > 1, F.greatest(F.lit(1), below)).cast("long")
 
 
-def rfm_scores(df: DataFrame, params: Params = Params()) -> DataFrame:
-    """RFM with quantile scores from 1 to 5; a recent customer gets the high recency score."""
-    customers = stage(rfm(df, params), "rfm")
+def _edges(customers: DataFrame, levels: list[float], small: bool) -> DataFrame:
+    """One row with the distinct quantile edges of each metric."""
+    if small:
+        at = F.array(*[F.lit(level) for level in levels])
+        return customers.agg(
+            *[
+                F.array_distinct(F.percentile(F.col(m).cast("double"), at)).alias(f"_edges_{m}")
+                for m in METRICS
+            ]
+        )
     pairs = [
         F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in METRICS
     ]
     counts = (
-        customers.select(F.inline(F.array(*pairs)))
+        stage(customers, "rfm")
+        .select(F.inline(F.array(*pairs)))
         .dropna(subset=["value"])
         .groupBy("metric", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    bins = params.score_bins
-    edges = weighted_quantiles(
-        counts,
-        ["metric"],
-        [i / bins for i in range(bins + 1)],
-        small=customers.count() <= params.single_task_rows,
-    )
-    # Three metrics, so always a single row of three short arrays.
-    one_row = edges.agg(
-        *[
-            F.max(F.when(F.col("metric") == m, F.array_distinct("quantiles"))).alias(f"_edges_{m}")
-            for m in METRICS
-        ]
+    edges = F.array_distinct("quantiles")
+    return weighted_quantiles(counts, ["metric"], levels).agg(
+        *[F.max(F.when(F.col("metric") == m, edges)).alias(f"_edges_{m}") for m in METRICS]
     )
-    scored = customers.crossJoin(F.broadcast(one_row)).withColumns(
+
+
+def rfm_scores(df: DataFrame, params: Params = Params()) -> DataFrame:
+    """RFM with quantile scores from 1 to 5; a recent customer gets the high recency score."""
+    typed = _customer_types(df, params)
+    customers = _rfm(typed)
+    bins = params.score_bins
+    levels = [i / bins for i in range(bins + 1)]
+    edges = _edges(customers, levels, small=typed.count() <= params.single_task_rows)
+    scored = customers.crossJoin(F.broadcast(edges)).withColumns(
         {f"{m}_score": _bin(F.col(m).cast("double"), F.col(f"_edges_{m}")) for m in METRICS}
     )
     recency = (F.lit(bins + 1) - F.col("recency_score")).cast("long")
@@ -202,7 +219,7 @@ def name_segments(profile: DataFrame) -> DataFrame:
 
 def cluster_customers(df: DataFrame, params: Params = Params()) -> DataFrame:
     """RFM scores of every customer with the cluster they fall into."""
-    scored = rfm_scores(df, params)
+    scored = stage(rfm_scores(df, params), "rfm-scores")
     clusters = score_clusters(scored, params)
     same = [F.coalesce(scored[s], F.lit(1)) == clusters[s] for s in SCORES]
     return scored.join(F.broadcast(clusters), same).select(scored["*"], clusters["cluster"])
