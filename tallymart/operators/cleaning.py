@@ -245,23 +245,18 @@ def null_profile(df: DataFrame, params: Params = Params()) -> DataFrame:
     )
 
 
-def clean_report(df: DataFrame, params: Params = Params()) -> DataFrame:
-    """One row that says what cleaning did."""
+def _report(raw: DataFrame, treated: DataFrame, params: Params) -> DataFrame:
     flags = ("_negative", "_bad_discount", "_too_dear")
     handled = sum((F.col(f).cast("int") for f in flags), F.lit(0))
     done = F.col("order_status") == params.completed_status
     # One row per customer carries all counters and the completed orders for the repeat rate.
-    customers = (
-        _cleaned(df, params)
-        .groupBy("customer_id")
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.sum("_nulls_before").alias("before"),
-            F.sum("_nulls_after").alias("after"),
-            F.sum(handled).alias("handled"),
-            F.count_if(done).alias("completed"),
-            F.count_if(done & F.col("order_id").isNotNull()).alias("orders"),
-        )
+    customers = treated.groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum("_nulls_before").alias("before"),
+        F.sum("_nulls_after").alias("after"),
+        F.sum(handled).alias("handled"),
+        F.count_if(done).alias("completed"),
+        F.count_if(done & F.col("order_id").isNotNull()).alias("orders"),
     )
     known = F.col("customer_id").isNotNull()
 
@@ -278,8 +273,8 @@ def clean_report(df: DataFrame, params: Params = Params()) -> DataFrame:
             1,
         ).alias("repurchase_rate"),
     )
-    raw = df.agg(F.count(F.lit(1)).alias("rows_before"))
-    return raw.crossJoin(F.broadcast(after)).select(
+    before = raw.agg(F.count(F.lit(1)).alias("rows_before"))
+    return before.crossJoin(F.broadcast(after)).select(
         "rows_before",
         "rows_after",
         (F.col("rows_before") - F.col("rows_after")).alias("duplicates_removed"),
@@ -287,3 +282,16 @@ def clean_report(df: DataFrame, params: Params = Params()) -> DataFrame:
         "outliers_handled",
         "repurchase_rate",
     )
+
+
+def clean_with_report(df: DataFrame, params: Params = Params()) -> tuple[DataFrame, DataFrame]:
+    """Clean orders and the one-row report on them, from a single deduplication."""
+    columns = [c for c in ORDER_COLUMNS if c in df.columns]
+    treated = _cleaned(df, params)
+    orders = with_time_features(_typed_amounts(treated).select(*columns))
+    return orders, _report(df, treated, params)
+
+
+def clean_report(df: DataFrame, params: Params = Params()) -> DataFrame:
+    """One row that says what cleaning did."""
+    return clean_with_report(df, params)[1]

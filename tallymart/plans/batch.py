@@ -37,11 +37,10 @@ def run(spark: SparkSession, raw: DataFrame, folder: str, params: Params = Param
     Reading the written table back cuts the lineage: a lost executor re-reads month folders
     instead of repeating the cleaning, and each metric scans only its own columns.
     """
-    files.write_orders(cleaning.clean_orders(raw, params), f"{folder}/orders")
-    orders = files.read_orders(spark, f"{folder}/orders")
-
-    report = cleaning.clean_report(raw, params)
+    clean, report = cleaning.clean_with_report(raw, params)
+    files.write_orders(clean, f"{folder}/orders")
     files.write_report(report, f"{folder}/cleaning_report")
+    orders = files.read_orders(spark, f"{folder}/orders")
     metrics = base_metrics(orders, params)
     files.write_metrics(metrics, folder)
 
