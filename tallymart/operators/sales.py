@@ -29,7 +29,9 @@ def _aggregate(df: DataFrame, measures: list[str], **keys: Column) -> DataFrame:
         "orders": F.count("order_id"),
         "customers": F.count_distinct("customer_id"),
         "avg_order_value": ratio(total, F.count("final_amount")),
-        "avg_price": ratio(F.sum("unit_price"), F.count("unit_price")),
+        "avg_price": ratio(
+            F.sum(F.col("unit_price").cast("decimal(20,6)")), F.count("unit_price")
+        ),
     }
     keyed = df.withColumns(keys).dropna(subset=list(keys))
     return keyed.groupBy(*keys).agg(*[catalogue[m].alias(m) for m in measures])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,30 +11,49 @@ from tallymart.operators.filters import completed
 from tallymart.params import Params
 from tallymart.sources.schema import CLEAN_SCHEMA, RAW_TEXT_SCHEMA
 
-TIMESTAMP = "yyyy-MM-dd HH:mm:ss"
+# Cell texts that mean a missing value.
+MISSING = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
+BYTE_ORDER_MARK = "\ufeff"
+
+# Quotes inside a quoted cell are doubled, and blanks around a text are kept.
+CSV_STYLE = {
+    "header": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
+}
 MONTH_SLICES = 64
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_TEXT_SCHEMA) -> DataFrame:
     """Read orders from CSV with a header; a cell that does not fit its type becomes null.
 
-    A byte order mark at the start of a file is skipped.
+    Columns are found by the names in the header: their order is free, unknown ones are left
+    out, and absent ones are absent from the result. A byte order mark is skipped.
     """
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", "PERMISSIVE")
-        .option("timestampNTZFormat", f"{TIMESTAMP}")
-        .csv(path)
-    )
+    reader = spark.read.options(**CSV_STYLE)
+    header = [name.lstrip(BYTE_ORDER_MARK) for name in reader.csv(path).columns]
+    known = {f.name: f for f in schema}
+    fields = [known.get(name, T.StructField(name, T.StringType())) for name in header]
+    rows = reader.schema(T.StructType(fields)).option("enforceSchema", False).csv(path)
+    return rows.select(*[_cell(f) for f in schema if f.name in header])
+
+
+def _cell(field: T.StructField) -> Column:
+    value = F.col(field.name)
+    if not isinstance(field.dataType, T.StringType):
+        return value
+    return F.when(~value.isin(*MISSING), value).alias(field.name)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Write a folder of CSV parts; nulls are empty cells."""
-    df.write.mode("overwrite").option("header", True).option(
-        "timestampNTZFormat", TIMESTAMP
-    ).csv(path)
+    df.write.mode("overwrite").options(**CSV_STYLE).csv(path)
 
 
 def _by_month(df: DataFrame) -> DataFrame:

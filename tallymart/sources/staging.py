@@ -26,7 +26,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _application_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tallymart-{spark.sparkContext.applicationId}"
+
+
+def clear_staged(spark: SparkSession) -> bool:
+    """Delete what this application has staged, once its results are stored elsewhere."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.delete(folder, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -12,7 +12,7 @@ from tallymart.plans import batch
 from tallymart.sources import files
 from tallymart.sources.orders import dirty_order_lines
 from tallymart.sources.schema import ORDER_COLUMNS, ORDER_SCHEMA
-from tallymart.sources.staging import shared_folder
+from tallymart.sources.staging import clear_staged, shared_folder, stage
 from tests.conftest import SF_DIR
 
 P = Params(completed_status="F")
@@ -29,6 +29,27 @@ def test_csv_with_byte_order_mark_and_bad_cells(spark, tmp_path):
     assert rows[1]["order_status"] == "F"
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    text = (
+        'note,order_status,category,unit_price,product\nx,F,"say ""hi""",2.5, padded\ny,F,N/A,NA,b\n'
+    )
+    (tmp_path / "in.csv").write_text(text, encoding="utf-8")
+    frame = files.read_csv(spark, str(tmp_path / "in.csv"))
+    assert frame.columns == ["category", "product", "unit_price", "order_status"]
+    assert [tuple(r) for r in frame.collect()] == [
+        ('say "hi"', " padded", "2.5", "F"), (None, "b", None, "F"),
+    ]
+    files.write_csv(frame, str(tmp_path / "out"))
+    again = files.read_csv(spark, str(tmp_path / "out"))
+    assert again.collect() == frame.collect()
+
+
+def test_staged_tables_can_be_cleared(spark):
+    stage(spark.range(3), "three")
+    assert clear_staged(spark)
+    assert not clear_staged(spark)
+
+
 def test_date_filters_skip_month_folders(spark, make_orders, tmp_path):
     rows = make_orders(*[{"order_date": dt.datetime(2025, m, 5)} for m in range(1, 13)])
     files.write_orders(clean_orders(rows, P), str(tmp_path / "orders"))
