@@ -193,10 +193,15 @@ def rfm_top(df: DataFrame, params: Params = Params()) -> DataFrame:
             _total().alias("spent"),
             F.to_date(F.max("order_date")).alias("recency_date"),
         )
-        .withColumn("recency_days", F.date_diff(as_of, "recency_date").cast("long"))
+        .withColumns(
+            {
+                "recency_days": F.date_diff(as_of, "recency_date").cast("long"),
+                "_cents": (F.col("spent") * 100).cast("long"),
+            }
+        )
     )
     customers = stage(customers, "rfm-customers")
-    scores = {"_r": "recency_days", "_f": "frequency", "_m": "spent"}
+    scores = {"_r": "recency_days", "_f": "frequency", "_m": "_cents"}
     identity = ["customer_id", "customer_type"]
     tiled = with_tiles(customers, params.score_bins, scores, identity, params)
     weighted = sum(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.sources.schema import ORDER_COLUMNS
@@ -52,35 +52,30 @@ def _order_headers(spark: SparkSession, sf_dir: str, wanted: set[str]) -> DataFr
     return headers
 
 
-def _expressions() -> dict[str, Column]:
-    key, part = F.col("l_orderkey"), F.col("l_partkey")
-    time_of_day = F.make_dt_interval(
-        F.lit(0), (8 + key % 15).cast("int"), (part % 60).cast("int"), F.lit(0)
-    )
-    price = F.col("p_retailprice")
-    quantity = F.col("l_quantity").cast("int")
-    discount = F.col("l_discount").cast("decimal(5,4)")
-    total = (price * quantity).cast("decimal(14,2)")
-    return {
-        "order_id": F.concat(
-            F.lit("ORD-"), key.cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")
-        ),
-        "order_date": F.col("o_orderdate").cast("timestamp_ntz") + time_of_day,
-        "category": F.col("p_type"),
-        "product": F.col("p_name"),
-        "region": F.col("r_name"),
-        "city": F.col("n_name"),
-        "channel": F.col("o_orderpriority"),
-        "customer_id": F.concat(F.lit("CUST-"), F.col("o_custkey").cast("string")),
-        "customer_type": F.col("c_mktsegment"),
-        "unit_price": price,
-        "quantity": quantity,
-        "total_amount": total,
-        "discount_rate": discount,
-        "final_amount": F.round(total * (1 - discount), 2).cast("decimal(14,2)"),
-        "payment_method": F.concat(F.col("l_returnflag"), F.col("l_linestatus")),
-        "order_status": F.col("o_orderstatus"),
-    }
+_TOTAL = "cast(p_retailprice * cast(l_quantity as int) as decimal(14,2))"
+_DISCOUNT = "cast(l_discount as decimal(5,4))"
+
+_EXPRESSIONS = {
+    "order_id": "concat('ORD-', l_orderkey, '-', l_linenumber)",
+    "order_date": (
+        "o_orderdate + make_dt_interval("
+        "0, cast(8 + l_orderkey % 15 as int), cast(l_partkey % 60 as int), 0)"
+    ),
+    "category": "p_type",
+    "product": "p_name",
+    "region": "r_name",
+    "city": "n_name",
+    "channel": "o_orderpriority",
+    "customer_id": "concat('CUST-', o_custkey)",
+    "customer_type": "c_mktsegment",
+    "unit_price": "p_retailprice",
+    "quantity": "cast(l_quantity as int)",
+    "total_amount": _TOTAL,
+    "discount_rate": _DISCOUNT,
+    "final_amount": f"cast(round({_TOTAL} * (1 - {_DISCOUNT}), 2) as decimal(14,2))",
+    "payment_method": "concat(l_returnflag, l_linestatus)",
+    "order_status": "o_orderstatus",
+}
 
 
 def order_lines(
@@ -104,8 +99,7 @@ def order_lines(
         price = F.col("p_retailprice").cast("decimal(12,2)")
         part = _table(spark, sf_dir, "part").withColumn("p_retailprice", price)
         lines = lines.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
-    expressions = _expressions()
-    return lines.select(*[expressions[name].alias(name) for name in names])
+    return lines.selectExpr(*[f"{_EXPRESSIONS[name]} AS {name}" for name in names])
 
 
 def dirty_order_lines(
@@ -119,24 +113,24 @@ def dirty_order_lines(
     """
     names = list(columns)
     source = order_lines(spark, sf_dir, list(dict.fromkeys([*names, "order_id", "unit_price"])))
-    parts = F.split(F.col("order_id"), "-")
     h = (
-        parts[1].cast("long") * 31
-        + parts[2].cast("long") * 17
-        + (F.col("unit_price") * 100).cast("long")
+        "(cast(split_part(order_id, '-', 2) as bigint) * 31"
+        " + cast(split_part(order_id, '-', 3) as bigint) * 17"
+        " + cast(unit_price * 100 as bigint))"
     )
-    price = F.col("unit_price").cast("double")
-    quantity, discount = F.col("quantity"), F.col("discount_rate").cast("double")
-    nothing = F.lit(None)
+    price, discount = "cast(unit_price as double)", "cast(discount_rate as double)"
     faults = {
-        "unit_price": F.when(h % 50 == 0, nothing).when(h % 333 == 11, price * 20).otherwise(price),
-        "quantity": F.when(h % 67 == 1, nothing).when(h % 500 == 13, -quantity).otherwise(quantity),
-        "discount_rate": F.when(h % 1000 == 17, 1.5).when(h % 1000 == 19, 0.7).otherwise(discount),
-        "category": F.when(h % 100 != 3, F.col("category")),
-        "region": F.when(h % 400 == 23, "nan").when(h % 200 != 5, F.col("region")),
-        "payment_method": F.when(h % 100 != 7, F.col("payment_method")),
+        "unit_price": f"CASE WHEN {h} % 50 = 0 THEN null WHEN {h} % 333 = 11 THEN {price} * 20 "
+        f"ELSE {price} END",
+        "quantity": f"CASE WHEN {h} % 67 = 1 THEN null WHEN {h} % 500 = 13 THEN -quantity "
+        "ELSE quantity END",
+        "discount_rate": f"CASE WHEN {h} % 1000 = 17 THEN 1.5D WHEN {h} % 1000 = 19 THEN 0.7D "
+        f"ELSE {discount} END",
+        "category": f"CASE WHEN {h} % 100 <> 3 THEN category END",
+        "region": f"CASE WHEN {h} % 400 = 23 THEN 'nan' WHEN {h} % 200 <> 5 THEN region END",
+        "payment_method": f"CASE WHEN {h} % 100 <> 7 THEN payment_method END",
     }
-    return source.select(*[faults.get(n, F.col(n)).alias(n) for n in names])
+    return source.selectExpr(*[f"{faults.get(name, name)} AS {name}" for name in names])
 
 
 def raw_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
