@@ -19,6 +19,12 @@ def month_label(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM")
 
 
+def month_key(df: DataFrame) -> Column:
+    """The stored month of an order table, else the month of the order date."""
+    stored = "year_month" in df.columns
+    return F.col("year_month") if stored else month_label(F.col("order_date"))
+
+
 def is_weekend(ts: Column) -> Column:
     return F.weekday(ts).isin(*SATURDAY_SUNDAY).cast("int")
 

@@ -20,26 +20,37 @@ def _moment(value: DateLike) -> Column:
     return F.lit(str(value)).cast("timestamp_ntz")
 
 
+def _in_months(df: DataFrame, first: Column | None, last: Column | None) -> DataFrame:
+    """Repeat a date filter on the month folders of a stored table, so that a scan skips some."""
+    if "year_month" not in df.columns:
+        return df
+    if first is not None:
+        df = df.filter(F.col("year_month") >= F.date_format(first, "yyyy-MM"))
+    if last is not None:
+        df = df.filter(F.col("year_month") <= F.date_format(last, "yyyy-MM"))
+    return df
+
+
 def in_date_range(
     df: DataFrame, start: DateLike | None = None, end: DateLike | None = None
 ) -> DataFrame:
     """Keep orders from ``start`` to ``end``, both read as moments.
 
-    An end given as a date means its midnight, so orders later that day are left out. On a
-    table partitioned by ``year_month`` the bounds are repeated on that column, which lets
-    the scan skip whole months.
+    An end given as a date means its midnight, so orders later that day are left out.
     """
-    pruned = "year_month" in df.columns
-    month = F.date_format
-    if start:
-        df = df.filter(F.col("order_date") >= _moment(start))
-        if pruned:
-            df = df.filter(F.col("year_month") >= month(_moment(start), "yyyy-MM"))
-    if end:
-        df = df.filter(F.col("order_date") <= _moment(end))
-        if pruned:
-            df = df.filter(F.col("year_month") <= month(_moment(end), "yyyy-MM"))
-    return df
+    first, last = (_moment(bound) if bound else None for bound in (start, end))
+    if first is not None:
+        df = df.filter(F.col("order_date") >= first)
+    if last is not None:
+        df = df.filter(F.col("order_date") <= last)
+    return _in_months(df, first, last)
+
+
+def in_year(df: DataFrame, year: int) -> DataFrame:
+    """Keep the orders of a year, as a range of moments that the scan can use."""
+    first, after = _moment(f"{year:04d}-01-01"), _moment(f"{year + 1:04d}-01-01")
+    rows = df.filter((F.col("order_date") >= first) & (F.col("order_date") < after))
+    return _in_months(rows, first, _moment(f"{year:04d}-12-01"))
 
 
 def filter_orders(
@@ -57,7 +68,7 @@ def filter_orders(
     if region and region != ALL:
         df = df.filter(F.col("region") == region)
     if year:
-        df = df.filter(F.year("order_date") == year)
+        df = in_year(df, year)
     return df
 
 

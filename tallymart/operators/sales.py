@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymart.functions.calendar import elapsed_days, is_weekend, month_label
+from tallymart.functions.calendar import elapsed_days, is_weekend, month_key
 from tallymart.functions.numeric import amount, growth_percent, percent, ratio, round_half_up
 from tallymart.operators.filters import completed, filter_orders
 from tallymart.params import ALL, DAY_LABELS, Params
@@ -84,7 +84,7 @@ def category_month(df: DataFrame, params: Params = Params()) -> DataFrame:
     table = _aggregate(
         completed(df, params),
         ["revenue"],
-        year_month=month_label(F.col("order_date")),
+        year_month=month_key(df),
         category=F.col("category"),
     )
     return table.orderBy("year_month", "category")
@@ -101,7 +101,7 @@ def monthly_region(df: DataFrame, params: Params = Params()) -> DataFrame:
     return _aggregate(
         completed(df, params),
         ["revenue", "orders"],
-        year_month=month_label(F.col("order_date")),
+        year_month=month_key(df),
         region=F.col("region"),
     )
 
@@ -134,7 +134,7 @@ def monthly_sales(df: DataFrame, region: str | None = None, params: Params = Par
     months = _aggregate(
         rows,
         ["revenue", "orders", "customers"],
-        year_month=month_label(F.col("order_date")),
+        year_month=month_key(df),
     )
     # One row per calendar month, so a single ordered partition stays small at any scale.
     previous = F.lag("revenue").over(Window.orderBy("year_month"))

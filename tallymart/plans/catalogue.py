@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymart.functions.calendar import is_weekend, month_label
+from tallymart.functions.calendar import is_weekend, month_key
 from tallymart.functions.numeric import (
     amount,
     growth_percent,
@@ -35,7 +35,7 @@ def _customers() -> Column:
 
 
 def _by_month(df: DataFrame, params: Params, *keys: Column):
-    month = month_label(F.col("order_date")).alias("year_month")
+    month = month_key(df).alias("year_month")
     return completed(df, params).groupBy(*keys, month)
 
 

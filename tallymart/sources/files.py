@@ -27,7 +27,6 @@ CSV_STYLE = {
     "ignoreTrailingWhiteSpace": "false",
     "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
 }
-MONTH_SLICES = 64
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_TEXT_SCHEMA) -> DataFrame:
@@ -57,13 +56,12 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def _by_month(df: DataFrame) -> DataFrame:
-    """Spread rows by month for writing.
+    """Bring the rows of a month together for writing.
 
-    Without the slice of the order id, a month that holds a third of all orders would be
-    written by one task.
+    A rebalance, unlike a repartition, lets adaptive execution split a month that holds a third
+    of all orders into many tasks and merge small months into one.
     """
-    slices = F.pmod(F.xxhash64("order_id"), F.lit(MONTH_SLICES))
-    return df.repartition("year_month", slices)
+    return df.hint("rebalance", "year_month")
 
 
 def write_orders(df: DataFrame, path: str) -> None:
@@ -78,9 +76,14 @@ def insert_orders(df: DataFrame, table: str) -> None:
 
 
 def read_orders(spark: SparkSession, path: str) -> DataFrame:
-    names = [f.name for f in CLEAN_SCHEMA]
-    # The folder name carries the month; keep it text, "2024-10" is not a number.
-    return spark.read.schema(CLEAN_SCHEMA).parquet(path).select(*names)
+    """Read orders stored by month, with the types they were written with."""
+    found = spark.read.parquet(path).schema
+    # The month comes from folder names and must stay text.
+    month = T.StructField("year_month", T.StringType())
+    fields = {f.name: f for f in found} | {"year_month": month}
+    stored = spark.read.schema(T.StructType(list(fields.values()))).parquet(path)
+    order = [f.name for f in CLEAN_SCHEMA if f.name in fields]
+    return stored.select(*order)
 
 
 def load_orders(

@@ -5,12 +5,13 @@ import datetime as dt
 import pytest
 
 from tallymart.functions.calendar import with_time_features
+from tallymart.operators import sales
 from tallymart.operators.cleaning import clean_orders
 from tallymart.operators.filters import in_date_range
 from tallymart.params import Params
-from tallymart.plans import batch
+from tallymart.plans import batch, catalogue
 from tallymart.sources import files
-from tallymart.sources.orders import dirty_order_lines
+from tallymart.sources.orders import dirty_order_lines, order_lines
 from tallymart.sources.schema import ORDER_COLUMNS, ORDER_SCHEMA
 from tallymart.sources.staging import clear_staged, shared_folder, stage
 from tests.conftest import SF_DIR
@@ -106,3 +107,15 @@ def test_shared_folder_comes_from_the_session():
 def test_local_folder_is_refused_on_a_cluster():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(_Session({}))
+
+
+def test_reports_on_a_stored_table_equal_reports_on_the_view(spark, tmp_path):
+    view = order_lines(spark, SF_DIR)
+    files.write_orders(with_time_features(view), str(tmp_path / "orders"))
+    stored = files.read_orders(spark, str(tmp_path / "orders"))
+    for report in (catalogue.monthly_mom_yoy, catalogue.channel_month, sales.monthly_sales):
+        assert report(stored, params=P).collect() == report(view, params=P).collect()
+    yearly = sales.kpi(stored, year=1997, params=P)
+    assert yearly.collect() == sales.kpi(view, year=1997, params=P).collect()
+    plan = yearly._jdf.queryExecution().executedPlan().toString()
+    assert "1997-12" in plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
