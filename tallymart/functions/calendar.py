@@ -16,7 +16,8 @@ def sunday_week(ts: Column) -> Column:
 
 
 def month_label(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM")
+    # Formatting the date instead of the moment keeps the session zone out of it.
+    return F.date_format(F.to_date(ts), "yyyy-MM")
 
 
 def month_key(df: DataFrame) -> Column:
@@ -43,9 +44,9 @@ def with_time_features(df: DataFrame, ts: str = "order_date") -> DataFrame:
             "quarter": F.quarter(t),
             "week": F.weekofyear(t),
             "day_of_week": F.weekday(t),
-            "day_name": F.date_format(t, "EEEE"),
+            "day_name": F.date_format(F.to_date(t), "EEEE"),
             "is_weekend": is_weekend(t),
             "year_month": month_label(t),
-            "year_week": F.concat(F.date_format(t, "yyyy"), F.lit("-W"), sunday_week(t)),
+            "year_week": F.concat(F.lpad(F.year(t), 4, "0"), F.lit("-W"), sunday_week(t)),
         }
     )

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallymart.functions.calendar import month_label
 from tallymart.params import ALL, Params
 
 DateLike = str | dt.date | dt.datetime
@@ -25,9 +26,9 @@ def _in_months(df: DataFrame, first: Column | None, last: Column | None) -> Data
     if "year_month" not in df.columns:
         return df
     if first is not None:
-        df = df.filter(F.col("year_month") >= F.date_format(first, "yyyy-MM"))
+        df = df.filter(F.col("year_month") >= month_label(first))
     if last is not None:
-        df = df.filter(F.col("year_month") <= F.date_format(last, "yyyy-MM"))
+        df = df.filter(F.col("year_month") <= month_label(last))
     return df
 
 

@@ -138,9 +138,7 @@ def raw_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     dirty = dirty_order_lines(spark, sf_dir)
     line = F.split(F.col("order_id"), "-")[1].cast("long")
     text = {n: F.col(n).cast("string") for n in ORDER_COLUMNS}
-    text["order_date"] = F.when(line % 97 == 5, F.lit("bad")).otherwise(
-        F.date_format("order_date", "yyyy-MM-dd HH:mm:ss")
-    )
+    text["order_date"] = F.when(line % 97 == 5, F.lit("bad")).otherwise(text["order_date"])
     text["unit_price"] = F.when(line % 89 == 3, F.lit("abc")).otherwise(text["unit_price"])
     text["quantity"] = F.when(line % 83 == 4, F.lit("")).otherwise(text["quantity"])
     text["discount_rate"] = F.when(line % 79 == 6, F.lit("nan")).otherwise(text["discount_rate"])
