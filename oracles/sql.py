@@ -111,8 +111,6 @@ UNIQUE = """uniq AS (
     discount_rate NULLS LAST, final_amount NULLS LAST, payment_method NULLS LAST,
     order_status NULLS LAST) = 1)"""
 
-TOTAL = rnd("price * qty", 2)
-NET = rnd("total * (1 - least(greatest(discount_rate, 0), 1))", 2)
 COLUMNS = (
     "order_id order_date category product region city channel customer_id customer_type "
     "unit_price quantity total_amount discount_rate final_amount payment_method order_status"
@@ -219,7 +217,8 @@ hw AS (
   FROM (SELECT *, lv + tr + sn AS fit
     FROM (SELECT *, g * (y - lv) + (1 - g) * se[1] AS sn
       FROM (SELECT * EXCLUDE (lv0, tr0), b * (lv - lv0) + (1 - b) * tr0 AS tr
-        FROM (SELECT {"hw." + k if key else ""}set_no, a, b, g, t + 1 AS t, y, se, sse, lv AS lv0, tr AS tr0,
+        FROM (SELECT {"hw." + k if key else ""}set_no, a, b, g, t + 1 AS t, y, se, sse,
+                     lv AS lv0, tr AS tr0,
                      a * (y - se[1]) + (1 - a) * (lv + tr) AS lv
               FROM hw JOIN pts p ON p.i = hw.t + 1{kj}))))),
 fit AS (
@@ -286,7 +285,8 @@ scored AS (
          ({_score("monetary")})::BIGINT AS monetary_score
   FROM rfm, edges)"""
 
-TILE_ORDER = "md5(customer_id || '|' || customer_type) || '|' || customer_id || '|' || customer_type"
+IDENTITY = "customer_id || '|' || customer_type"
+TILE_ORDER = f"md5({IDENTITY}) || '|' || {IDENTITY}"
 
 PER_TYPE = """per AS (
   SELECT customer_id, customer_type, count(order_id) AS n, sum(final_amount) AS spent,

@@ -39,7 +39,8 @@ def _initial(season: int, keep_fitted: bool) -> str:
     seasonal = [f"({v} - {level})" for v in first]
     fitted = [f"({level} + {trend} + {term})" for term in seasonal]
     sse = " + ".join(f"({v} - {fit}) * ({v} - {fit})" for v, fit in zip(first, fitted))
-    return _state(level, trend, seasonal, sse, f"array({', '.join(fitted)})" if keep_fitted else None)
+    kept = f"array({', '.join(fitted)})" if keep_fitted else None
+    return _state(level, trend, seasonal, sse, kept)
 
 
 def _fit(params: Params, keep_fitted: bool) -> Column:

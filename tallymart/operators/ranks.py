@@ -4,11 +4,11 @@ A table whose row count is known to be small uses the built-in functions, which
 in one task. Beyond that size the functions below spread the work; both ways give the same
 result.
 
-Quantiles and tiles both need the value at a given position of a sorted column. Values are first counted, so a
-value that repeats a billion times is one row. The counted values are then put into buckets
-that follow their order; the bucket totals, added up in order, tell which bucket holds each
-wanted position, and only those few buckets are sorted. Every step is a function of the data
-alone, so a lost executor recomputes the same buckets.
+Both need the value at a given position of a sorted column. Values are first counted, so a value
+that repeats a billion times is one row. The counted values are then put into buckets that follow
+their order; the bucket totals, added up in order, tell which bucket holds each wanted position,
+and only those few buckets are sorted. Every step is a function of the data alone, so a lost
+executor recomputes the same buckets.
 
 A bucket spans 0.017 % of its values' size: money around 1,000,000.00 shares a bucket with at
 most 17,000 distinct cent amounts, however many rows there are.

@@ -122,7 +122,7 @@ def rfm_scores(df: DataFrame, params: Params = Params()) -> DataFrame:
     return scored.withColumn("recency_score", recency).drop(*[f"_edges_{m}" for m in METRICS])
 
 
-def _points(scored: DataFrame, params: Params) -> list[Row]:
+def _points(scored: DataFrame) -> list[Row]:
     """Customers counted by their combination of scores.
 
     There are at most bins ** 3 combinations (125) however many customers there are, so they
@@ -131,7 +131,7 @@ def _points(scored: DataFrame, params: Params) -> list[Row]:
     """
     filled = [F.coalesce(F.col(s), F.lit(1)).alias(s) for s in SCORES]
     counted = scored.select(*filled).groupBy(*SCORES).agg(F.count(F.lit(1)).alias("weight"))
-    return counted.orderBy(*SCORES).limit(params.score_bins ** len(SCORES)).collect()
+    return counted.orderBy(*SCORES).collect()
 
 
 def _standardised(points: list[Row]) -> list[list[float]]:
@@ -148,7 +148,7 @@ def _standardised(points: list[Row]) -> list[list[float]]:
 def score_clusters(scored: DataFrame, params: Params = Params()) -> DataFrame:
     """Cluster number of each combination of scores: the best of several k-means runs."""
     spark = scored.sparkSession
-    points = _points(scored, params)
+    points = _points(scored)
     keys = [tuple(p[s] for s in SCORES) for p in points]
     if len(points) <= params.n_clusters:
         return spark.createDataFrame(
@@ -174,7 +174,8 @@ def score_clusters(scored: DataFrame, params: Params = Params()) -> DataFrame:
     features.unpersist()
     # Number the clusters by their centres, so that the numbers do not depend on the run.
     centres = [tuple(c) for c in best.clusterCenters()]
-    number = {old: new for new, old in enumerate(sorted(range(len(centres)), key=centres.__getitem__))}
+    by_centre = sorted(range(len(centres)), key=centres.__getitem__)
+    number = {old: new for new, old in enumerate(by_centre)}
     return spark.createDataFrame(
         [(*[row[s] for s in SCORES], number[row["cluster"]]) for row in clusters],
         ", ".join(f"{s} long" for s in SCORES) + ", cluster int",

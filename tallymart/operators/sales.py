@@ -14,8 +14,6 @@ from tallymart.functions.numeric import amount, growth_percent, percent, ratio,
 from tallymart.operators.filters import completed, filter_orders
 from tallymart.params import ALL, DAY_LABELS, Params
 
-ORDERS = "count(order_id)"
-
 
 def _day() -> Column:
     return F.to_date("order_date")
@@ -69,7 +67,9 @@ def category_contribution(df: DataFrame, params: Params = Params()) -> DataFrame
     return with_share(table, "revenue", "revenue_pct").orderBy(F.desc("revenue"), "category")
 
 
-def category_sales(df: DataFrame, region: str | None = None, params: Params = Params()) -> DataFrame:
+def category_sales(
+    df: DataFrame, region: str | None = None, params: Params = Params()
+) -> DataFrame:
     rows = filter_orders(completed(df, params), region=region)
     table = _aggregate(rows, ["revenue", "orders"], category=F.col("category"))
     return with_share(table, "revenue", "revenue_pct").orderBy(F.desc("revenue"), "category")
@@ -106,7 +106,9 @@ def monthly_region(df: DataFrame, params: Params = Params()) -> DataFrame:
     )
 
 
-def region_sales(df: DataFrame, category: str | None = None, params: Params = Params()) -> DataFrame:
+def region_sales(
+    df: DataFrame, category: str | None = None, params: Params = Params()
+) -> DataFrame:
     rows = filter_orders(completed(df, params), category=category)
     table = _aggregate(rows, ["revenue", "orders"], region=F.col("region"))
     return table.orderBy(F.desc("revenue"), "region")
