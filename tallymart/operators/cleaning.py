@@ -41,13 +41,15 @@ def coerce_types(df: DataFrame) -> DataFrame:
     return df.withColumns({n: c for n, c in parsed.items() if n in present})
 
 
-def drop_duplicate_orders(df: DataFrame, order_by: tuple[str, ...] | None = None) -> DataFrame:
+def drop_duplicate_orders(
+    df: DataFrame, order_by: tuple[str, ...] = Params.duplicate_order
+) -> DataFrame:
     """Keep one row per order id: the first by ``order_by``, then by all other columns.
 
     Ranking with a limit of one is cut down on the map side, so an id that repeats without end
     sends one row per input partition through the shuffle.
     """
-    first = list(order_by or ("order_date",))
+    first = list(order_by)
     rest = [c for c in df.columns if c not in {*first, "order_id"}]
     order = [F.asc_nulls_last(c) for c in first + rest]
     ranked = df.withColumn(
@@ -184,7 +186,8 @@ def _bad_discount() -> Column:
 
 def _prepared(df: DataFrame, params: Params) -> DataFrame:
     """Deduplicated orders with their category prices and the table-wide discount flag."""
-    unique = stage(drop_duplicate_orders(coerce_types(df)), "unique-orders")
+    unique = drop_duplicate_orders(coerce_types(df), params.duplicate_order)
+    unique = stage(unique, "unique-orders")
     counts = stage(price_counts(unique), "price-counts")
     size, bad_discount = counts.agg(F.count(F.lit(1)), F.max("bad_discount")).first()
     prices = category_prices(counts, params, small=size <= params.single_task_rows)

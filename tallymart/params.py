@@ -30,6 +30,8 @@ class Params:
     completed_status: str = COMPLETED
     unknown_label: str = UNKNOWN
 
+    # Which copy of an order is the first; a load sequence column may be named here.
+    duplicate_order: tuple[str, ...] = ("order_date",)
     iqr_multiplier: float = 3.0
     max_discount_rate: float = 0.5
     default_quantity: int = 1

@@ -55,6 +55,13 @@ def test_duplicates_keep_the_first_in_a_total_order(make_orders):
     assert {k: r["category"] for k, r in kept.items()} == {"X": "a", None: "n1"}
 
 
+def test_duplicates_can_follow_a_load_sequence(make_orders):
+    rows = make_orders({"order_id": "X", "category": "a"}, {"order_id": "X", "category": "b"})
+    loaded = rows.withColumn("seq", F.when(F.col("category") == "b", 1).otherwise(2))
+    kept = cleaning.cap_outliers(loaded, replace(P, duplicate_order=("seq",))).collect()
+    assert [r["category"] for r in kept] == ["b"] and "seq" not in kept[0].asDict()
+
+
 def test_duplicates_are_cut_down_before_the_shuffle(spark):
     df = cleaning.drop_duplicate_orders(dirty_order_lines(spark, SF_DIR))
     plan = df._jdf.queryExecution().executedPlan().toString()
