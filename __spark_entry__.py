@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import importlib
 import uuid
 from collections.abc import Callable
 
@@ -17,6 +18,13 @@ from tallymart.plans import batch, catalogue
 from tallymart.sources import files, orders, schema
 from tallymart.sources.staging import scratch_path
 
+try:
+    llm = importlib.import_module("tallymart.llm.queries")
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith(("tallymart.llm", "corpus_pipeline")):
+        raise
+    llm = None  # the subpackage is not part of this installation
+
 PARAMS = Params(completed_status="F", as_of=dt.date(2002, 1, 1))
 SLICE = {"start": "1996-01-01", "end": "1998-12-31", "category": "all", "region": "EUROPE"}
 
@@ -194,6 +202,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    return _order_queries() | (llm.queries() if llm else {})
+
+
+def _order_queries() -> dict[str, Query]:
     who = ["customer_id", "customer_type"]
     return {
         "scan_csv": scan_csv,
@@ -292,4 +304,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles()
+    return oracles() | (llm.oracle_sql() if llm else {})
