@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm import packing, token_files
+from tallymart.llm import (
+    embeddings, language, mixing, ngram_join, packing, phrases, quality_rules, quality_trees,
+    suffixes, token_files,
+)
 from tallymart.sources.staging import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +24,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op1_ngram_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 def op2_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(documents(spark, sf_dir))
     return pieces.select(
@@ -38,11 +45,48 @@ def op3_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(documents(spark, sf_dir))
+
+
+def op5_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.remove_repeats(documents(spark, sf_dir)).select(
+        "row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+def op6_kernel_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict_language(documents(spark, sf_dir))
+
+
+def op7_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_trees.quality_scores(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+def op8_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = mixing.label_domains(table(spark, sf_dir, "labels"))
+    mixed = mixing.mix(documents(spark, sf_dir), labelled, carry=("doc_id",))
+    shares = [F.col("_p")[i].alias(f"p_{d}") for i, d in enumerate(mixing.TARGETS)]
+    return mixed.select("_document.doc_id", "n_tokens", *shares, "rate")
+
+
+def op9_itq_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.link(table(spark, sf_dir, "embeddings"))
+
+
+def op10_previous_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def queries() -> dict[str, Query]:
-    return {
-        "op2_curve_packing": op2_curve_packing,
-        "op3_bit_planes": op3_bit_planes,
-    }
+    named = [
+        op1_ngram_regression, op2_curve_packing, op3_bit_planes, op4_lsh_forest,
+        op5_phrase_automata, op6_kernel_language, op7_boosted_quality, op8_soft_mixing,
+        op9_itq_codes, op10_previous_factors,
+    ]
+    return {query.__name__: query for query in named}
 
 
 def oracle_sql() -> dict[str, str]:
