@@ -6,6 +6,7 @@ import datetime as dt
 import importlib
 import uuid
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -202,7 +203,17 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return _order_queries() | (llm.queries() if llm else {})
+    return _order_queries() | {k: _importable(q) for k, q in (llm.queries() if llm else {}).items()}
+
+
+def _importable(query: Query) -> Query:
+    """Let Python workers of a session started elsewhere find this package."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parent))
+        return query(spark, sf_dir)
+
+    return run
 
 
 def _order_queries() -> dict[str, Query]:
