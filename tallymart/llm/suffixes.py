@@ -1,13 +1,13 @@
 """Suffix-array dedup: bytes in strings of ``length`` that occur elsewhere, by previous factors.
 
-Any string of ``length`` bytes has a least-hashed 64-byte gram, its anchor, and equal strings have
-equal anchors at the same place. So only texts around equal anchors can share such a string:
+Any string of ``length`` bytes has a least-hashed 64-byte gram (the last of equal ones), its anchor,
+and equal strings have equal anchors at the same place. So only strings of equal anchors can match:
 
-1. every text names its anchors and a hash of the region around each (``length`` bytes to either
-   side at most); anchors found once are dropped by a count and a join;
+1. every text names its anchors and a hash of the region of each, the text of all strings that it
+   anchors; anchors found once are dropped by a count and a join;
 2. regions that are equal as a whole recur as a whole: all their strings are found elsewhere;
-3. where an anchor has different regions, one of each kind is sorted: the suffixes of the regions
-   that contain the anchor are put in order by prefix doubling up to ``length`` bytes. Among equal
+3. where an anchor has different regions, one of each kind is sorted: the suffixes that begin the
+   strings of the regions are put in order by prefix doubling up to ``length`` bytes. Among equal
    suffixes the order is that of the text, so the previous smaller position of a suffix with an
    earlier match of ``length`` bytes stands just before it, and one with a later match only just
    before another. The longest previous factor reaches ``length`` for the former;
@@ -36,58 +36,83 @@ from tallymart.sources.staging import stage
 
 LENGTH = 400
 GRAM = 64
-MANY = 256
+MANY = 1000
 CHUNK_BYTES = 1 << 20
 
-#: A region lies between begin and finish of its text; its strings all hold the anchor at pos.
-ANCHORS = "did long, rk long, begin int, pos int, finish int, h long, rh long"
-REGIONS = "h long, did long, rk long, begin int, lead int, copies long, many boolean, region binary"
+#: A region lies between begin and finish of its text; the strings of its anchor start in it.
+ANCHORS = "did long, rk long, begin int, finish int, h long, rh long"
+#: ``runs`` has the first and last start of each run of strings, from ``begin`` on.
+REGIONS = "h long, did long, rk long, begin int, many boolean, runs array<int>, region binary"
 SPANS = "did long, rk long, begin int, finish int"
 
 
+def _neighbours(h: list[int]) -> tuple[list[int], list[int]]:
+    """For each value the last smaller one before it and the first not greater one after it."""
+    before, after, open_ = [-1] * len(h), [len(h)] * len(h), []
+    for i, value in enumerate(h):
+        while open_ and h[open_[-1]] >= value:
+            after[open_.pop()] = i
+        before[i] = open_[-1] if open_ else -1
+        open_.append(i)
+    return before, after
+
+
 def _anchors_of(texts: pa.Array, length: int) -> tuple[np.ndarray, ...]:
-    """Owner, begin, position and end in its text, gram hash and region hash of each anchor."""
+    """Text, begin and end of the region in it, gram hash and region hash of each anchor."""
     data, bounds = utf8(texts)
+    width = length - GRAM + 1  # grams of a string
     prefix = prefix_hash(byte_symbols(data))
     starts = np.arange(max(0, len(data) - GRAM + 1))
     h = run_hash(prefix, starts, starts + GRAM)
     owner = np.repeat(np.arange(len(texts)), np.diff(bounds))
     allowed = bounds[owner + 1] - np.arange(len(data)) >= length
-    at = minima(h, allowed, length - GRAM + 1)
-    text = owner[at]
-    first = np.maximum(bounds[text], at - (length - GRAM))
-    last = np.minimum(bounds[text + 1], at + length)
-    region = run_hash(prefix, first, last)
+    at = minima(h, allowed, width)
+    text, h = owner[at], h[at]
+    # strings that hold a smaller gram before, or one as small after, belong to that one
+    before, after = _neighbours(h.tolist())
+    edge = np.concatenate([at, [len(data) + length, -1]])  # after the last, before the first
+    first = np.maximum.reduce([bounds[text], at - width + 1, edge[before] + 1])
+    last = np.minimum.reduce([bounds[text + 1] - length, at, edge[after] - width])
+    own = last >= first
+    at, text, h, first, last = at[own], text[own], h[own], first[own], last[own]
+    region = run_hash(prefix, first, last + length)
     region = mix(region + (at - first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    base = bounds[text]
-    return text, first - base, at - base, last - base, h[at], region
+    return text, first - bounds[text], last + length - bounds[text], h, region
 
 
 def _anchors(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for block in blocks(batch, "text"):
-            text, begin, pos, finish, h, region = _anchors_of(block.column("text"), length)
+            text, begin, finish, h, region = _anchors_of(block.column("text"), length)
             owner = pa.array(text)
             yield pa.RecordBatch.from_arrays(
                 [block.column("did").take(owner), block.column("rk").take(owner)]
-                + [pa.array(x.astype(np.int32)) for x in (begin, pos, finish)]
+                + [pa.array(x.astype(np.int32)) for x in (begin, finish)]
                 + [pa.array(h.view(np.int64)), pa.array(region.view(np.int64))],
-                names=["did", "rk", "begin", "pos", "finish", "h", "rh"],
+                names=["did", "rk", "begin", "finish", "h", "rh"],
             )
 
 
-def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cut the regions around the wanted anchors of each text."""
+def _regions(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Cut the wanted regions of each text; overlapping ones of one anchor stay together."""
     for batch in batches:
         rows: list[tuple] = []
         size = 0
-        for did, rk, text, wanted in zip(*(batch.column(c).to_pylist() for c in ("did", "rk", "text", "wanted"))):
+        columns = (batch.column(c).to_pylist() for c in ("did", "rk", "text", "wanted"))
+        for did, rk, text, wanted in zip(*columns):
             data = text.encode()
-            for w in wanted:
-                begin, region = w["begin"], data[w["begin"] : w["finish"]]
-                lead = w["pos"] - begin
-                rows.append((w["h"], did, rk, begin, lead, w["copies"], w["many"], region))
-                size += len(region)
+            joined: list[list] = []
+            for w in sorted(wanted, key=lambda w: (w["h"], w["begin"])):
+                strings = [w["begin"], w["finish"] - length]
+                if joined and joined[-1][0] == w["h"] and w["begin"] <= joined[-1][3]:
+                    joined[-1][2] += strings
+                    joined[-1][3] = max(joined[-1][3], w["finish"])
+                else:
+                    joined.append([w["h"], w["many"], strings, w["finish"]])
+            for h, many, runs, finish in joined:
+                begin = runs[0]
+                rows.append((h, did, rk, begin, many, [x - begin for x in runs], data[begin:finish]))
+                size += finish - begin
             if size > 8 << 20:
                 yield to_batch(rows, REGIONS)
                 rows, size = [], 0
@@ -138,35 +163,29 @@ def _runs(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return places[np.r_[0, cut + 1]], places[np.r_[cut, len(places) - 1]]
 
 
+def _strings_of(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """The row and the place in it of every string of the regions."""
+    runs = [np.array(r["runs"]).reshape(-1, 2) for r in rows]
+    owner = np.repeat(np.arange(len(rows)), [len(r) for r in runs])
+    first, last = np.concatenate(runs).T
+    counts = last - first + 1
+    offset = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts - first, counts)
+    return np.repeat(owner, counts), offset
+
+
 def _sort_chunk(rows: list[dict], length: int, keep: str) -> list[tuple]:
     """Spans of one chunk: whole groups of regions, ordered by group and then text."""
-    lengths = np.array([len(r["region"]) for r in rows])
-    begins = np.cumsum(lengths) - lengths
+    sizes = np.array([len(r["region"]) for r in rows])
     ranks = suffix_ranks(np.frombuffer(b"".join(r["region"] for r in rows), np.uint8), length)
-    leads = np.array([r["lead"] for r in rows])
-    # suffixes that hold the anchor and end inside their region
-    counts = np.minimum(leads, lengths - length) + 1
-    owner = np.repeat(np.arange(len(rows)), counts)
-    offset = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    # in a text that repeats itself, regions of one anchor overlap: each suffix counts once
-    texts = [(r["h"], r["did"], r["rk"]) for r in rows]
-    number = {text: i for i, text in enumerate(dict.fromkeys(texts))}
-    text = np.array([number[t] for t in texts])[owner]
-    start = np.array([r["begin"] for r in rows])[owner] + offset
-    once = np.unique(text * np.int64(start.max() + 1) + start, return_index=True)[1]
-    owner, offset, start = owner[once], offset[once], start[once]
+    owner, offset = _strings_of(rows)
     h = np.array([r["h"] for r in rows])
-    hit = matched(h[owner], ranks[begins[owner] + offset], keep)
-    owner, start = owner[hit], start[hit]
-    order = np.lexsort((start, owner))
-    owner, start = owner[order], start[order]
+    hit = matched(h[owner], ranks[(np.cumsum(sizes) - sizes)[owner] + offset], keep)
+    owner, offset = owner[hit], offset[hit]
     cuts = np.flatnonzero(np.diff(owner, prepend=-1))
     out = []
-    for first, last in zip(cuts, [*cuts[1:], len(owner)]):
-        row = rows[owner[first]]
-        if keep == "none" and row["copies"] > 1:
-            continue  # covered as a whole already
-        for a, b in zip(*_runs(start[first:last])):
+    for begin, end in zip(cuts, [*cuts[1:], len(owner)]):
+        row = rows[owner[begin]]
+        for a, b in zip(*_runs(row["begin"] + offset[begin:end])):
             out.append((row["did"], row["rk"], int(a), int(b) + length))
     return out
 
@@ -180,7 +199,7 @@ def _sort_regions(batches: Iterator[pa.RecordBatch], length: int, keep: str) ->
             if size >= CHUNK_BYTES and row["h"] != chunk[-1]["h"]:
                 yield to_batch(_sort_chunk(chunk, length, keep), SPANS)
                 chunk, size = [], 0
-            place = [(r["h"], r["did"], r["rk"], r["begin"], r["lead"]) for r in (row, *chunk[-1:])]
+            place = [(r["h"], r["did"], r["rk"], r["begin"]) for r in (row, *chunk[-1:])]
             if place[1:] == place[:1]:
                 continue  # the same region of a repeated row
             chunk.append(row)
@@ -190,36 +209,35 @@ def _sort_regions(batches: Iterator[pa.RecordBatch], length: int, keep: str) ->
 
 
 def _strings(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """The hash of every string of a region that holds the anchor."""
+    """The hash of every string of the regions."""
     for batch in batches:
-        for row in batch.to_pylist():
-            data = np.frombuffer(row["region"], np.uint8)
-            starts = np.arange(min(row["lead"], len(data) - length) + 1)
-            hashes = run_hash(prefix_hash(byte_symbols(data)), starts, starts + length)
-            n = len(starts)
+        for begin in range(0, batch.num_rows, 1000):
+            rows = batch.slice(begin, 1000).to_pylist()
+            sizes = np.array([len(r["region"]) for r in rows])
+            data = np.frombuffer(b"".join(r["region"] for r in rows), np.uint8)
+            owner, offset = _strings_of(rows)
+            at = (np.cumsum(sizes) - sizes)[owner] + offset
+            hashes = run_hash(prefix_hash(byte_symbols(data)), at, at + length)
+            columns = {c: np.array([r[c] for r in rows])[owner] for c in ("did", "rk", "h", "begin")}
+            columns["begin"] = (columns["begin"] + offset).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, row[c], np.int64)) for c in ("did", "rk", "h", "copies")]
-                + [pa.array((row["begin"] + starts).astype(np.int32)),
-                   pa.array(hashes.view(np.int64))],
-                names=["did", "rk", "h", "copies", "begin", "string"],
+                [*map(pa.array, columns.values()), pa.array(hashes.view(np.int64))],
+                names=[*columns, "string"],
             )
 
 
 def _counted_strings(many: DataFrame, length: int, keep: str) -> DataFrame:
     """Spans of anchors with many regions, by counting their strings."""
-    strings = many.mapInArrow(
+    strings = many.dropDuplicates(["h", "did", "rk", "begin"]).mapInArrow(
         functools.partial(_strings, length=length),
-        "did long, rk long, h long, copies long, begin int, string long",
+        "did long, rk long, h long, begin int, string long",
     )
-    strings = strings.groupBy("h", "string", "did", "rk", "begin").agg(F.max("copies").alias("copies"))
     found = strings.groupBy("h", "string").agg(
-        F.sum("copies").alias("n"), F.min(F.struct("did", "rk", "begin")).alias("first")
+        F.count("*").alias("n"), F.min(F.struct("did", "rk", "begin")).alias("first")
     ).filter("n > 1")
     hits = strings.join(found, ["h", "string"])
     if keep == "first":
         hits = hits.filter(F.struct("did", "rk", "begin") != F.col("first"))
-    else:
-        hits = hits.filter("copies = 1")
     return hits.select("did", "rk", "begin", (F.col("begin") + length).alias("finish"))
 
 
@@ -234,14 +252,14 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, keep: str = "none") ->
     again = anchors.groupBy("h").agg(F.count("*").alias("_n")).filter("_n > 1").select("h")
     found = stage(anchors.join(again, "h"), "recurring-anchors")
     kinds = found.groupBy("h", "rh").agg(
-        F.count("*").alias("copies"), F.min(F.struct("did", "rk", "begin", "pos", "finish")).alias("one")
+        F.count("*").alias("copies"), F.min(F.struct("did", "rk", "begin", "finish")).alias("one")
     )
     kinds = stage(kinds, "regions")
 
     # regions that recur as a whole
     whole = found.join(kinds.filter("copies > 1"), ["h", "rh"])
     if keep == "first":
-        whole = whole.filter(F.struct("did", "rk", "begin", "pos", "finish") != F.col("one"))
+        whole = whole.filter(F.struct("did", "rk", "begin", "finish") != F.col("one"))
     spans = whole.select("did", "rk", "begin", "finish")
 
     # different regions around one anchor
@@ -250,17 +268,17 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, keep: str = "none") ->
         kinds.join(mixed, "h")
         .groupBy("one.did", "one.rk")
         .agg(F.collect_list(F.struct(
-            "h", "one.begin", "one.pos", "one.finish", "copies", (F.col("_kinds") > MANY).alias("many"),
+            "h", "one.begin", "one.finish", (F.col("_kinds") > MANY).alias("many"),
         )).alias("wanted"))
     )
     regions = stage(
         texts.join(wanted, ["did", "rk"]).select("did", "rk", "text", "wanted")
-        .mapInArrow(_regions, REGIONS),
+        .mapInArrow(functools.partial(_regions, length=length), REGIONS),
         "region-texts",
     )
     few = (
         regions.filter("not many").repartition("h")
-        .sortWithinPartitions("h", "did", "rk", "begin", "lead")
+        .sortWithinPartitions("h", "did", "rk", "begin")
         .mapInArrow(functools.partial(_sort_regions, length=length, keep=keep), SPANS)
     )
     return spans.unionByName(few).unionByName(
