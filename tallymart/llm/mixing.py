@@ -133,19 +133,22 @@ def domain_probabilities(
     )
 
 
-def _rate(steps: list[np.ndarray], domains: int) -> Column:
-    """The rate after all steps, each projected to r >= 0."""
+def _rate(steps: list[np.ndarray], domains: int, most: float) -> Column:
+    """The rate after all steps, each projected to 0 <= r <= ``most``."""
     if not steps:
-        return F.lit(1.0)
+        return F.lit(min(1.0, most))
     path = F.array(*(F.array(*(F.lit(float(x)) for x in step)) for step in steps))
 
     def after(rate: Column, step: Column) -> Column:
-        return F.greatest(F.lit(0.0), rate - sum(F.col("_p")[i] * step[i] for i in range(domains)))
+        moved = rate - sum(F.col("_p")[i] * step[i] for i in range(domains))
+        return F.least(F.greatest(F.lit(0.0), moved), F.lit(most))
 
-    return F.aggregate(path, F.lit(1.0), after)
+    return F.aggregate(path, F.lit(min(1.0, most)), after)
 
 
-def fit_rates(narrow: DataFrame, wanted: dict[str, float], hold: str | None) -> list[np.ndarray]:
+def fit_rates(
+    narrow: DataFrame, wanted: dict[str, float], hold: str | None, most: float
+) -> list[np.ndarray]:
     """Step vectors for rows of n_tokens and _p; ``hold`` keeps that domain's tokens as they are."""
     domains = list(wanted)
     k = len(domains)
@@ -154,10 +157,11 @@ def fit_rates(narrow: DataFrame, wanted: dict[str, float], hold: str | None) ->
     share = share / share.sum()
 
     def measure(steps: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        free = (F.col("_r") > 0) & (F.col("_r") < most)
         tokens = [F.col("n_tokens") * F.col("_p")[i] for i in range(k)]
-        row = narrow.withColumn("_r", _rate(steps, k)).agg(
+        row = narrow.withColumn("_r", _rate(steps, k, most)).agg(
             *(F.sum(F.col("_r") * t).alias(f"t{i}") for i, t in enumerate(tokens)),
-            *(F.sum(F.when(F.col("_r") > 0, tokens[i] * F.col("_p")[j])).alias(f"g{i}_{j}") for i, j in pairs),
+            *(F.sum(F.when(free, tokens[i] * F.col("_p")[j])).alias(f"g{i}_{j}") for i, j in pairs),
         ).first()
         scale = np.zeros((k, k))
         for i, j in pairs:
@@ -189,17 +193,21 @@ def fit_rates(narrow: DataFrame, wanted: dict[str, float], hold: str | None) ->
 
 def mix(
     docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float] = TARGETS,
-    hold: str | None = None, sample: int = SAMPLE, lexicon: int = LEXICON,
-    carry: Sequence[str] = ("*",),
+    hold: str | None = None, most: float = float("inf"), sample: int = SAMPLE,
+    lexicon: int = LEXICON, carry: Sequence[str] = ("*",),
 ) -> DataFrame:
-    """_document (the columns to carry), n_tokens, _p in order of ``targets``, and rate."""
+    """_document (the columns to carry), n_tokens, _p in order of ``targets``, and rate.
+
+    With ``hold``, that domain keeps its expected tokens and the others are fitted to them; without,
+    all domains together do. Rates go up to ``most``.
+    """
     if not targets or min(targets.values()) <= 0:
         raise ValueError("every domain needs a target above 0")
     domains = list(targets)
     rated = domain_probabilities(docs, labelled, domains, sample, lexicon, carry)
     rated = stage(rated, "memberships")
-    steps = fit_rates(rated.select("n_tokens", "_p"), dict(targets), hold)
-    return rated.withColumn("rate", _rate(steps, len(domains)))
+    steps = fit_rates(rated.select("n_tokens", "_p"), dict(targets), hold, most)
+    return rated.withColumn("rate", _rate(steps, len(domains), most))
 
 
 def repeat_by_rate(mixed: DataFrame) -> DataFrame:

@@ -249,13 +249,13 @@ def keep_one(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     found = classes(docs, similar)
     firsts = (
         found.filter((F.col("did") == F.col("component_did")) & (F.col("rk") == F.col("component_rk")))
-        .select(F.col("did").alias("_did"), F.col("rk").alias("_rk")).distinct()
+        .select("did", "rk").distinct()
     )
-    names = row_names()
-    rows = docs.withColumns({"_did": names["did"], "_rk": names["rk"]})
-    empty = F.coalesce(~F.col("text").rlike("[^ \t\n\x0b\f\r]"), F.lit(True))  # they have no group
-    chosen = rows.filter(~empty).join(firsts, ["_did", "_rk"]).dropDuplicates(["_did", "_rk"])
-    return chosen.select(docs.columns).unionByName(docs.filter(empty))
+    # texts without a word have no group, and all of them stay
+    bare = F.coalesce(~F.col("text").rlike("[^ \t\n\x0b\f\r]"), F.lit(True))
+    rows = docs.filter(~bare).select(F.struct("*").alias("row"), *(c.alias(n) for n, c in row_names().items()))
+    chosen = rows.join(firsts, ["did", "rk"]).dropDuplicates(["did", "rk"])
+    return chosen.select("row.*").unionByName(docs.filter(bare))
 
 
 def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:

@@ -22,7 +22,7 @@ other's words; further columns are ignored; an empty table gives an empty result
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import ahocorasick
 import numpy as np
@@ -185,7 +185,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     return fragments.join(located, ["h", "codes"]).mapInArrow(_spans, SPANS)
 
 
-def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _remove(batches: Iterator[pa.RecordBatch], rewrite: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts, removed, kept = [], [], []
         for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
@@ -198,17 +198,22 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rest = [word for word, lost in zip(words, gone) if not lost]
             counts.append(len(words))
             removed.append(len(words) - len(rest))
-            kept.append(" ".join(rest))
+            kept.append(" ".join(rest) if rewrite or len(rest) < len(words) else text)
         out = [batch.column("row"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())]
         yield pa.RecordBatch.from_arrays(out, names=["row", "n_words", "n_removed", "kept"])
 
 
-def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns to carry as a struct ``row``, n_words, n_removed and the kept words."""
+def remove_repeats(
+    docs: DataFrame, carry: Sequence[str] = ("doc_id",), rewrite: bool = True
+) -> DataFrame:
+    """The columns to carry as a struct ``row``, n_words, n_removed and the kept words.
+
+    The kept words are joined by one space; without ``rewrite`` a text that loses none stays as it is.
+    """
     spans = repeated_spans(docs).groupBy("did", "rk").agg(
         F.collect_set(F.struct("begin", "finish")).alias("spans")
     )
     texts = docs.select(F.struct(*carry).alias("row"), "doc_id", "text").withColumns(row_names())
     joined = texts.join(spans, ["did", "rk"], "left").select("row", "text", "spans")
     kind = docs.select(F.struct(*carry).alias("row")).schema["row"].dataType.simpleString()
-    return joined.mapInArrow(_remove, f"row {kind}, n_words long, n_removed long, kept string")
+    return joined.mapInArrow(functools.partial(_remove, rewrite=rewrite), f"row {kind}, n_words long, n_removed long, kept string")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tallymart.llm import (
     embeddings, language, mixing, ngram_join, packing, phrases, quality_rules, quality_trees,
     suffixes, token_files,
@@ -86,7 +87,7 @@ def queries() -> dict[str, Query]:
         op5_phrase_automata, op6_kernel_language, op7_boosted_quality, op8_soft_mixing,
         op9_itq_codes, op10_previous_factors,
     ]
-    return {query.__name__: query for query in named}
+    return {query.__name__: query for query in named} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
