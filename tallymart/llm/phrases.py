@@ -3,16 +3,17 @@
 A window of ``WINDOW`` words recurs if it starts in two documents; in a document it is removed if
 it also starts in one of smaller doc_id.
 
-1. Every window has a least-hashed run of ``GRAM`` words, its anchor. A count over all documents
-   keeps the anchors of at least two, and the fragments around them: the words of all windows
-   that could have that anchor, each word as a 32-bit code.
-2. Equal fragments are counted together, with the first and last document. A fragment goes to a
-   shard by its anchor, so that all fragments that could share a window meet.
+1. Every window has a least-hashed run of ``GRAM`` words (the last of equal ones), its anchor. A
+   count over all documents keeps the anchors of at least two.
+2. The windows of such an anchor form a fragment of their document, each word a 32-bit code. All
+   fragments of an anchor meet, and runs of whole anchors make up a shard.
 3. A shard confirms the windows that start in two documents, compiles them into an Aho-Corasick
    automaton, each with its first document, and streams its fragments through: every occurrence
-   in all documents is found in time that grows with the fragments. An anchor with more than
-   ``CROWD`` different fragments would fill a shard; its windows are counted as rows instead.
-4. Occurrences go back to their documents, which lose the words covered.
+   in all documents is found in time that grows with the fragments, and no document is read
+   against a shard that it shares no anchor with.
+4. An anchor of more than ``CROWD`` documents would fill a shard. Its equal fragments are counted
+   together before the shuffle, their windows are counted as rows, and joins, which adaptive
+   execution splits, bring the occurrences back.
 
 Null texts have no words; a null doc_id comes after all others, and two documents without one share
 their place; rows that repeat a doc_id are one document as to order, so they do not remove each
@@ -30,26 +31,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.llm.rows import groups, keyed, row_names, to_batch
-from tallymart.llm.text import WORD, Words, blocks, minima, mix
-from tallymart.sources.staging import stage
+from tallymart.llm.rows import row_names, to_batch
+from tallymart.llm.text import WORD, Words, blocks, minima, mix, owned, prefix_hash, run_hash
 
 WINDOW = 13
-GRAM = 6
+GRAM = 5
 SHARD_ROWS = 20_000
 CROWD = 2000
 CODE = 4  # bytes of a word's code
 
-FRAGMENTS = "h long, codes binary, did long, rk long, begin int"
-OCCURRENCES = "h long, codes binary, starts array<int>, firsts array<long>"
+FRAGMENTS = "h long, did long, rk long, codes binary, begins array<int>"
 SPANS = "did long, rk long, begin int, finish int"
 
 
-def _anchors_of(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """The words at which anchors begin, and their hashes."""
+def _anchors_of(words: Words) -> tuple[np.ndarray, ...]:
+    """The text of each anchor, its hash, and the first and last word of its windows."""
     grams, _ = words.grams(GRAM)
-    at = minima(grams, words.left()[: len(grams)] >= WINDOW, WINDOW - GRAM + 1)
-    return at, grams[at]
+    width = WINDOW - GRAM + 1
+    at = minima(grams, words.left()[: len(grams)] >= WINDOW, width)
+    text, h = words.owner()[at], grams[at]
+    first, last = owned(h, at, words.word_bounds[text], words.word_bounds[text + 1] - WINDOW, width)
+    own = last >= first
+    return text[own], h[own], first[own], last[own] + WINDOW
 
 
 def _within(h: np.ndarray, owner: np.ndarray) -> np.ndarray:
@@ -59,38 +62,40 @@ def _within(h: np.ndarray, owner: np.ndarray) -> np.ndarray:
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for block in blocks(batch, "text"):
-            words = Words(block.column("text"))
-            at, h = _anchors_of(words)
-            owner = words.owner()[at]
-            first = np.unique(_within(h, owner), return_index=True)[1]
+            text, h, _, _ = _anchors_of(Words(block.column("text")))
+            once = np.unique(_within(h, text), return_index=True)[1]
             yield pa.RecordBatch.from_arrays(
-                [block.column("did").take(pa.array(owner[first])), pa.array(h[first].view(np.int64))],
+                [block.column("did").take(pa.array(text[once])), pa.array(h[once].view(np.int64))],
                 names=["did", "h"],
             )
 
 
 def _fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The fragments of the wanted anchors; equal ones of a text are one row."""
     for batch in batches:
         for block in blocks(batch, "text"):
             words = Words(block.column("text"))
-            at, h = _anchors_of(words)
-            owner = words.owner()[at]
+            text, h, first, end = _anchors_of(words)
             wanted = block.column("wanted")
             lengths = np.diff(wanted.offsets.to_numpy())
             names = wanted.flatten().to_numpy().view(np.uint64)
             asked = _within(names, np.repeat(np.arange(len(lengths)), lengths))
-            hit = np.isin(_within(h, owner), asked)
-            at, h, owner = at[hit], h[hit], owner[hit]
-            low = np.maximum(words.word_bounds[owner], at - (WINDOW - GRAM))
-            high = np.minimum(words.word_bounds[owner + 1], at + WINDOW)
+            hit = np.isin(_within(h, text), asked)
+            text, h, first, end = text[hit], h[hit], first[hit], end[hit]
+            same = _within(run_hash(prefix_hash(words.hashes), first, end) + h, text)
+            order = np.argsort(same, kind="stable")
+            cuts = np.flatnonzero(np.diff(same[order], prepend=same[order[:1]] + np.uint64(1)))
+            one = order[cuts]  # the first place of each
             codes = (words.hashes >> np.uint64(32)).astype("<u4").tobytes()
-            pieces = [codes[CODE * a : CODE * b] for a, b in zip(low.tolist(), high.tolist())]
-            texts = pa.array(owner)
+            pieces = [codes[CODE * a : CODE * b] for a, b in zip(first[one].tolist(), end[one].tolist())]
+            begins = (first - words.word_bounds[text])[order].astype(np.int32)
+            offsets = pa.array([*cuts, len(order)], pa.int32())
+            texts = pa.array(text[one])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h.view(np.int64)), pa.array(pieces, pa.binary()),
-                 block.column("did").take(texts), block.column("rk").take(texts),
-                 pa.array((low - words.word_bounds[owner]).astype(np.int32))],
-                names=["h", "codes", "did", "rk", "begin"],
+                [pa.array(h[one].view(np.int64)), block.column("did").take(texts),
+                 block.column("rk").take(texts), pa.array(pieces, pa.binary()),
+                 pa.ListArray.from_arrays(offsets, pa.array(begins))],
+                names=["h", "did", "rk", "codes", "begins"],
             )
 
 
@@ -120,81 +125,103 @@ def locate(automaton: ahocorasick.Automaton, codes: bytes) -> tuple[list[int], l
     return [end - WINDOW + 1 for end, _ in hits], [first for _, first in hits]
 
 
+def _runs(starts: list[int], begins: list[int]) -> Iterator[tuple[int, int]]:
+    """The words covered by windows at ``starts`` of a fragment at each of its places."""
+    runs: list[list[int]] = []
+    for start in sorted(starts):
+        if runs and start <= runs[-1][1]:
+            runs[-1][1] = start + WINDOW
+        else:
+            runs.append([start, start + WINDOW])
+    return ((begin + a, begin + b) for begin in begins for a, b in runs)
+
+
+def _shard_spans(rows: list[dict]) -> list[tuple]:
+    first_of = confirm([(r["codes"], r["did"], r["did"]) for r in rows])
+    if not first_of:
+        return []
+    automaton = compile_windows(first_of)
+    out = []
+    for r in rows:
+        starts, firsts = locate(automaton, r["codes"])
+        later = [s for s, first in zip(starts, firsts) if first < r["did"]]
+        out += [(r["did"], r["rk"], a, b) for a, b in _runs(later, r["begins"])]
+    return out
+
+
 def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in groups(batches, "shard"):
-        first_of = confirm([(r["codes"], r["first"], r["last"]) for r in rows])
-        if not first_of:
-            continue
-        automaton = compile_windows(first_of)
-        found = [(r["h"], r["codes"], *locate(automaton, r["codes"])) for r in rows]
-        yield to_batch([f for f in found if f[2]], OCCURRENCES)
+    """Spans from fragments that arrive ordered by anchor: shard by shard of whole anchors."""
+    shard: list[dict] = []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if len(shard) >= SHARD_ROWS and row["h"] != shard[-1]["h"]:
+                yield to_batch(_shard_spans(shard), SPANS)
+                shard = []
+            shard.append(row)
+    if shard:
+        yield to_batch(_shard_spans(shard), SPANS)
 
 
-def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The words of a fragment in windows that some smaller document has, as runs."""
+def _later_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        columns = (batch.column(c).to_pylist() for c in ("did", "rk", "begin", "starts", "firsts"))
-        for did, rk, begin, starts, firsts in zip(*columns):
-            runs: list[list[int]] = []
-            for start in sorted(s for s, first in zip(starts, firsts) if first < did):
-                if runs and start <= runs[-1][1]:
-                    runs[-1][1] = start + WINDOW
-                else:
-                    runs.append([start, start + WINDOW])
-            out += [(did, rk, begin + a, begin + b) for a, b in runs]
+        columns = (batch.column(c).to_pylist() for c in ("did", "rk", "begins", "starts", "firsts"))
+        for did, rk, begins, starts, firsts in zip(*columns):
+            later = [s for s, first in zip(starts, firsts) if first < did]
+            out += [(did, rk, a, b) for a, b in _runs(later, begins)]
         yield to_batch(out, SPANS)
 
 
-def _counted(kinds: DataFrame) -> DataFrame:
-    """Occurrences in the fragments of crowded anchors, their windows counted as rows."""
+def _counted(fragments: DataFrame) -> DataFrame:
+    """Spans from fragments of crowded anchors, their windows counted as rows."""
+    kinds = fragments.groupBy("h", "codes").agg(F.min("did").alias("first"), F.max("did").alias("last"))
     places = F.expr(f"sequence(0, octet_length(codes) div {CODE} - {WINDOW})").cast("array<int>")
-    windows = kinds.select(
-        "h", "codes", "first", "last", F.explode(places).alias("start")
-    ).withColumn("window", F.expr(f"substring(codes, {CODE} * start + 1, {CODE * WINDOW})"))
+    windows = kinds.select("*", F.explode(places).alias("start")).withColumn(
+        "window", F.expr(f"substring(codes, {CODE} * start + 1, {CODE * WINDOW})")
+    )
     first_of = (
         windows.groupBy("h", "window").agg(F.min("first").alias("one"), F.max("last").alias("end"))
         .filter("one < end").select("h", "window", "one")
     )
-    return windows.join(first_of, ["h", "window"]).groupBy("h", "codes").agg(
+    located = windows.join(first_of, ["h", "window"]).groupBy("h", "codes").agg(
         F.collect_list("start").alias("starts"), F.collect_list("one").alias("firsts")
     )
+    return fragments.join(located, ["h", "codes"]).mapInArrow(_later_spans, SPANS)
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """did, rk, begin, finish: runs of words to remove from each text; they may overlap."""
-    texts = keyed(docs)
-    anchors = texts.mapInArrow(_anchors, "did long, h long")
+def repeated_spans(texts: DataFrame) -> DataFrame:
+    """did, rk, begin, finish: runs of words to remove from each text; they may overlap.
+
+    ``texts`` (with did, rk and text) is shuffled by did once for all joins of a query with it.
+    """
+    anchors = texts.select("did", "text").mapInArrow(_anchors, "did long, h long")
     recurring = (
-        anchors.groupBy("h").agg(F.min("did").alias("a"), F.max("did").alias("b"))
-        .filter("a < b").select("h")
-    )
-    wanted = anchors.join(recurring, "h").groupBy("did").agg(F.collect_set("h").alias("wanted"))
-    fragments = stage(texts.join(wanted, "did").mapInArrow(_fragments, FRAGMENTS), "fragments")
-    kinds = fragments.groupBy("h", "codes").agg(F.min("did").alias("first"), F.max("did").alias("last"))
-    kinds = stage(kinds, "fragment-kinds")
-    crowds = kinds.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > CROWD).select("h")
-    shards = max(1, kinds.count() // SHARD_ROWS)
-    located = (
-        kinds.join(crowds, "h", "left_anti")
-        .withColumn("shard", F.pmod("h", F.lit(shards)))
-        .repartition("shard").sortWithinPartitions("shard")
-        .mapInArrow(_locate, OCCURRENCES)
-        .unionByName(_counted(kinds.join(crowds, "h")))
+        anchors.groupBy("h")
+        .agg(F.min("did").alias("a"), F.max("did").alias("b"), F.count("*").alias("n"))
+        .filter("a < b").select("h", (F.col("n") > CROWD).alias("crowded"))
     )
-    return fragments.join(located, ["h", "codes"]).mapInArrow(_spans, SPANS)
+    found = anchors.join(recurring, "h")
+
+    def fragments(which: str) -> DataFrame:
+        wanted = found.filter(which).groupBy("did").agg(F.collect_set("h").alias("wanted"))
+        return texts.join(wanted, "did").mapInArrow(_fragments, FRAGMENTS)
+
+    few = fragments("not crowded").repartition("h").sortWithinPartitions("h").mapInArrow(_locate, SPANS)
+    return few.unionByName(_counted(fragments("crowded")))
 
 
 def _remove(batches: Iterator[pa.RecordBatch], rewrite: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts, removed, kept = [], [], []
-        for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
+        columns = (batch.column(c).to_pylist() for c in ("rk", "text", "spans"))
+        for rk, text, spans in zip(*columns):
             words = WORD.findall(text or "")
             rest = words
             if spans:
                 gone = bytearray(len(words))
                 for s in spans:
-                    gone[s["begin"] : s["finish"]] = b"\1" * (s["finish"] - s["begin"])
+                    if s["rk"] == rk:
+                        gone[s["begin"] : s["finish"]] = b"\1" * (s["finish"] - s["begin"])
                 rest = [word for word, lost in zip(words, gone) if not lost]
             counts.append(len(words))
             removed.append(len(words) - len(rest))
@@ -210,10 +237,11 @@ def remove_repeats(
 
     The kept words are joined by one space; without ``rewrite`` a text that loses none stays as it is.
     """
-    spans = repeated_spans(docs).groupBy("did", "rk").agg(
-        F.collect_set(F.struct("begin", "finish")).alias("spans")
+    texts = docs.select(F.struct(*carry).alias("row"), *(c.alias(n) for n, c in row_names().items()), "text")
+    spans = repeated_spans(texts).groupBy("did").agg(
+        F.collect_set(F.struct("rk", "begin", "finish")).alias("spans")
+    )
+    kind = texts.schema["row"].dataType.simpleString()
+    return texts.join(spans, "did", "left").mapInArrow(
+        functools.partial(_remove, rewrite=rewrite), f"row {kind}, n_words long, n_removed long, kept string"
     )
-    texts = docs.select(F.struct(*carry).alias("row"), "doc_id", "text").withColumns(row_names())
-    joined = texts.join(spans, ["did", "rk"], "left").select("row", "text", "spans")
-    kind = docs.select(F.struct(*carry).alias("row")).schema["row"].dataType.simpleString()
-    return joined.mapInArrow(functools.partial(_remove, rewrite=rewrite), f"row {kind}, n_words long, n_removed long, kept string")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.llm.rows import keyed, row_names, to_batch
-from tallymart.llm.text import blocks, byte_symbols, minima, mix, prefix_hash, run_hash, utf8
+from tallymart.llm.text import blocks, byte_symbols, minima, mix, owned, prefix_hash, run_hash, utf8
 from tallymart.sources.staging import stage
 
 LENGTH = 400
@@ -46,17 +46,6 @@ REGIONS = "h long, did long, rk long, begin int, many boolean, runs array<int>,
 SPANS = "did long, rk long, begin int, finish int"
 
 
-def _neighbours(h: list[int]) -> tuple[list[int], list[int]]:
-    """For each value the last smaller one before it and the first not greater one after it."""
-    before, after, open_ = [-1] * len(h), [len(h)] * len(h), []
-    for i, value in enumerate(h):
-        while open_ and h[open_[-1]] >= value:
-            after[open_.pop()] = i
-        before[i] = open_[-1] if open_ else -1
-        open_.append(i)
-    return before, after
-
-
 def _anchors_of(texts: pa.Array, length: int) -> tuple[np.ndarray, ...]:
     """Text, begin and end of the region in it, gram hash and region hash of each anchor."""
     data, bounds = utf8(texts)
@@ -68,11 +57,7 @@ def _anchors_of(texts: pa.Array, length: int) -> tuple[np.ndarray, ...]:
     allowed = bounds[owner + 1] - np.arange(len(data)) >= length
     at = minima(h, allowed, width)
     text, h = owner[at], h[at]
-    # strings that hold a smaller gram before, or one as small after, belong to that one
-    before, after = _neighbours(h.tolist())
-    edge = np.concatenate([at, [len(data) + length, -1]])  # after the last, before the first
-    first = np.maximum.reduce([bounds[text], at - width + 1, edge[before] + 1])
-    last = np.minimum.reduce([bounds[text + 1] - length, at, edge[after] - width])
+    first, last = owned(h, at, bounds[text], bounds[text + 1] - length, width)
     own = last >= first
     at, text, h, first, last = at[own], text[own], h[own], first[own], last[own]
     region = run_hash(prefix, first, last + length)

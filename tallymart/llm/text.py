@@ -87,6 +87,26 @@ def minima(h: np.ndarray, allowed: np.ndarray, width: int) -> np.ndarray:
     return np.flatnonzero((highest == h) & (highest > 0))
 
 
+def owned(
+    h: np.ndarray, at: np.ndarray, begins: np.ndarray, ends: np.ndarray, width: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """First and last window of which each chosen position is the minimum, the last among equals.
+
+    ``h`` are the hashes of the positions ``at``, and the windows of a position begin from its
+    ``begins`` to its ``ends``. Where the last comes before the first, there is none.
+    """
+    values = h.tolist()
+    before, after, open_ = [-1] * len(at), [len(at)] * len(at), []
+    for i, value in enumerate(values):
+        while open_ and values[open_[-1]] >= value:
+            after[open_.pop()] = i
+        before[i] = open_[-1] if open_ else -1
+        open_.append(i)
+    edge = np.concatenate([at, [np.iinfo(np.int64).max, -1]])  # behind the last, before the first
+    first = np.maximum.reduce([begins, at - width + 1, edge[before] + 1])
+    return first, np.minimum.reduce([ends, at, edge[after] - width])
+
+
 def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with about ``limit`` bytes of text; a row is never cut."""
     lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
