@@ -38,7 +38,7 @@ TREES, DEEPEST = 20, 6
 TARGET = 0.9999
 DEVIATIONS = 4.5
 CROWD = 64
-BLOCK = 192
+BLOCK = 512
 COLUMNS = 8192
 
 DESCRIBED = "doc_id long, did long, rk long, k1 long, k2 long, shingles long, signature binary"
