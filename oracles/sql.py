@@ -126,7 +126,7 @@ gmed AS (
 filled AS (
   SELECT uniq.* REPLACE (
            coalesce(unit_price, m, gm) AS unit_price,
-           coalesce(quantity, 1)::INTEGER AS quantity,
+           coalesce(quantity, 1)::BIGINT AS quantity,
            coalesce(category, '{UNKNOWN}') AS category, coalesce(region, '{UNKNOWN}') AS region,
            coalesce(city, '{UNKNOWN}') AS city,
            coalesce(payment_method, '{UNKNOWN}') AS payment_method),
@@ -146,7 +146,7 @@ flagged AS (
          unit_price > upper_price AS too_dear, {NULLS} AS nulls_after
   FROM imputed JOIN lim ON category = lc),
 tamed AS (
-  SELECT * REPLACE (abs(quantity)::INTEGER AS quantity,
+  SELECT * REPLACE (abs(quantity)::BIGINT AS quantity,
            CASE WHEN (SELECT bool_or(bad_discount) FROM flagged)
                 THEN least(greatest(discount_rate, 0), 0.5::DOUBLE) ELSE discount_rate END
              AS discount_rate,

@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SATURDAY_SUNDAY = (5, 6)  # weekday() numbers, Monday is 0
 
 
+def moment(name: str, forms: Sequence[str] = ()) -> Column:
+    """A date cell as a moment without zone: ISO, or else the first of ``forms`` that fits."""
+    cell = F.trim(F.col(name).cast("string"))
+    whole = F.when(~cell.rlike(r"^\d{5,}$"), cell.try_cast("timestamp_ntz"))
+    others = [F.try_to_timestamp(cell, F.lit(form)).cast("timestamp_ntz") for form in forms]
+    return F.coalesce(whole, *others)
+
+
 def sunday_week(ts: Column) -> Column:
     """Week of the year counted from the first Sunday (00 before it), two digits."""
     # dayofweek is 1 on Sunday, so this counts the Sundays up to and including ts.

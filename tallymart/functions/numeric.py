@@ -39,4 +39,9 @@ def nan_to_null(value: Column) -> Column:
 
 def amount(name: str = "final_amount") -> Column:
     """A money column as an exact decimal, so that sums do not depend on row order."""
-    return F.col(name).cast(MONEY)
+    return F.col(name).try_cast(MONEY)
+
+
+def summed(name: str = "final_amount") -> Column:
+    """Exact sum of a money column; a group of nulls alone sums to zero."""
+    return F.coalesce(F.sum(amount(name)), F.lit(0))

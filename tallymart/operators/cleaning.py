@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymart.functions.calendar import with_time_features
+from tallymart.functions.calendar import moment, with_time_features
 from tallymart.functions.numeric import MONEY, clip, nan_to_null, percent, round_half_up
 from tallymart.operators.ranks import weighted_quantiles
 from tallymart.params import Params
@@ -32,10 +32,10 @@ def _number(df: DataFrame, name: str) -> Column:
     return nan_to_null(column.try_cast("double"))
 
 
-def coerce_types(df: DataFrame) -> DataFrame:
+def coerce_types(df: DataFrame, params: Params = Params()) -> DataFrame:
     """Parse dates and numbers, unparsable cells become null; the text "nan" means null."""
     present = set(df.columns)
-    parsed = {"order_date": F.col("order_date").try_cast("timestamp_ntz")}
+    parsed = {"order_date": moment("order_date", params.date_forms)}
     parsed |= {n: _number(df, n) for n in NUMERIC_COLUMNS}
     parsed |= {n: F.nullif(F.col(n).cast("string"), F.lit("nan")) for n in TEXT_COLUMNS}
     return df.withColumns({n: c for n, c in parsed.items() if n in present})
@@ -69,13 +69,13 @@ def price_counts(df: DataFrame) -> DataFrame:
     )
 
 
-def median_prices(counts: DataFrame, small: bool = False) -> DataFrame:
+def median_prices(counts: DataFrame) -> DataFrame:
     """The price to impute per category: its median, else the median of all orders."""
     priced = counts.dropna(subset=["value"])
     known = priced.dropna(subset=["category"])
-    category = weighted_quantiles(known, ["category"], [0.5], out="_own", small=small)
+    category = weighted_quantiles(known, ["category"], [0.5], out="_own")
     everything = priced.withColumn("_scope", F.lit("all"))
-    overall = weighted_quantiles(everything, ["_scope"], [0.5], out="_overall", small=small)
+    overall = weighted_quantiles(everything, ["_scope"], [0.5], out="_overall")
     overall = overall.agg(F.max(F.get("_overall", F.lit(0))).alias("_overall"))
     return (
         counts.select("category")
@@ -87,7 +87,7 @@ def median_prices(counts: DataFrame, small: bool = False) -> DataFrame:
 
 
 def price_limits(
-    counts: DataFrame, fills: DataFrame, params: Params = Params(), small: bool = False
+    counts: DataFrame, fills: DataFrame, params: Params = Params()
 ) -> DataFrame:
     """Upper price limit per filled category, over prices as they are after imputation."""
     fills = fills.withColumnRenamed("category", "_raw")
@@ -100,39 +100,27 @@ def price_limits(
         )
         .dropna(subset=["value"])
     )
-    quartiles = weighted_quantiles(imputed, ["_label"], [0.25, 0.75], small=small)
+    quartiles = weighted_quantiles(stage(imputed, "imputed-prices"), ["_label"], [0.25, 0.75])
     q1, q3 = F.get("quantiles", F.lit(0)), F.get("quantiles", F.lit(1))
     return quartiles.select("_label", (q3 + (q3 - q1) * params.iqr_multiplier).alias(_UPPER))
 
 
-def category_prices(counts: DataFrame, params: Params, small: bool) -> DataFrame:
+def category_prices(counts: DataFrame, params: Params) -> DataFrame:
     """One row per raw category (null included) with its fill price and upper limit."""
-    fills = median_prices(counts, small)
-    limits = price_limits(counts, fills, params, small)
+    fills = stage(median_prices(counts), "fill-prices")
+    limits = price_limits(counts, fills, params)
     return fills.join(limits, _filled_label(params) == F.col("_label"), "left").drop("_label")
 
 
-def _join_by_category(df: DataFrame, prices: DataFrame, params: Params) -> DataFrame:
-    """Attach the category prices to the orders without gathering a category in one task.
+def _join_by_category(df: DataFrame, prices: DataFrame) -> DataFrame:
+    """Attach the category prices to the orders.
 
-    A price table within the broadcast limit is fetched and sent to every task. A larger one is
-    stored, and both sides meet in a shuffle on category and salt, with the prices repeated
-    once per salt.
+    The prices are stored, so that the size of their files decides on a broadcast; beyond it
+    adaptive execution splits the orders of a hot category. Null categories match on a flag.
     """
-    prices = prices.withColumnRenamed("category", "_raw")
-    same = F.col("category").eqNullSafe(F.col("_raw"))
-    rows = prices.limit(params.broadcast_rows + 1).collect()
-    if len(rows) <= params.broadcast_rows:
-        local = df.sparkSession.createDataFrame(rows, prices.schema)
-        return df.join(F.broadcast(local), same, "left").drop("_raw")
-    salts = params.join_salts
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64("order_id"), F.lit(salts)))
-    repeated = stage(prices, "category-prices").withColumn(
-        "_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
-    return salted.join(repeated, same & (F.col("_salt") == F.col("_copy")), "left").drop(
-        "_raw", "_salt", "_copy"
-    )
+    known = F.coalesce("category", F.lit("")).alias("_label"), F.col("category").isNull().alias("_none")
+    prices = stage(prices, "category-prices").select(*known, _FILL, _UPPER)
+    return df.select("*", *known).join(prices, ["_label", "_none"], "left").drop("_label", "_none")
 
 
 def fill_labels(df: DataFrame, params: Params = Params()) -> DataFrame:
@@ -141,9 +129,12 @@ def fill_labels(df: DataFrame, params: Params = Params()) -> DataFrame:
 
 
 def fill_quantity(df: DataFrame, params: Params = Params()) -> DataFrame:
-    """A missing quantity becomes the default; fractions are cut off."""
-    filled = F.coalesce("quantity", F.lit(params.default_quantity))
-    return df.withColumn("quantity", filled.cast("int"))
+    """A missing quantity becomes the default; fractions are cut off.
+
+    One beyond 64 bits cannot be a count and counts as missing too.
+    """
+    default = F.lit(params.default_quantity).cast("long")
+    return df.withColumn("quantity", F.coalesce(F.col("quantity").try_cast("long"), default))
 
 
 def _amounts(df: DataFrame, discount: Column) -> DataFrame:
@@ -166,7 +157,9 @@ def _cap(df: DataFrame, params: Params) -> DataFrame:
     too_dear = F.col("unit_price") > F.col(_UPPER)
     capped = df.withColumns(
         {
-            "quantity": F.abs("quantity"),
+            "quantity": F.when(
+                F.col("quantity") < 0, F.try_subtract(F.lit(0), "quantity")
+            ).otherwise(F.col("quantity")),
             "discount_rate": F.when(
                 F.col("_any_bad_discount"), clip(discount, 0.0, params.max_discount_rate)
             ).otherwise(discount),
@@ -186,13 +179,12 @@ def _bad_discount() -> Column:
 
 def _prepared(df: DataFrame, params: Params) -> DataFrame:
     """Deduplicated orders with their category prices and the table-wide discount flag."""
-    unique = drop_duplicate_orders(coerce_types(df), params.duplicate_order)
+    unique = drop_duplicate_orders(coerce_types(df, params), params.duplicate_order)
     unique = stage(unique, "unique-orders")
     counts = stage(price_counts(unique), "price-counts")
-    size, bad_discount = counts.agg(F.count(F.lit(1)), F.max("bad_discount")).first()
-    prices = category_prices(counts, params, small=size <= params.single_task_rows)
+    bad_discount = counts.agg(F.max("bad_discount")).first()[0]
     # One rate outside [0, 1] is enough to have every rate limited.
-    return _join_by_category(unique, prices, params).withColumn(
+    return _join_by_category(unique, category_prices(counts, params)).withColumn(
         "_any_bad_discount", F.lit(bool(bad_discount))
     )
 
@@ -213,7 +205,7 @@ def _cleaned(df: DataFrame, params: Params) -> DataFrame:
 
 
 def _typed_amounts(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast(MONEY) for c in ("total_amount", "final_amount")})
+    return df.withColumns({c: F.col(c).try_cast(MONEY) for c in ("total_amount", "final_amount")})
 
 
 def impute_orders(df: DataFrame, params: Params = Params()) -> DataFrame:

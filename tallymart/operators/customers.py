@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.functions.numeric import amount, percent
+from tallymart.functions.numeric import percent, summed
 from tallymart.operators.filters import completed
 from tallymart.params import Params
 
@@ -14,7 +14,7 @@ def _per_customer(df: DataFrame, *keys: str) -> DataFrame:
     return (
         df.dropna(subset=list(keys))
         .groupBy(*keys)
-        .agg(F.count("order_id").alias("order_count"), F.sum(amount()).alias("total"))
+        .agg(F.count("order_id").alias("order_count"), summed().alias("total"))
     )
 
 

@@ -135,18 +135,16 @@ def sales_forecast(df: DataFrame, keys: Sequence[str] = (), params: Params = Par
     ahead = f"state.level + h * state.trend + array({queue})[(h - 1) % {season}]"
     past = F.expr(
         "transform(ys, (y, i) -> named_struct('ds', days[i], 'actual', y, "
-        "'predicted', state.fitted[i]))"
+        "'predicted', state.fitted[i], 'is_forecast', false))"
     )
     future = F.expr(
         f"transform(sequence(1, {params.forecast_days}), h -> named_struct("
         "'ds', date_add(array_max(days), h), 'actual', cast(null as double), "
-        f"'predicted', if(state is null, null, greatest(0D, {ahead}))))"
+        f"'predicted', if(({ahead}) is null, null, greatest(0D, {ahead})), 'is_forecast', true))"
     )
     # Rows leave each series in date order; a global sort would run the folds a second time to
     # sample its ranges.
-    return fitted.select(*keys, F.inline(F.concat(past, future))).withColumn(
-        "is_forecast", F.col("actual").isNull()
-    )
+    return fitted.select(*keys, F.inline(F.concat(past, future)))
 
 
 def forecast_total(forecast: DataFrame) -> DataFrame:

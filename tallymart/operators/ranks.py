@@ -1,17 +1,12 @@
 """Exact quantiles and tiles of columns of any size.
 
-A table whose row count is known to be small uses the built-in functions, which gather a group
-in one task. Beyond that size the functions below spread the work; both ways give the same
-result.
-
 Both need the value at a given position of a sorted column. Values are first counted, so a value
-that repeats a billion times is one row. The counted values are then put into buckets that follow
-their order; the bucket totals, added up in order, tell which bucket holds each wanted position,
-and only those few buckets are sorted. Every step is a function of the data alone, so a lost
-executor recomputes the same buckets.
-
-A bucket spans 0.017 % of its values' size: money around 1,000,000.00 shares a bucket with at
-most 17,000 distinct cent amounts, however many rows there are.
+that repeats a billion times is one row. The range of each key is cut into equal cells; the cell
+totals, added up in order, tell which cell holds each wanted position, and the range shrinks to
+that cell, again and again, until it has few enough distinct values to sort. So any values do,
+also doubles that differ in their last digits, and nothing larger than such a cell is ever sorted
+in one task. Every step is a function of the data alone, so a lost executor recomputes the same
+cells. There is no other way for small tables.
 """
 
 from __future__ import annotations
@@ -22,18 +17,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymart.params import Params
+from tallymart.sources.staging import stage
 
-BUCKETS_PER_DOUBLING = 4096
+CELLS = 4096
+SORTED_VALUES = 50_000  # distinct values of a cell that one task may sort
 TIE_PREFIX = 4  # hex digits of the tie key, 65,536 buckets
 
 
-def _value_bucket(value: Column) -> Column:
-    v = value.cast("double")
-    size = F.floor(F.log2(F.abs(v) + 1) * BUCKETS_PER_DOUBLING).cast("long")
-    return F.when(v < 0, -size).otherwise(size)
-
-
 def _before(weight: str, keys: Sequence[str], order: str) -> Column:
     frame = (
         Window.partitionBy(*keys)
@@ -47,6 +37,13 @@ def _holds(rank: Column, below: Column, weight: Column) -> Column:
     return (rank >= below) & (rank < below + weight)
 
 
+def _cell(value: Column, low: Column, high: Column) -> Column:
+    """Number of the cell of [low, high]; it never falls as the value grows."""
+    v, a, b = value.cast("double"), low.cast("double"), high.cast("double")
+    place = F.floor(F.try_divide(v - a, b - a) * CELLS).cast("int")
+    return F.coalesce(F.least(place, F.lit(CELLS - 1)), F.lit(0))
+
+
 def select_ranks(
     counts: DataFrame,
     keys: Sequence[str],
@@ -56,30 +53,49 @@ def select_ranks(
 ) -> DataFrame:
     """Rows at the wanted zero-based positions of each key's sorted, weighted values.
 
-    ``counts`` holds (keys, value, weight) with non-null keys and values; ``ranks`` maps the
-    total weight of a key to an array of positions. Returns (keys, rank, value, below, total),
-    where ``below`` is the weight sorted before the returned row.
+    ``counts`` is a stored table of (keys, value, weight) with non-null keys and values; ``ranks``
+    maps the total weight of a key to an array of positions. Returns (keys, rank, value, below,
+    total), where ``below`` is the weight sorted before the returned row.
     """
     keys = list(keys)
-    bucketed = counts.withColumn("_bucket", _value_bucket(F.col(value)))
-    histogram = bucketed.groupBy(*keys, "_bucket").agg(F.sum(weight).alias("_n"))
-    located = histogram.withColumns(
-        {
-            "_start": _before("_n", keys, "_bucket"),
-            "total": F.sum("_n").over(Window.partitionBy(*keys)),
-        }
+    v = F.col(value)
+    ends = counts.groupBy(*keys).agg(
+        F.min(value).alias("_low"), F.max(value).alias("_high"), F.sum(weight).alias("total"),
+        F.count(F.lit(1)).alias("_kinds"),
     )
-    inside = F.filter(
-        ranks(F.col("total")), lambda r: _holds(r, F.col("_start"), F.col("_n"))
+    wanted = stage(
+        ends.select(*keys, "_low", "_high", F.lit(0).cast("long").alias("_start"), "_kinds", "total",
+                    F.explode(ranks(F.col("total"))).alias("rank")),
+        "wanted-ranks",
+    )
+    cell = [*keys, "_low", "_high"]
+    while (wanted.agg(F.max("_kinds")).first()[0] or 0) > SORTED_VALUES:
+        spans = wanted.select(*cell).distinct()
+        inside = counts.join(spans, keys).filter(v.between(F.col("_low"), F.col("_high")))
+        cells = (
+            inside.withColumn("_cell", _cell(v, F.col("_low"), F.col("_high")))
+            .groupBy(*cell, "_cell")
+            .agg(F.sum(weight).alias("_n"), F.min(value).alias("_least"),
+                 F.max(value).alias("_most"), F.count(F.lit(1)).alias("_values"))
+            .withColumn("_before", _before("_n", cell, "_cell"))
+        )
+        first = F.col("_start") + F.col("_before")
+        wanted = stage(
+            wanted.join(cells, cell).filter(_holds(F.col("rank"), first, F.col("_n")))
+            .select(*keys, F.col("_least").alias("_low"), F.col("_most").alias("_high"),
+                    first.alias("_start"), F.col("_values").alias("_kinds"), "total", "rank"),
+            "wanted-ranks",
+        )
+    spans = wanted.select(*cell, "_start", "total").distinct()
+    inside = counts.join(spans, keys).filter(v.between(F.col("_low"), F.col("_high")))
+    below = F.col("_start") + _before(weight, cell, value)
+    placed = inside.withColumn("below", below).select(
+        *cell, F.col(value).alias("_value"), "below", F.col(weight).alias("_n")
     )
-    located = located.withColumn("_ranks", inside).filter(F.size("_ranks") > 0).drop("_n")
-    below = F.col("_start") + _before(weight, [*keys, "_bucket"], value)
-    hit = F.filter("_ranks", lambda r: _holds(r, F.col("below"), F.col(weight)))
     return (
-        bucketed.join(located, [*keys, "_bucket"])
-        .withColumn("below", below)
-        .withColumn("rank", F.explode(hit))
-        .select(*keys, "rank", value, "below", "total")
+        wanted.join(placed, cell)
+        .filter(_holds(F.col("rank"), F.col("below"), F.col("_n")))
+        .select(*keys, "rank", F.col("_value").alias(value), "below", "total")
     )
 
 
@@ -90,13 +106,8 @@ def weighted_quantiles(
     value: str = "value",
     weight: str = "n",
     out: str = "quantiles",
-    small: bool = False,
 ) -> DataFrame:
     """Linearly interpolated quantiles per key as one array column."""
-    if small:
-        levels = F.array(*[F.lit(float(p)) for p in probabilities])
-        quantiles = F.percentile(F.col(value).cast("double"), levels, F.col(weight))
-        return counts.groupBy(*keys).agg(quantiles.alias(out))
 
     def position(p: float, total: Column) -> Column:
         return (total - 1) * F.lit(float(p))
@@ -122,7 +133,7 @@ def weighted_quantiles(
         low = F.element_at("_at", F.floor(at))
         high = F.element_at("_at", F.ceil(at))
         share = at - F.floor(at)
-        # The arithmetic of the built-in percentile, so that both ways agree to the last bit.
+        # The arithmetic of the built-in percentile, to the last bit.
         mixed = (F.ceil(at) - at) * low + share * high
         return F.when(low == high, low).otherwise(mixed)
 
@@ -137,54 +148,73 @@ def _tile_starts(n: int, total: Column) -> Column:
     return F.filter(F.array(*starts), lambda s: s < total)
 
 
+def _common_type(df: DataFrame, column: str) -> str:
+    """Numbers keep their kind: whole ones and decimals are compared exactly."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.IntegralType):
+        return "long"
+    return f"decimal(38,{kind.scale})" if isinstance(kind, T.DecimalType) else "double"
+
+
 def with_tiles(
-    df: DataFrame,
-    n: int,
-    columns: dict[str, str],
-    tie_columns: Sequence[str],
-    params: Params = Params(),
+    df: DataFrame, n: int, columns: dict[str, str], tie_columns: Sequence[str]
 ) -> DataFrame:
     """Add ntile(n) numbers of several columns, each over the whole table in ascending order.
 
-    Rows of equal value are ordered by a hash of ``tie_columns``, which must identify a row.
+    Nulls come first. Rows of equal value are ordered by a hash of ``tie_columns``, which must
+    identify a row. Only the n - 1 rows where a tile starts are looked up; every row then finds its
+    tile by comparing itself with them, so the table itself is neither sorted nor shuffled.
     ``df`` should be a stored table, since it is read several times.
     """
     identity = F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("")) for c in tie_columns])
-    source = df.withColumn("_tie", F.concat(F.md5(identity), F.lit("|"), identity))
-    if df.count() > params.single_task_rows:
-        return _with_distributed_tiles(source, n, columns).drop("_tie")
-    tiles = {
-        out: F.ntile(n).over(Window.orderBy(column, "_tie")).cast("long")
-        for out, column in columns.items()
-    }
-    return source.withColumns(tiles).drop("_tie")
-
-
-def _with_distributed_tiles(source: DataFrame, n: int, columns: dict[str, str]) -> DataFrame:
-    """Tiles of a large table, ordered by each column and then by its ``_tie`` column.
-
-    Only the n - 1 rows where a tile starts are looked up; every row then finds its tile by
-    comparing itself with them, so the table itself is neither sorted nor shuffled. Whole
-    numbers are compared as such, which is much cheaper than as decimals.
-    """
-    integral = all(isinstance(source.schema[c].dataType, T.IntegralType) for c in columns.values())
-    common = "long" if integral else "decimal(38,6)"
+    tiled = df.withColumn("_tie", F.concat(F.md5(identity), F.lit("|"), identity))
+    alike: dict[str, dict[str, str]] = {}
+    for out, column in columns.items():
+        alike.setdefault(_common_type(df, column), {})[out] = column
+    source = tiled
+    for common, own in alike.items():
+        tiled = _with_tiles_of_kind(tiled, source, n, own, common)
+    return tiled.drop("_tie")
+
+
+def _with_tiles_of_kind(
+    tiled: DataFrame, source: DataFrame, n: int, columns: dict[str, str], common: str
+) -> DataFrame:
+    """Tiles of columns that compare in one type, ordered by each and then by ``_tie``."""
     pairs = [
         F.struct(F.lit(out).alias("metric"), F.col(c).cast(common).alias("value"))
         for out, c in columns.items()
     ]
     values = source.select("_tie", F.inline(F.array(*pairs)))
-    counts = values.groupBy("metric", "value").agg(F.count(F.lit(1)).alias("n"))
-    starts = select_ranks(counts, ["metric"], lambda total: _tile_starts(n, total)).select(
+    counts = stage(values.groupBy("metric", "value").agg(F.count(F.lit(1)).alias("n")), "value-counts")
+    # nulls are sorted before all values, so positions among the values begin behind them
+    nulls = counts.groupBy("metric").agg(
+        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("_nulls"),
+        F.sum("n").alias("_rows"),
+    )
+    known = counts.dropna(subset=["value"]).join(F.broadcast(nulls), "metric")
+    shifted = lambda total: F.filter(
+        F.transform(_tile_starts(n, F.col("_rows")), lambda r: r - F.col("_nulls")), lambda r: r >= 0
+    )
+    among = select_ranks(known, ["metric", "_nulls", "_rows"], shifted).select(
         "metric", "value", (F.col("rank") - F.col("below")).alias("offset")
     )
+    empty = nulls.select(
+        "metric", F.lit(None).cast(common).alias("value"),
+        F.explode(F.filter(_tile_starts(n, F.col("_rows")), lambda r: r < F.col("_nulls"))).alias("offset"),
+    )
+    starts = among.unionByName(empty)
 
     # A tile that starts among equal values starts at one of their tie keys. There are at most
     # len(columns) * (n - 1) such places, whatever the size of the table.
-    tied = values.join(F.broadcast(starts), ["metric", "value"]).withColumn(
-        "_prefix", F.left("_tie", F.lit(TIE_PREFIX))
+    # Their values become text here, so that null ones meet in joins like any other.
+    name = F.coalesce(F.col("value").cast("string"), F.lit("null")).alias("_name")
+    cut_points = starts.select("metric", name, "value", "offset")
+    tied = (
+        values.select("metric", name, "_tie").join(F.broadcast(cut_points), ["metric", "_name"])
+        .withColumn("_prefix", F.left("_tie", F.lit(TIE_PREFIX)))
     )
-    place = ["metric", "value", "offset"]
+    place = ["metric", "_name", "offset"]
     prefixes = tied.groupBy(*place, "_prefix").agg(F.count(F.lit(1)).alias("_n"))
     prefixes = prefixes.withColumn("_start", _before("_n", place, "_prefix")).filter(
         _holds(F.col("offset"), F.col("_start"), F.col("_n"))
@@ -209,7 +239,7 @@ def _with_distributed_tiles(source: DataFrame, n: int, columns: dict[str, str])
         return (F.size(F.filter(f"_cuts_{out}", lambda cut: cut <= own)) + 1).cast("long")
 
     return (
-        source.crossJoin(F.broadcast(cuts))
+        tiled.crossJoin(F.broadcast(cuts))
         .withColumns({out: tile(out, column) for out, column in columns.items()})
         .drop(*[f"_cuts_{out}" for out in columns])
     )

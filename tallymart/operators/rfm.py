@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from tallymart.functions.calendar import elapsed_days
-from tallymart.functions.numeric import amount, ratio
+from tallymart.functions.numeric import ratio, summed
 from tallymart.operators.filters import completed
 from tallymart.operators.ranks import weighted_quantiles
 from tallymart.params import (
@@ -38,7 +38,7 @@ def _customer_types(df: DataFrame, params: Params) -> DataFrame:
         .groupBy("customer_id", "customer_type")
         .agg(
             F.count("order_id").alias("n"),
-            F.sum(amount()).alias("spent"),
+            summed().alias("spent"),
             F.min("order_date").alias("first"),
             F.max("order_date").alias("last"),
         )
@@ -82,40 +82,29 @@ def _bin(value: Column, edges: Column) -> Column:
     return F.when(F.size(edges) > 1, F.greatest(F.lit(1), below)).cast("long")
 
 
-def _edges(customers: DataFrame, levels: list[float], small: bool) -> DataFrame:
-    """One row with the distinct quantile edges of each metric."""
-    if small:
-        at = F.array(*[F.lit(level) for level in levels])
-        return customers.agg(
-            *[
-                F.array_distinct(F.percentile(F.col(m).cast("double"), at)).alias(f"_edges_{m}")
-                for m in METRICS
-            ]
-        )
+def _edges(customers: DataFrame, levels: list[float]) -> DataFrame:
+    """One row with the distinct quantile edges of each metric of a stored table."""
     pairs = [
         F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in METRICS
     ]
     counts = (
-        stage(customers, "rfm")
-        .select(F.inline(F.array(*pairs)))
+        customers.select(F.inline(F.array(*pairs)))
         .dropna(subset=["value"])
         .groupBy("metric", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     edges = F.array_distinct("quantiles")
-    return weighted_quantiles(counts, ["metric"], levels).agg(
+    return weighted_quantiles(stage(counts, "metric-counts"), ["metric"], levels).agg(
         *[F.max(F.when(F.col("metric") == m, edges)).alias(f"_edges_{m}") for m in METRICS]
     )
 
 
 def rfm_scores(df: DataFrame, params: Params = Params()) -> DataFrame:
     """RFM with quantile scores from 1 to 5; a recent customer gets the high recency score."""
-    typed = _customer_types(df, params)
-    customers = _rfm(typed)
+    customers = stage(_rfm(_customer_types(df, params)), "rfm")
     bins = params.score_bins
     levels = [i / bins for i in range(bins + 1)]
-    edges = _edges(customers, levels, small=typed.count() <= params.single_task_rows)
-    scored = customers.crossJoin(F.broadcast(edges)).withColumns(
+    scored = customers.crossJoin(F.broadcast(_edges(customers, levels))).withColumns(
         {f"{m}_score": _bin(F.col(m).cast("double"), F.col(f"_edges_{m}")) for m in METRICS}
     )
     recency = (F.lit(bins + 1) - F.col("recency_score")).cast("long")
@@ -162,7 +151,9 @@ def score_clusters(scored: DataFrame, params: Params = Params()) -> DataFrame:
     features = spark.createDataFrame(rows, [*SCORES, "weight", "features"]).coalesce(1).cache()
 
     def fit(seed: int) -> KMeansModel:
-        kmeans = KMeans(k=params.n_clusters, seed=seed, weightCol="weight")
+        kmeans = KMeans(
+            k=params.n_clusters, seed=seed, weightCol="weight", maxIter=params.cluster_iterations
+        )
         return kmeans.setPredictionCol("cluster").fit(features)
 
     # The restarts are independent and their Spark jobs are short, so they run side by side.

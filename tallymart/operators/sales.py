@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymart.functions.calendar import elapsed_days, is_weekend, month_key
-from tallymart.functions.numeric import amount, growth_percent, percent, ratio, round_half_up
+from tallymart.functions.numeric import growth_percent, percent, ratio, round_half_up, summed
 from tallymart.operators.filters import completed, filter_orders
 from tallymart.params import ALL, DAY_LABELS, Params
 
@@ -21,7 +21,7 @@ def _day() -> Column:
 
 def _aggregate(df: DataFrame, measures: list[str], **keys: Column) -> DataFrame:
     """Group by named key expressions (null keys dropped) and compute the named measures."""
-    total = F.sum(amount())
+    total = summed()
     catalogue = {
         "revenue": total.cast("double"),
         "orders": F.count("order_id"),
@@ -55,7 +55,7 @@ def avg_daily_revenue(df: DataFrame, params: Params = Params()) -> DataFrame:
     daily = (
         completed(df, params)
         .groupBy(_day().alias("date"))
-        .agg(F.sum(amount()).alias("revenue"))
+        .agg(summed().alias("revenue"))
         .dropna(subset=["date"])
     )
     return daily.agg(ratio(F.sum("revenue"), F.count("revenue")).alias("avg_daily_revenue"))
@@ -151,7 +151,7 @@ def weekday_average(df: DataFrame, params: Params = Params()) -> DataFrame:
         completed(df, params)
         .groupBy(F.weekday("order_date").alias("day_of_week"))
         .agg(
-            F.sum(amount()).alias("total"),
+            summed().alias("total"),
             F.count("order_id").alias("orders"),
             F.min("order_date").alias("_first"),
             F.max("order_date").alias("_last"),
@@ -178,7 +178,7 @@ def weekend_uplift(df: DataFrame, params: Params = Params()) -> DataFrame:
     days = (
         completed(df, params)
         .groupBy(_day().alias("date"))
-        .agg(F.sum(amount()).alias("revenue"))
+        .agg(summed().alias("revenue"))
         .dropna(subset=["date"])
         .withColumn("weekend", is_weekend(F.col("date")) == 1)
     )
@@ -220,7 +220,7 @@ def kpi(
     """
     rows = filter_orders(completed(df, params), start, end, category, region, year)
     customers = rows.groupBy("customer_id").agg(
-        F.sum(amount()).alias("revenue"),
+        summed().alias("revenue"),
         F.count("final_amount").alias("priced"),
         F.count(F.lit(1)).alias("records"),
         F.count("order_id").alias("orders"),

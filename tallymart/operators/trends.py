@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymart.functions.numeric import amount, ratio
+from tallymart.functions.numeric import ratio, summed
 from tallymart.operators.filters import completed
 from tallymart.params import Params
 
@@ -19,7 +19,7 @@ def daily_totals(df: DataFrame, keys: tuple[str, ...] = (), params: Params = Par
     return (
         completed(df, params)
         .groupBy(*keys, F.to_date("order_date").alias("date"))
-        .agg(F.sum(amount()).alias("total"), F.count("order_id").alias("orders"))
+        .agg(summed().alias("total"), F.count("order_id").alias("orders"))
         .dropna(subset=[*keys, "date"])
     )
 

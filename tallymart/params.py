@@ -32,6 +32,8 @@ class Params:
 
     # Which copy of an order is the first; a load sequence column may be named here.
     duplicate_order: tuple[str, ...] = ("order_date",)
+    # Forms of a date besides ISO; the first that fits counts.
+    date_forms: tuple[str, ...] = ("yyyy/M/d[ H:mm[:ss]]", "M/d/yyyy[ H:mm[:ss]]", "yyyyMMdd")
     iqr_multiplier: float = 3.0
     max_discount_rate: float = 0.5
     default_quantity: int = 1
@@ -51,9 +53,4 @@ class Params:
     n_clusters: int = 5
     cluster_seed: int = 42
     cluster_restarts: int = 10
-
-    # A table of at most this many rows may be sorted, or its values counted, in one task.
-    single_task_rows: int = 500_000
-    # Largest category table that is broadcast; above it the join is salted.
-    broadcast_rows: int = 20_000
-    join_salts: int = 64
+    cluster_iterations: int = 300

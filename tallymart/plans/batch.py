@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallymart.operators import cleaning, customers, forecast, insights, rfm, sales
 from tallymart.params import Params
 from tallymart.sources import files
+from tallymart.sources.staging import staging
 
 
 @dataclass(frozen=True)
@@ -31,26 +32,35 @@ def base_metrics(orders: DataFrame, params: Params = Params()) -> dict[str, Data
     }
 
 
+def _stored(table: DataFrame, path: str) -> DataFrame:
+    table.write.mode("overwrite").parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
 def run(spark: SparkSession, raw: DataFrame, folder: str, params: Params = Params()) -> BatchResult:
     """Clean once, store the result, and compute everything else from the stored table.
 
     Reading the written table back cuts the lineage: a lost executor re-reads month folders
-    instead of repeating the cleaning, and each metric scans only its own columns.
+    instead of repeating the cleaning, and each metric scans only its own columns. Intermediate
+    tables are deleted when forecast and segments are stored.
     """
-    clean, report = cleaning.clean_with_report(raw, params)
-    files.write_orders(clean, f"{folder}/orders")
-    files.write_report(report, f"{folder}/cleaning_report")
-    orders = files.read_orders(spark, f"{folder}/orders")
-    metrics = base_metrics(orders, params)
-    files.write_metrics(metrics, folder)
-
-    predicted = forecast.sales_forecast(orders, params=params)
-    segments = rfm.customer_segments(rfm.cluster_customers(orders, params))
+    with staging(spark):
+        clean, report = cleaning.clean_with_report(raw, params)
+        files.write_orders(clean, f"{folder}/orders")
+        files.write_report(report, f"{folder}/cleaning_report")
+        orders = files.read_orders(spark, f"{folder}/orders")
+        metrics = base_metrics(orders, params)
+        files.write_metrics(metrics, folder)
+        predicted = forecast.sales_forecast(orders, params=params)
+        segments = rfm.customer_segments(rfm.cluster_customers(orders, params))
+        stored = {
+            name: _stored(table, f"{folder}/{name}")
+            for name, table in {"forecast": predicted, "segments": segments}.items()
+        }
     return BatchResult(
         orders=orders,
-        report=report,
-        forecast=predicted,
-        segments=segments,
+        report=spark.read.schema(report.schema).json(f"{folder}/cleaning_report"),
+        **stored,
         insights=insights.insights(orders, params=params),
         metrics=metrics,
     )

@@ -203,7 +203,7 @@ def rfm_top(df: DataFrame, params: Params = Params()) -> DataFrame:
     customers = stage(customers, "rfm-customers")
     scores = {"_r": "recency_days", "_f": "frequency", "_m": "_cents"}
     identity = ["customer_id", "customer_type"]
-    tiled = with_tiles(customers, params.score_bins, scores, identity, params)
+    tiled = with_tiles(customers, params.score_bins, scores, identity)
     weighted = sum(
         (F.col(tile) * F.lit(weight) for tile, weight in zip(scores, params.rfm_weights)),
         F.lit(0.0),

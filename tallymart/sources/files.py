@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymart.functions.calendar import with_time_features
+from tallymart.functions.calendar import moment, with_time_features
 from tallymart.operators.filters import completed
 from tallymart.params import Params
 from tallymart.sources.schema import CLEAN_SCHEMA, RAW_TEXT_SCHEMA
@@ -25,33 +25,49 @@ CSV_STYLE = {
     "escape": '"',
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
-    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
 }
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_TEXT_SCHEMA) -> DataFrame:
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType = RAW_TEXT_SCHEMA,
+    line_breaks: bool = True,
+    params: Params = Params(),
+) -> DataFrame:
     """Read orders from CSV with a header; a cell that does not fit its type becomes null.
 
     Columns are found by the names in the header: their order is free, unknown ones are left
-    out, and absent ones are absent from the result. A byte order mark is skipped.
+    out, and absent ones are absent from the result. A byte order mark is skipped. Dates may have
+    any form that cleaning knows. Quoted cells may hold line breaks, so a file is read by one
+    task; without ``line_breaks`` a large file without such cells is split among many.
     """
-    reader = spark.read.options(**CSV_STYLE)
+    reader = spark.read.options(**CSV_STYLE, multiLine=str(line_breaks).lower())
     header = [name.lstrip(BYTE_ORDER_MARK) for name in reader.csv(path).columns]
     known = {f.name: f for f in schema}
-    fields = [known.get(name, T.StructField(name, T.StringType())) for name in header]
+    text = {name: T.StructField(name, T.StringType()) for name in header}
+    fields = [text[name] if _is_moment(known.get(name)) else known.get(name, text[name]) for name in header]
     rows = reader.schema(T.StructType(fields)).option("enforceSchema", False).csv(path)
-    return rows.select(*[_cell(f) for f in schema if f.name in header])
+    return rows.select(*[_cell(f, params) for f in schema if f.name in header])
+
+
+def _is_moment(field: T.StructField | None) -> bool:
+    return field is not None and isinstance(field.dataType, T.TimestampNTZType)
 
 
-def _cell(field: T.StructField) -> Column:
+def _cell(field: T.StructField, params: Params) -> Column:
     value = F.col(field.name)
+    if _is_moment(field):
+        return moment(field.name, params.date_forms).alias(field.name)
     if not isinstance(field.dataType, T.StringType):
         return value
     return F.when(~value.isin(*MISSING), value).alias(field.name)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Write a folder of CSV parts; nulls are empty cells."""
+    """Write a folder of CSV parts; nulls are empty cells, moments keep their fractions."""
+    moments = {f.name: F.col(f.name).cast("string") for f in df.schema if _is_moment(f)}
+    df = df.withColumns(moments) if moments else df
     df.write.mode("overwrite").options(**CSV_STYLE).csv(path)
 
 
@@ -93,7 +109,7 @@ def load_orders(
     schema: T.StructType = CLEAN_SCHEMA,
 ) -> tuple[DataFrame, DataFrame]:
     """All stored orders from CSV with calendar columns derived anew, and the completed ones."""
-    orders = with_time_features(read_csv(spark, path, schema))
+    orders = with_time_features(read_csv(spark, path, schema, params=params))
     return orders, completed(orders, params)
 
 

@@ -37,9 +37,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _order_headers(spark: SparkSession, sf_dir: str, wanted: set[str]) -> DataFrame:
+Days = tuple[str, str]
+
+
+def _order_headers(
+    spark: SparkSession, sf_dir: str, wanted: set[str], days: Days | None
+) -> DataFrame:
     """Orders with the customer attributes that are wanted, joined at order grain."""
     headers = _table(spark, sf_dir, "orders")
+    if days:
+        first, last = (F.lit(day).cast("timestamp_ntz") for day in days)
+        headers = headers.filter((F.col("o_orderdate") >= first) & (F.col("o_orderdate") <= last))
     if wanted & (_FROM_CUSTOMER | _FROM_NATION):
         customer = _table(spark, sf_dir, "customer")
         headers = headers.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
@@ -79,10 +87,16 @@ _EXPRESSIONS = {
 
 
 def order_lines(
-    spark: SparkSession, sf_dir: str, columns: Iterable[str] = ORDER_COLUMNS
+    spark: SparkSession,
+    sf_dir: str,
+    columns: Iterable[str] = ORDER_COLUMNS,
+    days: Days | None = None,
 ) -> DataFrame:
     """Order lines with the asked-for columns.
 
+    ``days``, a first and a last day, limits the scan of the orders: the hours that the view adds
+    to the stored day never leave it. Lines without such an order are then left out.
+
     Every dimension hangs on by a left join on its primary key. Such a join neither drops nor
     repeats a line, so dimensions that supply none of the columns are not joined at all. Small
     dimensions are broadcast when their file size says so; large ones meet in shuffle joins
@@ -91,9 +105,10 @@ def order_lines(
     names = list(columns)
     wanted = set(names)
     lines = _table(spark, sf_dir, "lineitem")
-    if wanted & (_FROM_ORDERS | _FROM_CUSTOMER | _FROM_NATION):
-        headers = _order_headers(spark, sf_dir, wanted)
-        lines = lines.join(headers, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    if days or wanted & (_FROM_ORDERS | _FROM_CUSTOMER | _FROM_NATION):
+        headers = _order_headers(spark, sf_dir, wanted, days)
+        how = "inner" if days else "left"
+        lines = lines.join(headers, F.col("l_orderkey") == F.col("o_orderkey"), how)
     if wanted & _FROM_PART:
         # Prices become decimals here, once per part instead of once per line.
         price = F.col("p_retailprice").cast("decimal(12,2)")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,8 +27,24 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder().name
 
 
+_within: list[str] = []
+
+
+@contextlib.contextmanager
+def staging(spark: SparkSession) -> Iterator[str]:
+    """Delete at the end what is staged inside, once the results that need it are stored."""
+    folder = f"{_application_folder(spark)}/run-{uuid.uuid4().hex}"
+    _within.append(folder)
+    try:
+        yield folder
+    finally:
+        _within.remove(folder)
+        _delete(spark, folder)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = _within[-1] if _within else _application_folder(spark)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def _application_folder(spark: SparkSession) -> str:
@@ -35,7 +53,11 @@ def _application_folder(spark: SparkSession) -> str:
 
 def clear_staged(spark: SparkSession) -> bool:
     """Delete what this application has staged, once its results are stored elsewhere."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    return _delete(spark, _application_folder(spark))
+
+
+def _delete(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     return system.delete(folder, True)
 

@@ -121,11 +121,15 @@ def test_invariants_on_the_dirty_lines(spark, cleaned):
     assert rows["ids"] == rows["rows"] and rows["nulls"] == 0
 
 
-@pytest.mark.parametrize("change", [{"broadcast_rows": 0}, {"single_task_rows": 0}])
-def test_large_table_ways_give_the_same_rows(spark, cleaned, change):
-    """The salted join and the distributed quantiles, forced on a small table."""
-    other = cleaning.clean_orders(dirty_order_lines(spark, SF_DIR), replace(P, **change))
-    assert other.exceptAll(cleaned).isEmpty() and cleaned.exceptAll(other).isEmpty()
+@pytest.mark.parametrize("limit", ["-1", "10m"])
+def test_any_join_of_the_prices_gives_the_same_rows(spark, cleaned, limit):
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        other = cleaning.clean_orders(dirty_order_lines(spark, SF_DIR), P)
+        assert other.exceptAll(cleaned).isEmpty() and cleaned.exceptAll(other).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
 
 
 def test_report_counts(make_orders):

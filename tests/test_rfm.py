@@ -32,9 +32,8 @@ def _expected_scores(values):
 @pytest.mark.parametrize("counts", [
     [1] * 9 + [5], [1] * 10, [1, 2, 3], [1, 1, 2, 2, 3, 3, 4], [2, 7, 1, 1, 1, 3, 9, 4, 4, 5, 6],
 ])
-@pytest.mark.parametrize("limit", [500_000, 0])
-def test_scores_equal_quantile_cut(make_orders, counts, limit):
-    params = Params(completed_status="F", single_task_rows=limit)
+def test_scores_equal_quantile_cut(make_orders, counts):
+    params = Params(completed_status="F")
     rows = rfm.rfm_scores(_customers(make_orders, counts), params).collect()
     rows.sort(key=lambda r: int(r["customer_id"][1:]))
     assert [r["frequency_score"] for r in rows] == _expected_scores([r["frequency"] for r in rows])
