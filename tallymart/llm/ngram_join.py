@@ -283,6 +283,7 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
         functools.partial(_prefixes, trees=TREES, depth=depth), "cid long, key long"
     )
     sizes = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    sizes = stage(sizes, "prefix-sizes")  # so that the join may be split at a crowded prefix
     shared = stage(keys.join(sizes, "key"), "shared-prefixes")
     crowded = shared.filter(F.col("n") > CROWD)
     crowds = stage(

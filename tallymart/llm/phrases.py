@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from tallymart.llm.rows import row_names, to_batch
 from tallymart.llm.text import WORD, Words, blocks, minima, mix, owned, prefix_hash, run_hash
+from tallymart.sources.staging import stage
 
 WINDOW = 13
 GRAM = 5
@@ -200,6 +201,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
         .agg(F.min("did").alias("a"), F.max("did").alias("b"), F.count("*").alias("n"))
         .filter("a < b").select("h", (F.col("n") > CROWD).alias("crowded"))
     )
+    recurring = stage(recurring, "recurring")  # so that joins may be split at a hot anchor
     found = anchors.join(recurring, "h")
 
     def fragments(which: str) -> DataFrame:

@@ -235,6 +235,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, keep: str = "none") ->
         texts.mapInArrow(functools.partial(_anchors, length=length), ANCHORS), "anchors"
     )
     again = anchors.groupBy("h").agg(F.count("*").alias("_n")).filter("_n > 1").select("h")
+    again = stage(again, "recurring")  # so that adaptive execution may split the join at a hot anchor
     found = stage(anchors.join(again, "h"), "recurring-anchors")
     kinds = found.groupBy("h", "rh").agg(
         F.count("*").alias("copies"), F.min(F.struct("did", "rk", "begin", "finish")).alias("one")
@@ -249,6 +250,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, keep: str = "none") ->
 
     # different regions around one anchor
     mixed = kinds.groupBy("h").agg(F.count("*").alias("_kinds")).filter("_kinds > 1")
+    mixed = stage(mixed, "mixed-anchors")
     wanted = (
         kinds.join(mixed, "h")
         .groupBy("one.did", "one.rk")
