@@ -192,10 +192,22 @@ def forecast_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast.forecast_overlay(lines, predicted, PARAMS)
 
 
-def segment_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _type_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers grouped by their type in place of a cluster, so that results are determined."""
     lines = orders.order_lines(spark, sf_dir, [*DONE, "customer_id", "customer_type"])
-    groups = rfm.rfm(lines, PARAMS).withColumnRenamed("customer_type", "cluster")
-    return rfm.name_segments(rfm.cluster_profile(groups))
+    return rfm.rfm(lines, PARAMS).withColumnRenamed("customer_type", "cluster")
+
+
+def segment_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rfm.name_segments(rfm.cluster_profile(_type_groups(spark, sf_dir)))
+
+
+def group_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rfm.segment_summary(rfm.customer_segments(_type_groups(spark, sf_dir)))
+
+
+def group_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rfm.segment_sizes(rfm.customer_segments(_type_groups(spark, sf_dir)))
 
 
 def _clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -308,6 +320,9 @@ def _order_queries() -> dict[str, Query]:
         "rfm": _over_orders(rfm.rfm, *who),
         "rfm_scores": _over_orders(rfm.rfm_scores, *who),
         "segment_naming": segment_naming,
+        "group_profile": lambda spark, d: rfm.cluster_profile(_type_groups(spark, d)),
+        "group_summary": group_summary,
+        "group_sizes": group_sizes,
         "customer_segments": lambda spark, d: rfm.customer_segments(_clusters(spark, d)),
         "cluster_profile": lambda spark, d: rfm.cluster_profile(_clusters(spark, d)),
         "segment_summary": lambda spark, d: rfm.segment_summary(

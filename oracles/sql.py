@@ -578,7 +578,7 @@ FROM forecast WINDOW w AS (ORDER BY ds ROWS 6 PRECEDING)""")
     # Customers
     q["rfm"] = f"WITH {DONE},\n{RFM}\nFROM rfm"
     q["rfm_scores"] = f"WITH {DONE},\n{RFM},\n{SCORES}\nFROM scored"
-    q["segment_naming"] = f"""WITH {DONE},
+    named = f"""WITH {DONE},
 {RFM},
 prof AS (
   SELECT customer_type AS cluster, avg(recency) AS avg_recency, avg(frequency) AS avg_frequency,
@@ -588,13 +588,22 @@ high AS (
   SELECT {quantile("ms", 0.7)} AS m, {quantile("fs", 0.7)} AS f, {quantile("rs", 0.7)} AS r,
          {quantile("fs", 0.3)} AS low_f
   FROM (SELECT {sorted_list("avg_monetary")} AS ms, {sorted_list("avg_frequency")} AS fs,
-               {sorted_list("avg_recency")} AS rs FROM prof))
-SELECT prof.*, CASE WHEN avg_monetary > m THEN '{SEGMENT_HIGH_VALUE}'
+               {sorted_list("avg_recency")} AS rs FROM prof)),
+named AS (SELECT prof.*, CASE WHEN avg_monetary > m THEN '{SEGMENT_HIGH_VALUE}'
   WHEN avg_frequency > f THEN '{SEGMENT_HIGH_FREQUENCY}'
   WHEN avg_recency > r THEN '{SEGMENT_CHURN_RISK}'
   WHEN avg_frequency < low_f THEN '{SEGMENT_LOW_ACTIVITY}'
   ELSE '{SEGMENT_POTENTIAL}' END AS segment
-FROM prof, high"""
+FROM prof, high)"""
+    q["segment_naming"] = f"{named} SELECT * FROM named"
+    q["group_profile"] = f"{named} SELECT * FROM prof"
+    q["group_summary"] = f"""{named}
+SELECT segment, count(*) AS customer_count, avg(recency) AS avg_recency_days,
+  avg(frequency) AS avg_orders, sum(monetary::DECIMAL(14,2))::DOUBLE / count(*) AS avg_lifetime_value
+FROM rfm JOIN named ON customer_type = cluster GROUP BY 1"""
+    q["group_sizes"] = f"""{named}
+SELECT segment, count(*) AS count, sum(monetary::DECIMAL(14,2))::DOUBLE / count(*) AS avg_monetary
+FROM rfm JOIN named ON customer_type = cluster GROUP BY 1"""
     q["insights"] = _insights(REPORT_ROWS)
     q["insights_service"] = _insights(SERVICE_ROWS)
     return q
