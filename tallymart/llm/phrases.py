@@ -28,6 +28,7 @@ from collections.abc import Iterator, Sequence
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -100,30 +101,38 @@ def _fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def confirm(kinds: list[tuple[bytes, int, int]]) -> dict[bytes, int]:
-    """The windows of fragments (codes, first and last document) that start in two documents."""
-    size = CODE * WINDOW
-    seen: dict[bytes, tuple[int, int]] = {}
-    for codes, first, last in kinds:
-        for i in range(0, len(codes) - size + 1, CODE):
-            window = codes[i : i + size]
-            known = seen.get(window)
-            seen[window] = (min(first, known[0]), max(last, known[1])) if known else (first, last)
-    return {window: first for window, (first, last) in seen.items() if first < last}
+def confirm(
+    codes: np.ndarray, bounds: np.ndarray, first: np.ndarray, last: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The windows of different fragments that start in two documents.
 
-
-def compile_windows(first_of: dict[bytes, int]) -> ahocorasick.Automaton:
+    ``codes[bounds[i]:bounds[i + 1]]`` is fragment i, found in documents ``first[i]`` to ``last[i]``.
+    Returns where one copy of each window starts, its first document, and the fragments with any.
+    """
+    counts = np.diff(bounds) - WINDOW + 1
+    fragment = np.repeat(np.arange(len(counts)), counts)
+    starts = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts - bounds[:-1], counts)
+    hashes = run_hash(prefix_hash(mix(codes)), starts, starts + WINDOW)
+    _, one, name = np.unique(hashes, return_index=True, return_inverse=True)
+    least, most = np.full(len(one), np.iinfo(np.int64).max), np.full(len(one), np.iinfo(np.int64).min)
+    np.minimum.at(least, name, first[fragment])
+    np.maximum.at(most, name, last[fragment])
+    recurs = least < most
+    return starts[one[recurs]], least[recurs], np.unique(fragment[recurs[name]])
+
+
+def compile_windows(codes: list[int], starts: list[int], firsts: list[int]) -> ahocorasick.Automaton:
+    """An automaton of windows of word codes, each with its first document."""
     automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    for window, first in first_of.items():
-        automaton.add_word(tuple(np.frombuffer(window, "<u4").tolist()), first)
+    for start, first in zip(starts, firsts):
+        automaton.add_word(tuple(codes[start : start + WINDOW]), first)
     automaton.make_automaton()
     return automaton
 
 
-def locate(automaton: ahocorasick.Automaton, codes: bytes) -> tuple[list[int], list[int]]:
-    """Where windows of the automaton start in a fragment, and their first documents."""
-    hits = list(automaton.iter(tuple(np.frombuffer(codes, "<u4").tolist())))
-    return [end - WINDOW + 1 for end, _ in hits], [first for _, first in hits]
+def locate(automaton: ahocorasick.Automaton, codes: list[int]) -> list[tuple[int, int]]:
+    """(start, first document) of every window of the automaton in a fragment."""
+    return [(end - WINDOW + 1, first) for end, first in automaton.iter(tuple(codes))]
 
 
 def _runs(starts: list[int], begins: list[int]) -> Iterator[tuple[int, int]]:
@@ -137,30 +146,53 @@ def _runs(starts: list[int], begins: list[int]) -> Iterator[tuple[int, int]]:
     return ((begin + a, begin + b) for begin in begins for a, b in runs)
 
 
-def _shard_spans(rows: list[dict]) -> list[tuple]:
-    first_of = confirm([(r["codes"], r["did"], r["did"]) for r in rows])
-    if not first_of:
+def _shard_spans(shard: pa.Table) -> list[tuple]:
+    pieces, begins = (shard.column(c).combine_chunks() for c in ("codes", "begins"))
+    pieces, begins = (pa.concat_arrays(x.chunks) if isinstance(x, pa.ChunkedArray) else x for x in (pieces, begins))
+    did, rk = (shard.column(c).to_numpy() for c in ("did", "rk"))
+    codes = np.frombuffer(b"".join(pieces.to_pylist()), "<u4").astype(np.uint64)
+    bounds = np.concatenate([[0], np.cumsum(pc.binary_length(pieces).to_numpy() // CODE)])
+    prefix = prefix_hash(mix(codes))
+    _, one, kind = np.unique(run_hash(prefix, bounds[:-1], bounds[1:]), return_index=True, return_inverse=True)
+    first, last = np.full(len(one), np.iinfo(np.int64).max), np.full(len(one), np.iinfo(np.int64).min)
+    np.minimum.at(first, kind, did)
+    np.maximum.at(last, kind, did)
+    # one of each kind of fragment, end to end
+    lengths = np.diff(bounds)[one]
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    places = np.arange(ends[-1]) + np.repeat(bounds[one] - ends[:-1], lengths)
+    starts, firsts, with_any = confirm(codes[places], ends, first, last)
+    if not len(starts):
         return []
-    automaton = compile_windows(first_of)
+    known = codes[places].tolist()
+    automaton = compile_windows(known, starts.tolist(), firsts.tolist())
+    found = {k: locate(automaton, known[ends[k] : ends[k + 1]]) for k in with_any.tolist()}
     out = []
-    for r in rows:
-        starts, firsts = locate(automaton, r["codes"])
-        later = [s for s, first in zip(starts, firsts) if first < r["did"]]
-        out += [(r["did"], r["rk"], a, b) for a, b in _runs(later, r["begins"])]
+    rows = np.flatnonzero(np.isin(kind, with_any))
+    columns = (x[rows].tolist() for x in (kind, did, rk))
+    for k, own, text, places_in in zip(*columns, begins.take(pa.array(rows)).to_pylist()):
+        later = [start for start, earliest in found[k] if earliest < own]
+        if later:
+            out += [(own, text, a, b) for a, b in _runs(later, places_in)]
     return out
 
 
 def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans from fragments that arrive ordered by anchor: shard by shard of whole anchors."""
-    shard: list[dict] = []
+    waiting: list[pa.RecordBatch] = []
+    size = 0
     for batch in batches:
-        for row in batch.to_pylist():
-            if len(shard) >= SHARD_ROWS and row["h"] != shard[-1]["h"]:
-                yield to_batch(_shard_spans(shard), SPANS)
-                shard = []
-            shard.append(row)
-    if shard:
-        yield to_batch(_shard_spans(shard), SPANS)
+        waiting.append(batch)
+        size += batch.num_rows
+        if size >= SHARD_ROWS:
+            shard = pa.Table.from_batches(waiting)
+            h = shard.column("h").to_numpy()
+            end = int(np.searchsorted(h, h[-1]))  # the last anchor may go on in the next batch
+            yield to_batch(_shard_spans(shard.slice(0, end)) if end else [], SPANS)
+            waiting = shard.slice(end).to_batches()
+            size = shard.num_rows - end
+    if size:
+        yield to_batch(_shard_spans(pa.Table.from_batches(waiting)), SPANS)
 
 
 def _later_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -85,9 +85,12 @@ def test_suffix_ranks_are_the_order_of_prefixes():
 
 
 def test_automata_find_every_confirmed_window():
-    code = lambda *xs: np.array(xs, "<u4").tobytes()
-    a, b = code(*range(20)), code(*range(3, 18), 99)
-    first_of = phrases.confirm([(a, 4, 4), (b, 2, 2)])
-    assert len(first_of) == 3 and set(first_of.values()) == {2}
-    assert phrases.locate(phrases.compile_windows(first_of), a) == ([3, 4, 5], [2, 2, 2])
-    assert phrases.confirm([(a, 4, 4)]) == {} and len(phrases.confirm([(a, 4, 5)])) == 8
+    a, b = list(range(20)), [*range(3, 18), 99]
+    codes, bounds = np.array(a + b, np.uint64), np.array([0, 20, 36])
+    starts, firsts, with_any = phrases.confirm(codes, bounds, np.array([4, 2]), np.array([4, 2]))
+    assert len(starts) == 3 and set(firsts.tolist()) == {2} and with_any.tolist() == [0, 1]
+    automaton = phrases.compile_windows(codes.tolist(), starts.tolist(), firsts.tolist())
+    assert phrases.locate(automaton, a) == [(3, 2), (4, 2), (5, 2)]
+    same = np.array([4, 4])
+    assert len(phrases.confirm(codes, bounds, same, same)[0]) == 0
+    assert len(phrases.confirm(codes, bounds, same, same + 1)[0]) == 9
