@@ -15,6 +15,8 @@ it also starts in one of smaller doc_id.
    together before the shuffle, their windows are counted as rows, and joins, which adaptive
    execution splits, bring the occurrences back.
 
+A text that a smaller document has word for word goes as a whole and makes no fragments.
+
 Null texts have no words; a null doc_id comes after all others, and two documents without one share
 their place; rows that repeat a doc_id are one document as to order, so they do not remove each
 other's words; further columns are ignored; an empty table gives an empty result.
@@ -41,6 +43,7 @@ GRAM = 5
 SHARD_ROWS = 20_000
 CROWD = 2000
 CODE = 4  # bytes of a word's code
+WHOLE = (1 << 31) - 1  # the end of a span over all words
 
 FRAGMENTS = "h long, did long, rk long, codes binary, begins array<int>"
 SPANS = "did long, rk long, begin int, finish int"
@@ -222,6 +225,21 @@ def _counted(fragments: DataFrame) -> DataFrame:
     return fragments.join(located, ["h", "codes"]).mapInArrow(_later_spans, SPANS)
 
 
+def _copies(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """did and rk of rows whose text a smaller document has, and the did of only such rows."""
+    named = texts.select(
+        "did", "rk", F.xxhash64("text").alias("name"), F.hash("text").alias("check"),
+        F.octet_length("text").alias("size"),
+    )
+    same = ["name", "check", "size"]
+    firsts = stage(named.groupBy(*same).agg(F.min("did").alias("first")), "first-copies")
+    marked = stage(
+        named.join(firsts, same).select("did", "rk", (F.col("did") > F.col("first")).alias("copy")), "copies"
+    )
+    copies = marked.filter("copy").distinct()
+    return copies, copies.select("did").distinct().join(marked.filter("not copy"), "did", "left_anti")
+
+
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """did, rk, begin, finish: runs of words to remove from each text; they may overlap.
 
@@ -234,14 +252,16 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
         .filter("a < b").select("h", (F.col("n") > CROWD).alias("crowded"))
     )
     recurring = stage(recurring, "recurring")  # so that joins may be split at a hot anchor
-    found = anchors.join(recurring, "h")
+    copies, all_copies = _copies(texts)
+    found = anchors.join(recurring, "h").join(all_copies, "did", "left_anti")
 
     def fragments(which: str) -> DataFrame:
         wanted = found.filter(which).groupBy("did").agg(F.collect_set("h").alias("wanted"))
         return texts.join(wanted, "did").mapInArrow(_fragments, FRAGMENTS)
 
     few = fragments("not crowded").repartition("h").sortWithinPartitions("h").mapInArrow(_locate, SPANS)
-    return few.unionByName(_counted(fragments("crowded")))
+    whole = copies.select("did", "rk", F.lit(0).alias("begin"), F.lit(WHOLE).alias("finish"))
+    return few.unionByName(_counted(fragments("crowded"))).unionByName(whole)
 
 
 def _remove(batches: Iterator[pa.RecordBatch], rewrite: bool) -> Iterator[pa.RecordBatch]:
@@ -254,7 +274,10 @@ def _remove(batches: Iterator[pa.RecordBatch], rewrite: bool) -> Iterator[pa.Rec
             if spans:
                 gone = bytearray(len(words))
                 for s in spans:
-                    if s["rk"] == rk:
+                    if s["rk"] == rk and s["finish"] == WHOLE:
+                        if len(words) >= WINDOW:
+                            gone = bytearray(b"\1" * len(words))
+                    elif s["rk"] == rk:
                         gone[s["begin"] : s["finish"]] = b"\1" * (s["finish"] - s["begin"])
                 rest = [word for word, lost in zip(words, gone) if not lost]
             counts.append(len(words))
