@@ -156,8 +156,15 @@ def fit_rates(
     share = np.array([wanted[d] for d in domains], float)
     share = share / share.sum()
 
-    def measure(steps: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        free = (F.col("_r") > 0) & (F.col("_r") < most)
+    def measure(steps: list[np.ndarray], error: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of each domain, and the scale of a step over the rows that it can move.
+
+        A row at a bound moves only if the last known error pulls it inside.
+        """
+        free = F.lit(True)
+        if error is not None:
+            pull = sum(F.col("_p")[i] * F.lit(float(x)) for i, x in enumerate(error))
+            free = ((F.col("_r") > 0) | (pull < 0)) & ((F.col("_r") < most) | (pull > 0))
         tokens = [F.col("n_tokens") * F.col("_p")[i] for i in range(k)]
         row = narrow.withColumn("_r", _rate(steps, k, most)).agg(
             *(F.sum(F.col("_r") * t).alias(f"t{i}") for i, t in enumerate(tokens)),
@@ -169,7 +176,7 @@ def fit_rates(
         return np.array([row[f"t{i}"] or 0.0 for i in range(k)]), scale
 
     steps: list[np.ndarray] = []
-    totals, scale = measure(steps)
+    totals, scale = measure(steps, None)
     size = totals.sum()
     if size == 0:
         return steps
@@ -180,7 +187,7 @@ def fit_rates(
         if np.abs(error).max() <= TOLERANCE * goal.sum():
             break
         step = length * np.linalg.solve(scale + 1e-9 * size * np.eye(k), error)
-        totals, next_scale = measure([*steps, step])
+        totals, next_scale = measure([*steps, step], error)
         if np.square(totals - goal).sum() < np.square(error).sum():
             steps.append(step)
             error, scale, length = totals - goal, next_scale, min(1.0, 2 * length)
