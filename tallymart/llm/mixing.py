@@ -30,6 +30,7 @@ LEXICON = 256
 STATISTICS = ("log_words", "word_length", "symbols", "distinct")
 SOFTNESS = 0.5
 STEPS, TOLERANCE = 30, 1e-6
+SETTLED = 0.99  # a step that leaves more than this share of the squared error is the last
 
 #: Domains of the labelled table and what each should have of all tokens.
 TARGETS = {"good": 0.9, "poor": 0.08, "toxic": 0.02}
@@ -190,7 +191,10 @@ def fit_rates(
         totals, next_scale = measure([*steps, step], error)
         if np.square(totals - goal).sum() < np.square(error).sum():
             steps.append(step)
+            settled = np.square(totals - goal).sum() > SETTLED * np.square(error).sum()
             error, scale, length = totals - goal, next_scale, min(1.0, 2 * length)
+            if settled:
+                break  # bounds keep the rest
         else:
             length /= 4  # too far: nearer the gradient's own scale
             if length < 1e-4:
