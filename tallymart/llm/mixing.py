@@ -1,8 +1,9 @@
 """Mixing to target weights with soft membership, in DataFrame functions alone.
 
 1. A naive Bayes classifier is fitted on a bounded sample of a labelled table (the ``sample`` rows
-   of least hash): normal densities of four text statistics, and the presence of the ``lexicon``
-   words that tell the domains apart best. It gives every document a probability for each domain.
+   of least hash): normal densities of four text statistics, and the presence of ``lexicon`` words,
+   in turn the best of each domain by mutual information with it, so that a rare domain has its
+   words too. It gives every document a probability for each domain.
 2. Each document gets a rate r >= 0, so that the expected tokens of each domain, the sum of
    r * tokens * probability, match ``targets``. The rates start at 1 and follow projected gradient
    steps of the squared error: every step is one distributed aggregation of a vector and a matrix
@@ -17,10 +18,12 @@ a null doc_id is a document like any other; an empty table gives an empty result
 
 from __future__ import annotations
 
+import functools
+import itertools
 from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from tallymart.sources.staging import stage
@@ -69,6 +72,34 @@ def _looked_up(table: Column) -> Callable[[Column], Column]:
     return lambda word: table[word]
 
 
+def _told(having: Column, all_having: Column, n: int, total: int) -> Column:
+    """What a word tells of a domain of ``n`` of ``total`` rows; below 0 if the others have it more.
+
+    The mutual information from the smoothed counts of rows of the domain and of the others, with
+    and without the word, as a sum over the rows.
+    """
+    cells = [[having, n - having], [all_having - having, (total - n) - (all_having - having)]]
+    cells = [[cell + 0.5 for cell in row] for row in cells]
+    by_word = [a + b for a, b in zip(*cells)]
+    gain = sum(
+        cell * F.log(cell * (total + 2.0) / (sum(row) * by_word[j]))
+        for row in cells for j, cell in enumerate(row)
+    )
+    return F.when(cells[0][0] * cells[1][1] > cells[0][1] * cells[1][0], gain).otherwise(-gain)
+
+
+def _in_turn(rows: list[Row], most: int) -> list[Row]:
+    """The best word of each domain, then the second of each, and so on, each word once."""
+    by: dict[int, list[Row]] = {}
+    for row in sorted(rows, key=lambda r: (-r["gain"], r["word"])):
+        by.setdefault(row["domain"], []).append(row)
+    turns = itertools.zip_longest(*(by[d] for d in sorted(by)))
+    once: dict[str, Row] = {}
+    for row in (r for turn in turns for r in turn if r):
+        once.setdefault(row["word"], row)
+    return list(once.values())[:most]
+
+
 def _classifier(
     docs: DataFrame, labelled: DataFrame, domains: list[str], sample: int, lexicon: int
 ) -> dict[str, Column]:
@@ -88,7 +119,7 @@ def _classifier(
     seen = {r["domain"]: r for r in rows}
     total = sum(r["n"] for r in rows)
 
-    # words by how far the shares of documents that have them differ between domains
+    # for each domain, words by the mutual information of having the word and being of the domain
     counts = [F.count_if(F.col("domain") == d).cast("double").alias(f"_{i}") for i, d in enumerate(domains)]
     found = learnt.select("domain", F.explode("_kinds").alias("word")).groupBy("word").agg(*counts)
     shares = [
@@ -96,11 +127,15 @@ def _classifier(
         for i, d in enumerate(domains)
     ]
     overall = sum(F.col(f"_{i}") for i in range(len(domains)))
-    spread = F.greatest(*shares, F.lit(0.0)) / F.least(*shares, F.lit(1.0))
-    best = (
-        found.select("word", (overall * F.log(spread)).alias("gain"), *(F.log(s).alias(f"_{i}") for i, s in enumerate(shares)))
-        .filter("gain > 0").orderBy(F.desc("gain"), "word").limit(lexicon).collect()
-    )
+    weights = [F.log(s).alias(f"_{i}") for i, s in enumerate(shares)]
+    listed = [
+        found.select("word", _told(F.col(f"_{i}"), overall, seen[d]["n"], total).alias("gain"), *weights)
+        .filter("gain > 0").orderBy(F.desc("gain"), "word").limit(lexicon)
+        .withColumn("domain", F.lit(i))
+        for i, d in enumerate(domains) if d in seen
+    ]
+    rows = functools.reduce(DataFrame.unionAll, listed).collect() if listed else []
+    best = _in_turn(rows, lexicon)
     hits = F.array_intersect("_kinds", F.array(*(F.lit(r["word"]) for r in best)).cast("array<string>"))
     out = {}
     for i, d in enumerate(domains):

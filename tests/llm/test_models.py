@@ -184,6 +184,21 @@ def test_rates_solve_the_bounded_least_squares(spark):
     assert after @ after < 0.2 * (before @ before)
 
 
+def test_held_out_toxic_documents_are_told(spark):
+    labels = mixing.label_domains(spark.read.parquet(f"{SF_DIR.replace('0.001', '0.1')}/labels.parquet"))
+    docs = spark.read.parquet(f"{SF_DIR.replace('0.001', '0.1')}/documents.parquet").join(labels, "doc_id", "left_semi")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    domains = list(mixing.TARGETS)
+    found = mixing.domain_probabilities(docs, labels.filter(~held_out), domains, carry=("doc_id",))
+    rows = found.select("_document.doc_id", "_p").filter(held_out).join(labels, "doc_id").toPandas()
+    p = np.array(rows._p.tolist())
+    right = p.argmax(axis=1) == rows.domain.map(domains.index).values
+    recall = {d: right[(rows.domain == d).values].mean() for d in domains}
+    assert recall["good"] > 0.95 and recall["poor"] > 0.6 and recall["toxic"] > 0.8
+    toxic, good = (p[(rows.domain == d).values, domains.index("toxic")] for d in ("toxic", "good"))
+    assert (toxic[:, None] > good[None, :]).mean() > 0.9
+
+
 def test_mixing_odd_tables(spark, odd_docs, no_docs, odd_texts, given):
     labels = mixing.label_domains(given[1])
     mixed = mixing.mix(odd_docs, labels).collect()
