@@ -5,10 +5,12 @@
    in turn the best of each domain by mutual information with it, so that a rare domain has its
    words too. It gives every document a probability for each domain.
 2. Each document gets a rate r >= 0, so that the expected tokens of each domain, the sum of
-   r * tokens * probability, match ``targets``. The rates start at 1 and follow projected gradient
-   steps of the squared error: every step is one distributed aggregation of a vector and a matrix
-   of the size of the domains, which also scales the step. A document's rate is a function of its
-   own probabilities and of the few step vectors so far, so nothing else is kept.
+   r * tokens * probability, match ``targets``. Of the rates of least squared error those nearest to
+   1 are wanted, and they are 1 less a product of the document's probabilities with a multiplier of
+   each domain, cut to the bounds. The multipliers solve a smooth convex dual by Newton steps: every
+   step is one distributed aggregation, which tries some lengths of the step and yields a vector and
+   a matrix of the size of the domains for each. A document's rate is a function of its own
+   probabilities and of the multipliers, so nothing else is kept.
 
 A null text has no tokens and the probabilities of the other terms. Labelled rows with a null domain
 or a domain without a target are not used; without any usable label all domains are equally likely.
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+import warnings
 from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
@@ -32,8 +35,11 @@ SAMPLE = 4000
 LEXICON = 256
 STATISTICS = ("log_words", "word_length", "symbols", "distinct")
 SOFTNESS = 0.5
-STEPS, TOLERANCE = 30, 1e-6
-SETTLED = 0.99  # a step that leaves more than this share of the squared error is the last
+STEPS, TOLERANCE = 400, 1e-6
+#: Weights of the change of rates beside the squared error, taken in turn, and how near each is
+#: followed; the last bounds what the squared error, in shares of all tokens, is above the least.
+WEIGHTS, CLOSE = [10.0**-e for e in range(1, 10)], 1e-3
+GRID = np.array([1 / 256, 1 / 64, 1 / 16, 1 / 4, 1 / 2, 1.0])  # shares of a step, tried in one pass
 
 #: Domains of the labelled table and what each should have of all tokens.
 TARGETS = {"good": 0.9, "poor": 0.08, "toxic": 0.02}
@@ -182,59 +188,101 @@ def _rate(steps: list[np.ndarray], domains: int, most: float) -> Column:
     return F.aggregate(path, F.lit(min(1.0, most)), after)
 
 
+Measured = list[tuple[np.ndarray, np.ndarray]]
+
+
+def least_squares(
+    measure: Callable[[list[np.ndarray]], Measured], goal: np.ndarray
+) -> tuple[np.ndarray, bool]:
+    """Multipliers whose rates have the least squared error, and whether the search ended there.
+
+    ``measure`` gives for each of some multipliers, as shares of all tokens, the tokens of each
+    domain, and the sum of tokens * p * p over the rows at no bound.
+    """
+    k = len(goal)
+    at = np.zeros(k)
+    [(tokens, curve)] = measure([at])
+    error = tokens - goal
+    weight, grid, done = WEIGHTS[0], GRID, 0
+    for _ in range(STEPS):
+        while np.abs(error - weight * at).max() <= weight * CLOSE * max(1.0, np.abs(at).max()):
+            if done + 1 == len(WEIGHTS) or np.abs(error).max() <= TOLERANCE * goal.sum():
+                return at, True
+            done += 1
+            weight = WEIGHTS[done]
+        away = error - weight * at
+        step = np.linalg.solve(curve + weight * np.eye(k), away)
+        found = [(tokens - goal, curve) for tokens, curve in measure([at + t * step for t in grid])]
+        # the dual is convex, so the slopes at the ends of the cells bound what it falls by
+        slopes = [-(e - weight * (at + t * step)) @ step for t, (e, _) in zip(grid, found)]
+        falls = np.cumsum(np.diff(grid, prepend=0.0) * slopes)
+        if falls.min() >= 0:
+            grid = grid * grid[0]  # a bend nearer than the least step
+            continue
+        best = np.flatnonzero(falls <= 0.9 * falls.min())[-1]
+        at, (error, curve), grid = at + grid[best] * step, found[best], GRID
+    return at, False
+
+
 def fit_rates(
-    narrow: DataFrame, wanted: dict[str, float], hold: str | None, most: float
+    narrow: DataFrame, wanted: dict[str, float], hold: str | None, most: float,
+    fixed: Column | None = None,
 ) -> list[np.ndarray]:
-    """Step vectors for rows of n_tokens and _p; ``hold`` keeps that domain's tokens as they are."""
+    """Step vectors for rows of n_tokens and _p; ``hold`` keeps that domain's tokens as they are.
+
+    The rates of ``fixed`` rows are not fitted: they stay at the start.
+    """
     domains = list(wanted)
     k = len(domains)
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
     share = np.array([wanted[d] for d in domains], float)
     share = share / share.sum()
-
-    def measure(steps: list[np.ndarray], error: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens of each domain, and the scale of a step over the rows that it can move.
-
-        A row at a bound moves only if the last known error pulls it inside.
-        """
-        free = F.lit(True)
-        if error is not None:
-            pull = sum(F.col("_p")[i] * F.lit(float(x)) for i, x in enumerate(error))
-            free = ((F.col("_r") > 0) | (pull < 0)) & ((F.col("_r") < most) | (pull > 0))
-        tokens = [F.col("n_tokens") * F.col("_p")[i] for i in range(k)]
-        row = narrow.withColumn("_r", _rate(steps, k, most)).agg(
-            *(F.sum(F.col("_r") * t).alias(f"t{i}") for i, t in enumerate(tokens)),
-            *(F.sum(F.when(free, tokens[i] * F.col("_p")[j])).alias(f"g{i}_{j}") for i, j in pairs),
-        ).first()
-        scale = np.zeros((k, k))
-        for i, j in pairs:
-            scale[i, j] = scale[j, i] = row[f"g{i}_{j}"] or 0.0
-        return np.array([row[f"t{i}"] or 0.0 for i in range(k)]), scale
-
-    steps: list[np.ndarray] = []
-    totals, scale = measure(steps, None)
+    start = min(1.0, most)
+    held = F.lit(False) if fixed is None else fixed
+
+    tokens = [F.col("n_tokens") * F.col("_p")[i] for i in range(k)]
+    row = narrow.agg(
+        *(F.sum(t).alias(f"t{i}") for i, t in enumerate(tokens)),
+        *(F.sum(F.when(held, t)).alias(f"f{i}") for i, t in enumerate(tokens)),
+    ).first()
+    totals = start * np.array([row[f"t{i}"] or 0.0 for i in range(k)])
+    kept = start * np.array([row[f"f{i}"] or 0.0 for i in range(k)])
     size = totals.sum()
     if size == 0:
-        return steps
+        return []
     goal = share * (totals[domains.index(hold)] / share[domains.index(hold)] if hold else size)
-    error = totals - goal
-    length = 1.0
-    for _ in range(STEPS):
-        if np.abs(error).max() <= TOLERANCE * goal.sum():
-            break
-        step = length * np.linalg.solve(scale + 1e-9 * size * np.eye(k), error)
-        totals, next_scale = measure([*steps, step], error)
-        if np.square(totals - goal).sum() < np.square(error).sum():
-            steps.append(step)
-            settled = np.square(totals - goal).sum() > SETTLED * np.square(error).sum()
-            error, scale, length = totals - goal, next_scale, min(1.0, 2 * length)
-            if settled:
-                break  # bounds keep the rest
-        else:
-            length /= 4  # too far: nearer the gradient's own scale
-            if length < 1e-4:
-                break
-    return steps
+    open_rows = narrow.filter(~held).select(
+        *(F.col("_p")[i].alias(f"p{i}") for i in range(k)), *(t.alias(f"n{i}") for i, t in enumerate(tokens))
+    )
+
+    moved = F.lit(start) - sum(F.col(f"p{i}") * F.col(f"at.l{i}") for i in range(k))
+    rate, inside = F.least(F.greatest(F.lit(0.0), F.col("m")), F.lit(most)), (F.col("m") > 0) & (F.col("m") < most)
+    sums = [F.sum(rate * F.col(f"n{i}")).alias(f"t{i}") for i in range(k)] + [
+        F.sum(F.when(inside, F.col(f"n{i}") * F.col(f"p{j}"))).alias(f"g{i}_{j}") for i, j in pairs
+    ]
+
+    def measure(tried: list[np.ndarray]) -> Measured:
+        # one constant array, so that every pass runs the code that the first has compiled
+        each = F.explode(F.array(*(
+            F.struct(F.lit(c).alias("c"), *(F.lit(float(x)).alias(f"l{i}") for i, x in enumerate(at)))
+            for c, at in enumerate(tried)
+        )))
+        rated = open_rows.select("*", each.alias("at")).withColumn("m", moved)
+        rows = {r["c"]: r for r in rated.groupBy(F.col("at.c").alias("c")).agg(*sums).collect()}
+        found = []
+        for c in range(len(tried)):
+            totals, curve = np.zeros(k), np.zeros((k, k))
+            if c in rows:  # else no row is open
+                totals = np.array([rows[c][f"t{i}"] or 0.0 for i in range(k)])
+                for i, j in pairs:
+                    curve[i, j] = curve[j, i] = (rows[c][f"g{i}_{j}"] or 0.0) / size
+            found.append(((kept + totals) / size, curve))
+        return found
+
+    multipliers, settled = least_squares(measure, goal / size)
+    if not settled:
+        warnings.warn(f"the rates are short of the least squared error after {STEPS} steps", stacklevel=2)
+    return [multipliers]
 
 
 def mix(
@@ -244,16 +292,19 @@ def mix(
 ) -> DataFrame:
     """_document (the columns to carry), n_tokens, _p in order of ``targets``, and rate.
 
-    With ``hold``, that domain keeps its expected tokens and the others are fitted to them; without,
-    all domains together do. Rates go up to ``most``.
+    With ``hold``, documents likeliest of that domain stay as they are, its expected tokens are the
+    measure, and the other documents are fitted to them; without, all domains together do. Rates go
+    up to ``most``.
     """
     if not targets or min(targets.values()) <= 0:
         raise ValueError("every domain needs a target above 0")
     domains = list(targets)
     rated = domain_probabilities(docs, labelled, domains, sample, lexicon, carry)
     rated = stage(rated, "memberships")
-    steps = fit_rates(rated.select("n_tokens", "_p"), dict(targets), hold, most)
-    return rated.withColumn("rate", _rate(steps, len(domains), most))
+    fixed = F.col("_p")[domains.index(hold)] >= F.array_max("_p") if hold else F.lit(False)
+    steps = fit_rates(rated.select("n_tokens", "_p"), dict(targets), hold, most, fixed)
+    rate = F.when(fixed, F.lit(min(1.0, most))).otherwise(_rate(steps, len(domains), most))
+    return rated.withColumn("rate", rate)
 
 
 def repeat_by_rate(mixed: DataFrame) -> DataFrame:

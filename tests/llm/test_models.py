@@ -184,6 +184,49 @@ def test_rates_solve_the_bounded_least_squares(spark):
     assert after @ after < 0.2 * (before @ before)
 
 
+def least_error(p, n, goal, most) -> float:
+    """The least squared error of bounded rates, by accelerated projected gradient steps."""
+    a, top = n[:, None] * p, np.linalg.eigvalsh((p * n[:, None]).T @ p).max()
+    rate = ahead = np.full(len(n), min(1.0, most))
+    speed = 1.0
+    for _ in range(20_000):
+        moved = np.clip(ahead - p @ (ahead @ a - goal) / top, 0, most)
+        if (n * (ahead - moved)) @ (moved - rate) > 0:
+            speed = 1.0
+        faster = (1 + np.sqrt(1 + 4 * speed * speed)) / 2
+        ahead, rate, speed = moved + (speed - 1) / faster * (moved - rate), moved, faster
+    return float(np.square(rate @ a - goal).sum())
+
+
+@pytest.mark.parametrize("seed, most", [(1, 1.0), (3, 1.0), (4, 2.0), (5, 0.5)])
+def test_rates_reach_the_least_error(spark, seed, most):
+    rng = np.random.default_rng(seed)
+    p, n = rng.dirichlet([1.2, 0.4, 0.13], 300), rng.integers(1, 500, 300)
+    table = spark.createDataFrame([(int(a), x.tolist()) for a, x in zip(n, p)], "n_tokens long, _p array<double>")
+    wanted = {"a": 0.6, "b": 0.3, "c": 0.1} if seed < 3 else {"a": 0.9, "b": 0.08, "c": 0.02}
+    hold = "a" if most == 1.0 else None
+    steps = mixing.fit_rates(table, wanted, hold, most)
+    rate = np.array([r[0] for r in table.select(mixing._rate(steps, 3, most)).collect()])
+    totals, share = min(1.0, most) * (n @ p), np.array(list(wanted.values()))
+    goal = share * (totals[0] / share[0] if hold else totals.sum())
+    least = least_error(p, n, goal, most) / totals.sum() ** 2
+    got = np.square((n * rate) @ p - goal).sum() / totals.sum() ** 2
+    assert rate.min() >= 0 and rate.max() <= most and got <= least + 1e-8
+
+
+def test_held_documents_keep_their_rate(given):
+    docs, labels = given
+    mixed = mixing.mix(docs, mixing.label_domains(labels), hold="good", most=1.0, carry=("doc_id",)).toPandas()
+    p, n, rate = np.array(mixed._p.tolist()), mixed.n_tokens.values, mixed.rate.values
+    held = p[:, 0] >= p.max(axis=1)
+    assert held.any() and (rate[held] == 1).all() and rate[~held].min() < 1
+    share = np.array(list(mixing.TARGETS.values()))
+    goal = share * (n @ p)[0] / share[0]
+    rest = goal - n[held] @ p[held]
+    least = least_error(p[~held], n[~held], rest, 1.0) / n.sum() ** 2
+    assert np.square((n * rate) @ p - goal).sum() / n.sum() ** 2 <= least + 1e-8
+
+
 def test_held_out_toxic_documents_are_told(spark):
     labels = mixing.label_domains(spark.read.parquet(f"{SF_DIR.replace('0.001', '0.1')}/labels.parquet"))
     docs = spark.read.parquet(f"{SF_DIR.replace('0.001', '0.1')}/documents.parquet").join(labels, "doc_id", "left_semi")
