@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tallymart.llm import (
-    embeddings, language, mixing, ngram_join, packing, phrases, quality_rules, quality_trees,
-    suffixes, token_files,
+    embeddings, gram_resampling, language, line_dedup, mixing, ngram_join, packing, phrases,
+    quality_rules, quality_trees, spelling, suffixes, token_files,
 )
 from tallymart.sources.staging import scratch_path
 
@@ -81,11 +81,26 @@ def op10_previous_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_gram_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gram_resampling.resample(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+def op12_line_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_lines(documents(spark, sf_dir)).select(
+        "row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+def op13_trie_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     named = [
         op1_ngram_regression, op2_curve_packing, op3_bit_planes, op4_lsh_forest,
         op5_phrase_automata, op6_kernel_language, op7_boosted_quality, op8_soft_mixing,
-        op9_itq_codes, op10_previous_factors,
+        op9_itq_codes, op10_previous_factors, op11_gram_resampling, op12_line_bitmaps,
+        op13_trie_frontier,
     ]
     return {query.__name__: query for query in named} | {"pipeline": corpus_pipeline.run}
 
