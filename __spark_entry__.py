@@ -73,6 +73,24 @@ def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.coerce_types(files.read_csv(spark, path))
 
 
+def scan_csv_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file whose product cells hold a line break, commas and quotes, read by many tasks."""
+    path = scratch_path(spark, "raw-csv")
+    odd = F.concat("product", F.lit('\nsay "'), "city", F.lit('", '), "order_id")
+    files.write_csv(orders.raw_text_lines(spark, sf_dir).withColumn("product", odd).coalesce(1), path)
+    return cleaning.coerce_types(files.read_csv(spark, path))
+
+
+def dedup_input_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that hold late orders first; of each order the copy that comes first in them stays."""
+    path = scratch_path(spark, "late-first")
+    late_first = [F.desc_nulls_last(c) for c in ("order_date", *schema.ORDER_COLUMNS)]
+    lines = orders.dirty_order_lines(spark, sf_dir).repartitionByRange(4, *late_first)
+    files.write_csv(lines.sortWithinPartitions(*late_first), path)
+    loaded = cleaning.coerce_types(files.read_csv(spark, path, ordered=True))
+    return cleaning.drop_duplicate_orders(loaded, files.INPUT_ORDER).select(*schema.ORDER_COLUMNS)
+
+
 def write_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "clean")
     dirty = orders.dirty_order_lines(spark, sf_dir)
@@ -172,6 +190,14 @@ def impute_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.impute_orders(dirty, PARAMS).select("order_id", "category", "unit_price")
 
 
+def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.clean_orders(orders.raw_text_lines(spark, sf_dir), PARAMS)
+
+
+def text_iqr_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.price_cap_summary(orders.raw_text_lines(spark, sf_dir), PARAMS)
+
+
 def filter_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = orders.order_lines(spark, sf_dir, ["category", "region"])
     return filters.filter_values(lines, "category", "region")
@@ -238,6 +264,8 @@ def _order_queries() -> dict[str, Query]:
     who = ["customer_id", "customer_type"]
     return {
         "scan_csv": scan_csv,
+        "scan_csv_breaks": scan_csv_breaks,
+        "dedup_input_order": dedup_input_order,
         "write_clean": write_clean,
         "write_metrics": write_metrics,
         "write_report": write_report,
@@ -255,6 +283,8 @@ def _order_queries() -> dict[str, Query]:
         "time_features": time_features,
         "clean_report": clean_report,
         "clean_orders": _over_dirty(cleaning.clean_orders),
+        "clean_text": clean_text,
+        "text_iqr_cap": text_iqr_cap,
         "kpi": _over_orders(sales.kpi, "customer_id"),
         "kpi_filtered": _over_orders(
             sales.kpi, "customer_id", "category", "region",

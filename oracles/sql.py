@@ -52,6 +52,10 @@ def rnd(x: str, digits: int) -> str:
     return f"round(({x}) + sign({x}) * 1e-7, {digits})"
 
 
+def rne(x: str, digits: int) -> str:
+    return f"round_even(({x})::DOUBLE * {10 ** digits}, 0) / {10 ** digits}"
+
+
 def quantile(values: str, p: float) -> str:
     """Linear interpolation in a sorted list, in the order of operations the engine uses."""
     at = f"((len({values}) - 1) * {p}::DOUBLE)"
@@ -97,10 +101,12 @@ dirty AS (
          order_status
   FROM hashed)"""
 
-COERCED = """coerced AS (
-  SELECT * REPLACE (nullif(region, 'nan') AS region, quantity::DOUBLE AS quantity,
+COERCED_ROWS = """SELECT * REPLACE (nullif(region, 'nan') AS region, quantity::DOUBLE AS quantity,
                     total_amount::DOUBLE AS total_amount, final_amount::DOUBLE AS final_amount)
-  FROM dirty)"""
+  FROM dirty"""
+
+COERCED = f"""coerced AS (
+  {COERCED_ROWS})"""
 
 UNIQUE = """uniq AS (
   SELECT * FROM coerced
@@ -126,16 +132,16 @@ gmed AS (
 filled AS (
   SELECT uniq.* REPLACE (
            coalesce(unit_price, m, gm) AS unit_price,
-           coalesce(quantity, 1)::BIGINT AS quantity,
+           coalesce(TRY_CAST(quantity AS BIGINT), 1) AS quantity,
            coalesce(category, '{UNKNOWN}') AS category, coalesce(region, '{UNKNOWN}') AS region,
            coalesce(city, '{UNKNOWN}') AS city,
            coalesce(payment_method, '{UNKNOWN}') AS payment_method),
          {NULLS} AS nulls_before
   FROM uniq LEFT JOIN med ON category = mc CROSS JOIN gmed),
 imputed AS (
-  SELECT * EXCLUDE (total) REPLACE ({rnd("total * (1 - least(greatest(discount_rate, 0), 1))", 2)}
+  SELECT * EXCLUDE (total) REPLACE ({rne("total * (1 - least(greatest(discount_rate, 0), 1) - 0 * discount_rate)", 2)}
            AS final_amount, total AS total_amount)
-  FROM (SELECT *, {rnd("unit_price * quantity", 2)} AS total FROM filled))"""
+  FROM (SELECT *, {rne("unit_price * quantity", 2)} AS total FROM filled))"""
 
 CAPPED = f"""lim AS (
   SELECT lc, q3 + (q3 - q1) * 3 AS upper_price
@@ -148,36 +154,41 @@ flagged AS (
 tamed AS (
   SELECT * REPLACE (abs(quantity)::BIGINT AS quantity,
            CASE WHEN (SELECT bool_or(bad_discount) FROM flagged)
-                THEN least(greatest(discount_rate, 0), 0.5::DOUBLE) ELSE discount_rate END
+                THEN least(greatest(discount_rate, 0), 0.5::DOUBLE) + 0 * discount_rate ELSE discount_rate END
              AS discount_rate,
            CASE WHEN too_dear THEN upper_price ELSE unit_price END AS unit_price)
   FROM flagged),
 capped AS (
   SELECT * EXCLUDE (total) REPLACE (
-           ({rnd("total * (1 - discount_rate)", 2)})::DECIMAL(14,2) AS final_amount,
-           total::DECIMAL(14,2) AS total_amount)
-  FROM (SELECT *, {rnd("unit_price * quantity", 2)} AS total FROM tamed))"""
+           TRY_CAST({rne("total * (1 - discount_rate)", 2)} AS DECIMAL(14,2)) AS final_amount,
+           TRY_CAST(total AS DECIMAL(14,2)) AS total_amount)
+  FROM (SELECT *, {rne("unit_price * quantity", 2)} AS total FROM tamed))"""
 
 UNIQUE_CTES = ",\n".join([RO, FAULTS, COERCED, UNIQUE])
 IMPUTED_CTES = ",\n".join([UNIQUE_CTES, IMPUTED])
 CAPPED_CTES = ",\n".join([IMPUTED_CTES, CAPPED])
 ORDER_LIST = ", ".join(COLUMNS)
 
-RAW_TYPES = f"""SELECT order_id,
-  CASE WHEN k % 97 = 5 THEN NULL ELSE order_date END AS order_date, category, product,
+RAW_TYPES = """SELECT order_id,
+  CASE WHEN k % 97 = 5 THEN NULL WHEN k % 101 = 7 OR k % 103 = 9 THEN order_date::DATE::TIMESTAMP
+       ELSE order_date END AS order_date, category, product,
   nullif(region, 'nan') AS region, city, channel, customer_id, customer_type,
-  CASE WHEN k % 89 = 3 THEN NULL ELSE unit_price END AS unit_price,
-  CASE WHEN k % 83 = 4 THEN NULL ELSE quantity::DOUBLE END AS quantity,
+  CASE WHEN k % 89 = 3 THEN NULL WHEN k % 907 = 2 OR k % 911 = 3 THEN 'Infinity'::DOUBLE
+       WHEN k % 919 = 4 THEN '-Infinity'::DOUBLE ELSE unit_price END AS unit_price,
+  CASE WHEN k % 83 = 4 THEN NULL WHEN k % 113 = 8 THEN 1e20::DOUBLE ELSE quantity::DOUBLE END AS quantity,
   total_amount::DOUBLE AS total_amount,
   CASE WHEN k % 79 = 6 THEN NULL ELSE discount_rate END AS discount_rate,
   final_amount::DOUBLE AS final_amount, payment_method, order_status
 FROM (SELECT *, split_part(order_id, '-', 2)::BIGINT AS k FROM dirty)"""
 
+IQR_CAP = """SELECT category, max(upper_price) AS upper_price, count(*) FILTER (too_dear) AS capped_orders
+FROM flagged GROUP BY 1"""
+
 REPORT = f"""SELECT (SELECT count(*) FROM dirty) AS rows_before, count(*) AS rows_after,
   (SELECT count(*) FROM dirty) - count(*) AS duplicates_removed,
   sum(nulls_before)::BIGINT AS nulls_before, sum(nulls_after)::BIGINT AS nulls_after,
   sum(negative::INTEGER + bad_discount::INTEGER + too_dear::INTEGER)::BIGINT AS outliers_handled,
-  (SELECT {rnd("count(*) FILTER (n > 1) / count(*) * 100", 1)}
+  (SELECT {rne("count(*) FILTER (n > 1) / count(*) * 100", 1)}
    FROM (SELECT count(order_id) AS n FROM capped WHERE order_status = 'F' GROUP BY customer_id))
     AS repurchase_rate
 FROM capped"""
@@ -285,6 +296,60 @@ scored AS (
          ({_score("monetary")})::BIGINT AS monetary_score
   FROM rfm, edges)"""
 
+def _far(point: str, centre: str) -> str:
+    parts = [f"(({point}.{a} - {centre}.{a}) / sd_{a})" for a in "rfm"]
+    return " + ".join(f"{p} * {p}" for p in parts)
+
+
+def _deviation(a: str) -> str:
+    mean, square = f"(sum({a} * w) / sum(w))", f"(sum({a} * {a} * w) / sum(w))"
+    spread = f"sqrt(greatest({square} - {mean} * {mean}, 0))"
+    return f"CASE WHEN {spread} > 0 THEN {spread} ELSE 1 END AS sd_{a}"
+
+
+#: Points p, seeded and moved by recursion over lists of centres; ends in ``clustered``.
+CLUSTERED = f"""pts AS (
+  SELECT *, row_number() OVER (ORDER BY r, f, m) AS pos, row_number() OVER (ORDER BY w DESC, r, f, m) AS heavy
+  FROM (SELECT coalesce(recency_score, 1) AS r, coalesce(frequency_score, 1) AS f, coalesce(monetary_score, 1) AS m,
+               count(*) AS w FROM scored GROUP BY 1, 2, 3)),
+scales AS (SELECT {", ".join(map(_deviation, "rfm"))}, least(5, count(*)) AS k FROM pts),
+seeds AS (
+  SELECT heavy AS start, 1 AS n, [{{'r': r::DOUBLE, 'f': f::DOUBLE, 'm': m::DOUBLE}}] AS cs FROM pts WHERE heavy <= 10
+  UNION ALL
+  SELECT start, n + 1, list_append(any_value(cs), first({{'r': r::DOUBLE, 'f': f::DOUBLE, 'm': m::DOUBLE}} ORDER BY gain DESC, pos))
+  FROM (SELECT start, n, cs, p.*, k, w * list_min(list_transform(cs, lambda c: {_far("p", "c")})) AS gain
+        FROM seeds, pts AS p, scales WHERE n < k)
+  GROUP BY start, n),
+lloyd AS (
+  SELECT start, 0 AS step, cs, false AS done FROM seeds, scales WHERE n = k
+  UNION ALL
+  SELECT start, step + 1, moved, moved = cs FROM (
+    SELECT start, step, any_value(cs) AS cs, list(coalesce(mean, cs[i]) ORDER BY i) AS moved FROM (
+      SELECT start, step, any_value(cs) AS cs, i,
+             CASE WHEN sum(w) FILTER (near = i) > 0 THEN {{
+               'r': sum(r * w) FILTER (near = i) / sum(w) FILTER (near = i),
+               'f': sum(f * w) FILTER (near = i) / sum(w) FILTER (near = i),
+               'm': sum(m * w) FILTER (near = i) / sum(w) FILTER (near = i)}} END AS mean
+      FROM (SELECT start, step, cs, unnest(range(1, len(cs) + 1)) AS i, r, f, m, w,
+                   list_position(fars, list_min(fars)) AS near
+            FROM (SELECT start, step, cs, p.*, list_transform(cs, lambda c: {_far("p", "c")}) AS fars
+                  FROM lloyd, pts AS p, scales WHERE NOT done AND step < 300))
+      GROUP BY start, step, i)
+    GROUP BY start, step)),
+settled AS (SELECT start, arg_max(cs, step) AS cs FROM lloyd GROUP BY start),
+cheapest AS (
+  SELECT list_sort(cs) AS cs FROM (
+    SELECT start, any_value(cs) AS cs,
+           sum(w * floor(list_min(list_transform(cs, lambda c: {_far("p", "c")})) * 1000000)::BIGINT) AS cost
+    FROM settled, pts AS p, scales GROUP BY start)
+  ORDER BY cost, start LIMIT 1),
+numbered AS (
+  SELECT r, f, m, (list_position(fars, list_min(fars)) - 1)::INTEGER AS cluster
+  FROM (SELECT p.*, list_transform(cs, lambda c: {_far("p", "c")}) AS fars FROM cheapest, pts AS p, scales)),
+clustered AS (
+  SELECT scored.*, cluster FROM scored JOIN numbered
+  ON coalesce(recency_score, 1) = r AND coalesce(frequency_score, 1) = f AND coalesce(monetary_score, 1) = m)"""
+
 IDENTITY = "customer_id || '|' || customer_type"
 TILE_ORDER = f"md5({IDENTITY}) || '|' || {IDENTITY}"
 
@@ -323,14 +388,14 @@ def _insights(rows, days: int = 90) -> str:
 
 def _kpi(where: str = "true") -> str:
     return done(f"""SELECT coalesce({REV}, 0) AS total_revenue, count(*) AS total_orders,
-  count(DISTINCT customer_id) AS total_customers, {rnd(AVG, 2)} AS avg_order_value,
-  {rnd("(SELECT count(*) FILTER (n > 1) / greatest(1, count(*)) * 100 FROM (SELECT count(order_id)"
+  count(DISTINCT customer_id) AS total_customers, {rne(AVG, 2)} AS avg_order_value,
+  {rne("(SELECT count(*) FILTER (n > 1) / greatest(1, count(*)) * 100 FROM (SELECT count(order_id)"
        f" AS n FROM done WHERE {where} GROUP BY customer_id))", 1)} AS repurchase_rate
 FROM done WHERE {where}""")
 
 
 def _share(of: str, keys: str) -> str:
-    return rnd(f"{of} / sum({of}) OVER ({keys}) * 100", 2)
+    return rne(f"{of} / sum({of}) OVER ({keys}) * 100", 2)
 
 
 def _weekday(where: str = "true") -> str:
@@ -344,7 +409,7 @@ FROM done WHERE {where} GROUP BY 1, 2""")
 
 def _repurchase_by_type(where: str = "true") -> str:
     return done(f"""SELECT customer_type, count(*) AS total, count(*) FILTER (n > 1) AS repeat,
-  {rnd("count(*) FILTER (n > 1) / count(*) * 100", 1)} AS rate
+  {rne("count(*) FILTER (n > 1) / count(*) * 100", 1)} AS rate
 FROM (SELECT customer_type, count(order_id) AS n FROM done WHERE {where}
       GROUP BY customer_id, customer_type) GROUP BY 1""")
 
@@ -385,6 +450,15 @@ def oracles() -> dict[str, str]:
 
     # Sources and sinks
     q["scan_csv"] = raw_types
+    breaks = raw_types.replace(
+        "AS order_date, category, product,",
+        """AS order_date, category, product || chr(10) || 'say "' || city || '", ' || order_id AS product,""",
+    )
+    q["scan_csv_breaks"] = breaks
+    late_first = ", ".join(f"{c} DESC NULLS LAST" for c in ("order_date", *COLUMNS))
+    q["dedup_input_order"] = f"""WITH {RO},\n{FAULTS},
+late AS (SELECT * FROM dirty QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY {late_first}) = 1)
+SELECT {ORDER_LIST} FROM (SELECT * FROM ({COERCED_ROWS.replace("FROM dirty", "FROM late")}))"""
     q["write_clean"] = clean
     q["write_metrics"] = done(f"""SELECT * FROM (
   SELECT 'daily_sales' AS metric, count(DISTINCT {DAY}) AS records, {REV} AS revenue FROM done
@@ -412,12 +486,13 @@ SELECT * REPLACE (total_amount::DECIMAL(14,2) AS total_amount,
                   final_amount::DECIMAL(14,2) AS final_amount)
 FROM (SELECT {ORDER_LIST} FROM imputed)"""
     q["clean_outliers"] = f"WITH {CAPPED_CTES}\nSELECT {ORDER_LIST} FROM capped"
-    q["iqr_cap"] = f"""WITH {CAPPED_CTES}
-SELECT category, max(upper_price) AS upper_price, count(*) FILTER (too_dear) AS capped_orders
-FROM flagged GROUP BY 1"""
+    q["iqr_cap"] = f"WITH {CAPPED_CTES}\n{IQR_CAP}"
     q["time_features"] = f"WITH {RO}\nSELECT order_id, order_date, product, {TIME} FROM ro"
     q["clean_report"] = report
     q["clean_orders"] = clean
+    text_ctes = ",\n".join([RO, FAULTS, f"coerced AS ({RAW_TYPES})", UNIQUE, IMPUTED, CAPPED])
+    q["clean_text"] = f"WITH {text_ctes}\nSELECT {ORDER_LIST}, {TIME} FROM capped"
+    q["text_iqr_cap"] = f"WITH {text_ctes}\n{IQR_CAP}"
 
     # Filters
     q["kpi"] = _kpi()
@@ -452,7 +527,7 @@ FROM (SELECT category, {REV} AS revenue, count(order_id) AS orders,
     q["customer_orders"] = customer_orders
     q["repurchase_overall"] = done(f"""SELECT count(*) AS customers,
   count(*) FILTER (n > 1) AS repeat_customers,
-  {rnd("count(*) FILTER (n > 1) / count(*) * 100", 1)} AS repurchase_rate
+  {rne("count(*) FILTER (n > 1) / count(*) * 100", 1)} AS repurchase_rate
 FROM (SELECT count(order_id) AS n FROM done GROUP BY customer_id)""")
     q["monthly_region"] = grouped(f"{YM} AS year_month, region AS region", region_totals)
     q["avg_daily_revenue"] = done(f"""SELECT sum(r)::DOUBLE / count(r) AS avg_daily_revenue
@@ -462,7 +537,7 @@ FROM (SELECT category, {REV} AS revenue, count(order_id) AS orders FROM done
       WHERE region = 'AMERICA' GROUP BY 1)""")
     q["region_sales"] = grouped("region AS region", region_totals, where="category = 'LARGE'")
     q["monthly_sales"] = done(f"""SELECT *,
-  {rnd("(revenue - lag(revenue) OVER (ORDER BY year_month))"
+  {rne("(revenue - lag(revenue) OVER (ORDER BY year_month))"
        " / lag(revenue) OVER (ORDER BY year_month) * 100", 2)} AS mom_growth
 FROM (SELECT {YM} AS year_month, {REV} AS revenue, count(order_id) AS orders,
              count(DISTINCT customer_id) AS customers FROM done GROUP BY 1)""")
@@ -578,13 +653,11 @@ FROM forecast WINDOW w AS (ORDER BY ds ROWS 6 PRECEDING)""")
     # Customers
     q["rfm"] = f"WITH {DONE},\n{RFM}\nFROM rfm"
     q["rfm_scores"] = f"WITH {DONE},\n{RFM},\n{SCORES}\nFROM scored"
-    named = f"""WITH {DONE},
-{RFM},
-prof AS (
-  SELECT customer_type AS cluster, avg(recency) AS avg_recency, avg(frequency) AS avg_frequency,
+    profiled = """prof AS (
+  SELECT {cluster} AS cluster, avg(recency) AS avg_recency, avg(frequency) AS avg_frequency,
          sum(monetary::DECIMAL(14,2))::DOUBLE / count(*) AS avg_monetary, count(*) AS count
-  FROM rfm GROUP BY 1),
-high AS (
+  FROM {rows} GROUP BY 1),"""
+    segments = f"""high AS (
   SELECT {quantile("ms", 0.7)} AS m, {quantile("fs", 0.7)} AS f, {quantile("rs", 0.7)} AS r,
          {quantile("fs", 0.3)} AS low_f
   FROM (SELECT {sorted_list("avg_monetary")} AS ms, {sorted_list("avg_frequency")} AS fs,
@@ -595,6 +668,19 @@ named AS (SELECT prof.*, CASE WHEN avg_monetary > m THEN '{SEGMENT_HIGH_VALUE}'
   WHEN avg_frequency < low_f THEN '{SEGMENT_LOW_ACTIVITY}'
   ELSE '{SEGMENT_POTENTIAL}' END AS segment
 FROM prof, high)"""
+    groups = profiled.format(cluster="customer_type", rows="rfm")
+    named = f"WITH {DONE},\n{RFM},\n{groups}\n{segments}"
+    groups = profiled.format(cluster="cluster", rows="clustered")
+    clustered = f"WITH RECURSIVE {DONE},\n{RFM},\n{SCORES},\n{CLUSTERED},\n{groups}\n{segments}"
+    q["customer_segments"] = f"{clustered} SELECT clustered.*, segment FROM clustered JOIN named USING (cluster)"
+    q["cluster_profile"] = f"{clustered} SELECT * FROM prof"
+    q["segment_summary"] = f"""{clustered}
+SELECT segment, count(*) AS customer_count, avg(recency) AS avg_recency_days,
+  avg(frequency) AS avg_orders, sum(monetary::DECIMAL(14,2))::DOUBLE / count(*) AS avg_lifetime_value
+FROM clustered JOIN named USING (cluster) GROUP BY 1"""
+    q["segment_sizes"] = f"""{clustered}
+SELECT segment, count(*) AS count, sum(monetary::DECIMAL(14,2))::DOUBLE / count(*) AS avg_monetary
+FROM clustered JOIN named USING (cluster) GROUP BY 1"""
     q["segment_naming"] = f"{named} SELECT * FROM named"
     q["group_profile"] = f"{named} SELECT * FROM prof"
     q["group_summary"] = f"""{named}

@@ -19,10 +19,27 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
+def round_half_even(value: Column, digits: int) -> Column:
+    """A double rounded as array libraries do: scaled, to the nearest whole number, a half to the even one.
+
+    A nudge or a rounding up would lift every second exact half, as of 0.125 or 6.25 %.
+    """
+    scale = F.lit(10.0**digits)
+    return F.rint(value.cast("double") * scale) / scale
+
+
 def percent(numerator: Column, denominator: Column, digits: int) -> Column:
     return round_half_up(ratio(numerator, denominator) * 100, digits)
 
 
+def percent_even(numerator: Column, denominator: Column, digits: int) -> Column:
+    return round_half_even(ratio(numerator, denominator) * 100, digits)
+
+
+def growth_percent_even(current: Column, base: Column, digits: int) -> Column:
+    return percent_even(current - base, base, digits)
+
+
 def growth_percent(current: Column, base: Column, digits: int) -> Column:
     """Relative change against ``base`` in percent; null without a usable base."""
     return percent(current - base, base, digits)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallymart.functions.calendar import moment, with_time_features
-from tallymart.functions.numeric import MONEY, clip, nan_to_null, percent, round_half_up
+from tallymart.functions.numeric import MONEY, clip, nan_to_null, percent_even, round_half_even
 from tallymart.operators.ranks import weighted_quantiles
 from tallymart.params import Params
 from tallymart.sources.staging import stage
@@ -21,7 +21,7 @@ from tallymart.sources.schema import NUMERIC_COLUMNS, ORDER_COLUMNS, TEXT_COLUMN
 
 FILLED_COLUMNS = ("category", "region", "city", "payment_method")
 
-_FILL, _UPPER = "_fill_price", "_upper_price"
+_FILL, _UPPER, _COPIES = "_fill_price", "_upper_price", "_copies"
 
 
 def _number(df: DataFrame, name: str) -> Column:
@@ -36,26 +36,28 @@ def coerce_types(df: DataFrame, params: Params = Params()) -> DataFrame:
     """Parse dates and numbers, unparsable cells become null; the text "nan" means null."""
     present = set(df.columns)
     parsed = {"order_date": moment("order_date", params.date_forms)}
-    parsed |= {n: _number(df, n) for n in NUMERIC_COLUMNS}
+    parsed |= {n: _number(df, n) for n in NUMERIC_COLUMNS if n in present}
     parsed |= {n: F.nullif(F.col(n).cast("string"), F.lit("nan")) for n in TEXT_COLUMNS}
     return df.withColumns({n: c for n, c in parsed.items() if n in present})
 
 
 def drop_duplicate_orders(
-    df: DataFrame, order_by: tuple[str, ...] = Params.duplicate_order
+    df: DataFrame, order_by: tuple[str, ...] = Params.duplicate_order, copies: str | None = None
 ) -> DataFrame:
     """Keep one row per order id: the first by ``order_by``, then by all other columns.
 
-    Ranking with a limit of one is cut down on the map side, so an id that repeats without end
-    sends one row per input partition through the shuffle.
+    The least row of an id is found map-side first, so an id that repeats without end sends one row
+    per input partition through the shuffle. ``copies`` names a column for how many rows the id had.
     """
     first = list(order_by)
-    rest = [c for c in df.columns if c not in {*first, "order_id"}]
-    order = [F.asc_nulls_last(c) for c in first + rest]
-    ranked = df.withColumn(
-        "_copy", F.row_number().over(Window.partitionBy("order_id").orderBy(*order))
-    )
-    return ranked.filter(F.col("_copy") == 1).drop("_copy")
+    order = first + [c for c in df.columns if c not in {*first, "order_id"}]
+    # a null comes after every value
+    least = F.min(F.struct(*(f(F.col(c)).alias(f"{k}{i}") for i, c in enumerate(order)
+                             for k, f in (("none", F.isnull), ("cell", lambda cell: cell)))))
+    found = df.groupBy("order_id").agg(least.alias("_first"), F.count(F.lit(1)).alias("_copies"))
+    place = {c: f"_first.cell{i}" for i, c in enumerate(order)}
+    cells = [F.col(place.get(c, c)).alias(c) for c in df.columns]
+    return found.select(*cells, *([F.col("_copies").alias(copies)] if copies else []))
 
 
 def _filled_label(params: Params) -> Column:
@@ -138,9 +140,9 @@ def fill_quantity(df: DataFrame, params: Params = Params()) -> DataFrame:
 
 
 def _amounts(df: DataFrame, discount: Column) -> DataFrame:
-    total = round_half_up(F.col("unit_price") * F.col("quantity"), 2)
+    total = round_half_even(F.col("unit_price") * F.col("quantity"), 2)
     return df.withColumn("total_amount", total).withColumn(
-        "final_amount", round_half_up(F.col("total_amount") * (1 - discount), 2)
+        "final_amount", round_half_even(F.col("total_amount") * (1 - discount), 2)
     )
 
 
@@ -179,7 +181,7 @@ def _bad_discount() -> Column:
 
 def _prepared(df: DataFrame, params: Params) -> DataFrame:
     """Deduplicated orders with their category prices and the table-wide discount flag."""
-    unique = drop_duplicate_orders(coerce_types(df, params), params.duplicate_order)
+    unique = drop_duplicate_orders(coerce_types(df, params), params.duplicate_order, _COPIES)
     unique = stage(unique, "unique-orders")
     counts = stage(price_counts(unique), "price-counts")
     bad_discount = counts.agg(F.max("bad_discount")).first()[0]
@@ -240,13 +242,16 @@ def null_profile(df: DataFrame, params: Params = Params()) -> DataFrame:
     )
 
 
-def _report(raw: DataFrame, treated: DataFrame, params: Params) -> DataFrame:
+def _report(treated: DataFrame, params: Params) -> DataFrame:
+    """The raw rows are the copies of all orders: the pass that made them unique counted them, and
+    no accumulator that a repeated task would raise again."""
     flags = ("_negative", "_bad_discount", "_too_dear")
     handled = sum((F.col(f).cast("int") for f in flags), F.lit(0))
     done = F.col("order_status") == params.completed_status
     # One row per customer carries all counters and the completed orders for the repeat rate.
     customers = treated.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("rows"),
+        F.sum(_COPIES).alias("raw"),
         F.sum("_nulls_before").alias("before"),
         F.sum("_nulls_after").alias("after"),
         F.sum(handled).alias("handled"),
@@ -258,24 +263,19 @@ def _report(raw: DataFrame, treated: DataFrame, params: Params) -> DataFrame:
     def total(name: str) -> Column:
         return F.coalesce(F.sum(name), F.lit(0)).cast("long")
 
-    after = customers.agg(
+    removed = F.col("rows_before") - F.col("rows_after")
+    return customers.agg(
+        total("raw").alias("rows_before"),
         total("rows").alias("rows_after"),
         F.struct(total("before").alias("before"), total("after").alias("after")).alias("nulls"),
         total("handled").alias("outliers_handled"),
-        percent(
+        percent_even(
             F.count_if(known & (F.col("orders") > 1)),
             F.count_if(known & (F.col("completed") > 0)),
             1,
         ).alias("repurchase_rate"),
-    )
-    before = raw.agg(F.count(F.lit(1)).alias("rows_before"))
-    return before.crossJoin(F.broadcast(after)).select(
-        "rows_before",
-        "rows_after",
-        (F.col("rows_before") - F.col("rows_after")).alias("duplicates_removed"),
-        "nulls",
-        "outliers_handled",
-        "repurchase_rate",
+    ).select(
+        "rows_before", "rows_after", removed.alias("duplicates_removed"), "nulls", "outliers_handled", "repurchase_rate"
     )
 
 
@@ -284,7 +284,7 @@ def clean_with_report(df: DataFrame, params: Params = Params()) -> tuple[DataFra
     columns = [c for c in ORDER_COLUMNS if c in df.columns]
     treated = _cleaned(df, params)
     orders = with_time_features(_typed_amounts(treated).select(*columns))
-    return orders, _report(df, treated, params)
+    return orders, _report(treated, params)
 
 
 def clean_report(df: DataFrame, params: Params = Params()) -> DataFrame:

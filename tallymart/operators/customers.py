@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.functions.numeric import percent, summed
+from tallymart.functions.numeric import percent_even, summed
 from tallymart.operators.filters import completed
 from tallymart.params import Params
 
@@ -30,7 +30,7 @@ def repurchase_overall(df: DataFrame, params: Params = Params()) -> DataFrame:
     return customers.agg(
         F.count(F.lit(1)).alias("customers"),
         repeat.alias("repeat_customers"),
-        percent(repeat, F.count(F.lit(1)), 1).alias("repurchase_rate"),
+        percent_even(repeat, F.count(F.lit(1)), 1).alias("repurchase_rate"),
     )
 
 
@@ -42,7 +42,7 @@ def repurchase_by_type(df: DataFrame, params: Params = Params()) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("total"),
             repeat.alias("repeat"),
-            percent(repeat, F.count(F.lit(1)), 1).alias("rate"),
+            percent_even(repeat, F.count(F.lit(1)), 1).alias("rate"),
         )
         .orderBy("customer_type")
     )

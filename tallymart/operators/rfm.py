@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.functions.calendar import elapsed_days
 from tallymart.functions.numeric import ratio, summed
+from tallymart.operators.clusters import weighted_kmeans
 from tallymart.operators.filters import completed
 from tallymart.operators.ranks import weighted_quantiles
 from tallymart.params import (
@@ -111,65 +108,16 @@ def rfm_scores(df: DataFrame, params: Params = Params()) -> DataFrame:
     return scored.withColumn("recency_score", recency).drop(*[f"_edges_{m}" for m in METRICS])
 
 
-def _points(scored: DataFrame) -> list[Row]:
-    """Customers counted by their combination of scores.
-
-    There are at most bins ** 3 combinations (125) however many customers there are, so they
-    fit on the driver and clustering them does not touch the orders again. A score that is
-    null because all customers tie counts as 1.
-    """
-    filled = [F.coalesce(F.col(s), F.lit(1)).alias(s) for s in SCORES]
-    counted = scored.select(*filled).groupBy(*SCORES).agg(F.count(F.lit(1)).alias("weight"))
-    return counted.orderBy(*SCORES).collect()
-
-
-def _standardised(points: list[Row]) -> list[list[float]]:
-    """Each score centred and scaled by its deviation over customers, not over points."""
-    total = sum(p["weight"] for p in points)
-    columns = []
-    for score in SCORES:
-        mean = sum(p[score] * p["weight"] for p in points) / total
-        variance = sum((p[score] - mean) ** 2 * p["weight"] for p in points) / total
-        columns.append([(p[score] - mean) / (variance**0.5 or 1.0) for p in points])
-    return [list(row) for row in zip(*columns)]
-
-
 def score_clusters(scored: DataFrame, params: Params = Params()) -> DataFrame:
-    """Cluster number of each combination of scores: the best of several k-means runs."""
-    spark = scored.sparkSession
-    points = _points(scored)
-    keys = [tuple(p[s] for s in SCORES) for p in points]
-    if len(points) <= params.n_clusters:
-        return spark.createDataFrame(
-            [(*key, i) for i, key in enumerate(keys)],
-            ", ".join(f"{s} long" for s in SCORES) + ", cluster int",
-        )
-    rows = [
-        (*key, float(p["weight"]), Vectors.dense(z))
-        for key, p, z in zip(keys, points, _standardised(points))
-    ]
-    features = spark.createDataFrame(rows, [*SCORES, "weight", "features"]).coalesce(1).cache()
+    """Cluster number of each combination of scores.
 
-    def fit(seed: int) -> KMeansModel:
-        kmeans = KMeans(
-            k=params.n_clusters, seed=seed, weightCol="weight", maxIter=params.cluster_iterations
-        )
-        return kmeans.setPredictionCol("cluster").fit(features)
-
-    # The restarts are independent and their Spark jobs are short, so they run side by side.
-    seeds = range(params.cluster_seed, params.cluster_seed + params.cluster_restarts)
-    with ThreadPoolExecutor(len(seeds)) as pool:
-        models = list(pool.map(fit, seeds))
-    best = min(models, key=lambda model: model.summary.trainingCost)
-    clusters = best.transform(features).select(*SCORES, "cluster").collect()
-    features.unpersist()
-    # Number the clusters by their centres, so that the numbers do not depend on the run.
-    centres = [tuple(c) for c in best.clusterCenters()]
-    by_centre = sorted(range(len(centres)), key=centres.__getitem__)
-    number = {old: new for new, old in enumerate(by_centre)}
-    return spark.createDataFrame(
-        [(*[row[s] for s in SCORES], number[row["cluster"]]) for row in clusters],
-        ", ".join(f"{s} long" for s in SCORES) + ", cluster int",
+    There are at most bins ** 3 combinations (125) however many customers there are, so clustering
+    them does not touch the orders again. A score that is null because all customers tie counts as 1.
+    """
+    filled = [F.coalesce(F.col(s), F.lit(1)).cast("long").alias(s) for s in SCORES]
+    points = scored.select(*filled).groupBy(*SCORES).agg(F.count(F.lit(1)).alias("weight"))
+    return weighted_kmeans(
+        points, SCORES, params.n_clusters, params.cluster_restarts, params.cluster_iterations
     )
 
 
@@ -217,7 +165,7 @@ def name_segments(profile: DataFrame) -> DataFrame:
 def cluster_customers(df: DataFrame, params: Params = Params()) -> DataFrame:
     """RFM scores of every customer with the cluster they fall into."""
     scored = stage(rfm_scores(df, params), "rfm-scores")
-    clusters = score_clusters(scored, params)
+    clusters = stage(score_clusters(scored, params), "score-clusters")
     same = [F.coalesce(scored[s], F.lit(1)) == clusters[s] for s in SCORES]
     return scored.join(F.broadcast(clusters), same).select(scored["*"], clusters["cluster"])
 

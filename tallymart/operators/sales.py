@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymart.functions.calendar import elapsed_days, is_weekend, month_key
-from tallymart.functions.numeric import growth_percent, percent, ratio, round_half_up, summed
+from tallymart.functions.numeric import growth_percent_even, percent_even, ratio, round_half_even, summed
 from tallymart.operators.filters import completed, filter_orders
 from tallymart.params import ALL, DAY_LABELS, Params
 
@@ -38,7 +38,7 @@ def _aggregate(df: DataFrame, measures: list[str], **keys: Column) -> DataFrame:
 def with_share(df: DataFrame, value: str, out: str) -> DataFrame:
     """Add the percentage of the column total to a table that has one row per label."""
     exact = F.col(value).cast("decimal(38,2)")
-    return df.withColumn(out, percent(exact, F.sum(exact).over(Window.partitionBy()), 2))
+    return df.withColumn(out, percent_even(exact, F.sum(exact).over(Window.partitionBy()), 2))
 
 
 def daily_sales(df: DataFrame, params: Params = Params()) -> DataFrame:
@@ -141,7 +141,7 @@ def monthly_sales(df: DataFrame, region: str | None = None, params: Params = Par
     # One row per calendar month, so a single ordered partition stays small at any scale.
     previous = F.lag("revenue").over(Window.orderBy("year_month"))
     return months.withColumn(
-        "mom_growth", growth_percent(F.col("revenue"), previous, 2)
+        "mom_growth", growth_percent_even(F.col("revenue"), previous, 2)
     ).orderBy("year_month")
 
 
@@ -231,8 +231,8 @@ def kpi(
         total.cast("double").alias("total_revenue"),
         F.coalesce(F.sum("records"), F.lit(0)).cast("long").alias("total_orders"),
         F.count("customer_id").alias("total_customers"),
-        round_half_up(ratio(total, F.sum("priced")), 2).alias("avg_order_value"),
-        percent(
+        round_half_even(ratio(total, F.sum("priced")), 2).alias("avg_order_value"),
+        percent_even(
             F.count_if(known & (F.col("orders") > 1)),
             F.greatest(F.lit(1), F.count("customer_id")),
             1,

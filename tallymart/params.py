@@ -51,6 +51,5 @@ class Params:
     as_of: dt.date | None = None  # None: the current date
 
     n_clusters: int = 5
-    cluster_seed: int = 42
     cluster_restarts: int = 10
     cluster_iterations: int = 300

@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 from tallymart.functions.calendar import moment, with_time_features
 from tallymart.operators.filters import completed
 from tallymart.params import Params
+from tallymart.sources import csv_ranges
+from tallymart.sources.csv_ranges import BYTE_ORDER_MARK
 from tallymart.sources.schema import CLEAN_SCHEMA, RAW_TEXT_SCHEMA
 
 # Cell texts that mean a missing value.
@@ -17,8 +19,6 @@ MISSING = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-BYTE_ORDER_MARK = "\ufeff"
-
 # Quotes inside a quoted cell are doubled, and blanks around a text are kept.
 CSV_STYLE = {
     "header": "true",
@@ -28,27 +28,47 @@ CSV_STYLE = {
 }
 
 
+#: Columns that place a row in its input: file, byte range and row in the range.
+INPUT_ORDER = ("source_file", "source_block", "source_row")
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
     schema: T.StructType = RAW_TEXT_SCHEMA,
     line_breaks: bool = True,
     params: Params = Params(),
+    ordered: bool = False,
 ) -> DataFrame:
     """Read orders from CSV with a header; a cell that does not fit its type becomes null.
 
     Columns are found by the names in the header: their order is free, unknown ones are left
     out, and absent ones are absent from the result. A byte order mark is skipped. Dates may have
-    any form that cleaning knows. Quoted cells may hold line breaks, so a file is read by one
-    task; without ``line_breaks`` a large file without such cells is split among many.
+    any form that cleaning knows. Quoted cells may hold line breaks; a large file is split among
+    many tasks all the same. Without ``line_breaks`` the pass that looks for open cells is saved.
+    With ``ordered`` the columns of ``INPUT_ORDER`` are added: name them in
+    ``Params.duplicate_order`` to keep the first copy of an order as the files have them.
     """
-    reader = spark.read.options(**CSV_STYLE, multiLine=str(line_breaks).lower())
-    header = [name.lstrip(BYTE_ORDER_MARK) for name in reader.csv(path).columns]
+    reader = spark.read.options(**CSV_STYLE)
+    header = [n.lstrip(BYTE_ORDER_MARK) for n in reader.option("multiLine", True).csv(path).columns]
     known = {f.name: f for f in schema}
     text = {name: T.StructField(name, T.StringType()) for name in header}
     fields = [text[name] if _is_moment(known.get(name)) else known.get(name, text[name]) for name in header]
-    rows = reader.schema(T.StructType(fields)).option("enforceSchema", False).csv(path)
-    return rows.select(*[_cell(f, params) for f in schema if f.name in header])
+    cells = [_cell(f, params) for f in schema if f.name in header]
+    if not (line_breaks or ordered):
+        rows = spark.read.options(**CSV_STYLE).schema(T.StructType(fields))
+        return rows.option("enforceSchema", False).csv(path).select(*cells)
+    found = csv_ranges.records(spark, path, header).filter("kind = 'whole'")
+    ddl = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in fields)
+    parsed = found.withColumn("cells", F.from_csv("record", ddl, CSV_STYLE))
+    place = [F.col(c).alias(o) for c, o in zip(("file", "block", "row"), INPUT_ORDER)]
+    return parsed.select("cells.*", *place).select(*cells, *(INPUT_ORDER if ordered else []))
+
+
+def with_input_order(rows: DataFrame) -> DataFrame:
+    """Add ``INPUT_ORDER`` to a table that was just read from Parquet files."""
+    place = ("_metadata.file_path", "_metadata.file_block_start", "_metadata.row_index")
+    return rows.select("*", *(F.col(c).alias(o) for c, o in zip(place, INPUT_ORDER)))
 
 
 def _is_moment(field: T.StructField | None) -> bool:

@@ -149,12 +149,26 @@ def dirty_order_lines(
 
 
 def raw_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The dirty lines as text cells with unparsable dates and numbers among them."""
+    """The dirty lines as text cells: other forms of dates, unparsable dates and numbers, numbers
+    beyond all bounds."""
     dirty = dirty_order_lines(spark, sf_dir)
     line = F.split(F.col("order_id"), "-")[1].cast("long")
     text = {n: F.col(n).cast("string") for n in ORDER_COLUMNS}
-    text["order_date"] = F.when(line % 97 == 5, F.lit("bad")).otherwise(text["order_date"])
-    text["unit_price"] = F.when(line % 89 == 3, F.lit("abc")).otherwise(text["unit_price"])
-    text["quantity"] = F.when(line % 83 == 4, F.lit("")).otherwise(text["quantity"])
+    date = F.col("order_date")
+    text["order_date"] = (
+        F.when(line % 97 == 5, F.lit("bad"))
+        .when(line % 101 == 7, F.date_format(date, "yyyy/M/d"))
+        .when(line % 103 == 9, F.date_format(date, "yyyyMMdd"))
+        .otherwise(text["order_date"])
+    )
+    text["unit_price"] = (
+        F.when(line % 89 == 3, F.lit("abc")).when(line % 907 == 2, F.lit("Infinity"))
+        .when(line % 911 == 3, F.lit("1e999")).when(line % 919 == 4, F.lit("-Infinity"))
+        .otherwise(text["unit_price"])
+    )
+    text["quantity"] = (
+        F.when(line % 83 == 4, F.lit("")).when(line % 113 == 8, F.lit("99999999999999999999"))
+        .otherwise(text["quantity"])
+    )
     text["discount_rate"] = F.when(line % 79 == 6, F.lit("nan")).otherwise(text["discount_rate"])
     return dirty.select(*[text[n].alias(n) for n in ORDER_COLUMNS])

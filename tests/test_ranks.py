@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from decimal import Decimal
 
@@ -37,23 +38,44 @@ def _samples():
         # Differences far below a hundredth, at both ends of the scale.
         "fine": [100 + i * 1e-8 for i in range(2500)],
         "tiny": [i * 1e-12 for i in range(2500)] + [5e8],
+        "infinite": [float("-inf")] * 3 + [float(i) for i in range(2000)] + [float("inf")] * 5,
+        "endless": [float("inf")] * 4 + [float("-inf")],
     }
 
 
 @pytest.mark.parametrize("sorted_values", [ranks.SORTED_VALUES, 20])
 def test_quantiles_equal_numpy_and_builtin(spark, sorted_values, monkeypatch):
     monkeypatch.setattr(ranks, "SORTED_VALUES", sorted_values)
-    monkeypatch.setattr(ranks, "CELLS", 64)
+    monkeypatch.setattr(ranks, "CELLS", 16)
     groups = _samples()
     counts = _counts(spark, groups).cache()
     wide = {r["k"]: r["quantiles"] for r in weighted_quantiles(counts, ["k"], PROBABILITIES).collect()}
     levels = F.array(*map(F.lit, PROBABILITIES))
     builtin = counts.groupBy("k").agg(F.percentile("value", levels, F.col("n")).alias("q"))
-    assert wide == {r["k"]: r["q"] for r in builtin.collect()}
+    assert {k: str(q) for k, q in wide.items()} == {r["k"]: str(r["q"]) for r in builtin.collect()}
     for name, values in groups.items():
+        if math.inf in values:  # numpy takes differences of infinities
+            continue
         assert wide[name] == pytest.approx(np.quantile(values, PROBABILITIES), rel=1e-12)
 
 
+def test_decimals_that_are_one_double_end(spark, monkeypatch):
+    monkeypatch.setattr(ranks, "SORTED_VALUES", 5)
+    rows = [("k", Decimal(10**17) + i) for i in range(12)] + [("n", Decimal(i)) for i in range(40)]
+    counts = spark.createDataFrame(rows, "k string, value decimal(38,0)").withColumn("n", F.lit(1)).cache()
+    found = ranks.select_ranks(counts, ["k"], lambda total: F.sequence(F.lit(0), (total - 1).cast("int")))
+    got = {(r["k"], r["rank"]): r["value"] for r in found.collect()}
+    assert got == {("k", i): Decimal(10**17) + i for i in range(12)} | {("n", i): Decimal(i) for i in range(40)}
+
+
+def test_missing_numbers_come_last(spark, monkeypatch):
+    monkeypatch.setattr(ranks, "SORTED_VALUES", 3)
+    counts = _counts(spark, {"some": [1.0, 2.0, 3.0, 4.0, math.nan], "all": [math.nan] * 3}).cache()
+    found = ranks.select_ranks(counts, ["k"], lambda total: F.array(F.lit(0), (total - 1).cast("int")))
+    got = {(r["k"], r["rank"]): str(r["value"]) for r in found.collect()}
+    assert got == {("some", 0): "1.0", ("some", 4): "nan", ("all", 0): "nan", ("all", 2): "nan"}
+
+
 @settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.integers(-5, 30), min_size=1, max_size=60))
 def test_distributed_quantiles_of_any_list(spark, values):

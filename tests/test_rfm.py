@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 
 from tallymart import params as names
-from tallymart.operators import rfm
+from tallymart.operators import clusters, rfm
 from tallymart.params import Params
 from tallymart.sources.orders import order_lines
 
@@ -102,6 +102,49 @@ def test_clusters_are_complete_and_cheap(spark):
     assert values == sorted(values, reverse=True)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_kmeans_equals_a_plain_one(spark, seed):
+    """The same seeding and steps in plain Python, and no worse than twenty random starts of k-means++."""
+    draw = np.random.default_rng(seed)
+    grid = [(r, f, m) for r in range(1, 6) for f in range(1, 6) for m in range(1, 6) if draw.random() < 0.5]
+    weights = draw.integers(1, 50, len(grid))
+    rows = [(*map(int, p), int(w)) for p, w in zip(grid, weights)]
+    table = spark.createDataFrame(rows, "a int, b int, c int, weight int").selectExpr(
+        "cast(a as bigint) a", "cast(b as bigint) b", "cast(c as bigint) c", "cast(weight as bigint) weight"
+    )
+    found = clusters.weighted_kmeans(table, ["a", "b", "c"], 5)
+    got = {(r["a"], r["b"], r["c"]): r["cluster"] for r in found.collect()}
+    assert set(got) == set(grid) and set(got.values()) == set(range(5))
+    points = np.array(grid, float)
+    mean = np.average(points, axis=0, weights=weights)
+    scale = np.sqrt(np.average((points - mean) ** 2, axis=0, weights=weights))
+    labels = np.array([got[p] for p in grid])
+    centres = np.array([np.average(points[labels == k], axis=0, weights=weights[labels == k]) for k in range(5)])
+    far = (((points[:, None] - centres) / scale) ** 2).sum(axis=2)
+    assert (far.argmin(axis=1) == labels).all()  # settled
+    assert sorted(map(tuple, centres)) == list(map(tuple, centres))  # numbered by centre
+
+    def random_start() -> float:
+        chosen = points[draw.choice(len(points), 5, replace=False, p=weights / weights.sum())]
+        for _ in range(60):
+            own = (((points[:, None] - chosen) / scale) ** 2).sum(axis=2).argmin(axis=1)
+            chosen = np.array([
+                np.average(points[own == k], axis=0, weights=weights[own == k]) if (own == k).any() else chosen[k]
+                for k in range(5)
+            ])
+        return (weights * (((points[:, None] - chosen) / scale) ** 2).sum(axis=2).min(axis=1)).sum()
+
+    cost = (weights * far.min(axis=1)).sum()
+    assert cost <= 1.05 * min(random_start() for _ in range(20))
+
+
+def test_kmeans_of_few_or_equal_points(spark):
+    one = spark.createDataFrame([(3, 3, 9)], "a long, b long, weight long")
+    assert [tuple(r) for r in clusters.weighted_kmeans(one, ["a", "b"], 5).collect()] == [(3, 3, 0)]
+    none = one.filter("a > 5")
+    assert clusters.weighted_kmeans(none, ["a", "b"], 5).collect() == []
+
+
 def test_few_score_combinations_are_their_own_clusters(make_orders):
     clustered = rfm.cluster_customers(_customers(make_orders, [1] * 3), P)
     assert sorted(r["cluster"] for r in clustered.collect()) == [0, 1, 2]
