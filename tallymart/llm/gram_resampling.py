@@ -2,8 +2,7 @@
 
 A block of texts becomes words by Arrow kernels: ``ascii_lower``, ``split_pattern_regex``,
 ``list_flatten`` and ``dictionary_encode``. Neighbouring dictionary indices of one text form the
-two-word features; each distinct pair of a block gets its CRC once, as the continuation of the
-first word's. Bucket counts add up within a task to one array before the shuffle, so both passes
+two-word features; each distinct pair of a block gets its CRC once, from those of its two words. Bucket counts add up within a task to one array before the shuffle, so both passes
 over the texts move a few numbers only. The second pass takes the gain of each feature's bucket and
 sums them over each text.
 
@@ -29,15 +28,37 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymart.llm.text import blocks
+from tallymart.llm.text import blocks, utf8
 from tallymart.sources.staging import stage
 
 BUCKETS = 10_000
 LEAST_WORDS = 20
 DRAWN_PER_CENT = 25
 SEED = 7
+#: Bytes of texts that share a dictionary of words and of pairs.
+BLOCK = 1 << 21
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+def _zero_byte(crc: np.ndarray) -> np.ndarray:
+    return crc >> 8 ^ _ZERO[crc & 0xFF]
+
+
+_ZERO = np.arange(256)
+for _ in range(8):  # the reflected polynomial of zlib's CRC-32
+    _ZERO = _ZERO >> 1 ^ np.where(_ZERO & 1, 0xEDB88320, 0)
+
+
+def moved(crc: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """What each CRC adds to that of a string ``places`` bytes longer: crc(a + b) = moved(crc(a), len(b)) ^ crc(b)."""
+    out, todo = crc.copy(), np.flatnonzero(places > 0)
+    done = 0
+    while len(todo):
+        out[todo] = _zero_byte(out[todo])
+        done += 1
+        todo = todo[places[todo] > done]
+    return out
+
+
 class Features:
     """The one- and two-word features of a block of texts, as buckets of their CRC."""
 
@@ -50,20 +71,16 @@ class Features:
         self.n_texts = len(texts)
         self.word_owner = owner.filter(real).to_numpy(zero_copy_only=False)
         index = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        written = [w.encode() for w in encoded.dictionary.to_pylist()]
+        data, bounds = utf8(encoded.dictionary)
+        raw, edges = data.tobytes(), bounds.tolist()
+        alone = np.fromiter((zlib.crc32(raw[a:b]) for a, b in zip(edges, edges[1:])), np.int64, len(edges) - 1)
 
-        alone = np.array([zlib.crc32(w) for w in written], np.int64)
-        pairs = index[:-1] * len(written) + index[1:]
+        n = max(1, len(alone))
         within = self.word_owner[:-1] == self.word_owner[1:]
-        distinct, which = np.unique(pairs[within], return_inverse=True)
-        opened = [zlib.crc32(w + b" ") for w in written]
-        joined = np.fromiter(
-            (
-                zlib.crc32(written[b], opened[a])
-                for a, b in zip((distinct // max(1, len(written))).tolist(), (distinct % max(1, len(written))).tolist())
-            ),
-            np.int64, len(distinct),
-        )
+        distinct, which = np.unique((index[:-1] * n + index[1:])[within], return_inverse=True)
+        first, second = distinct // n, distinct % n
+        opened = moved(alone, np.ones(n, np.int64)[: len(alone)]) ^ zlib.crc32(b" ")
+        joined = moved(opened[first], np.diff(bounds)[second]) ^ alone[second]
         #: the bucket of every single word and of every pair, and the text of each
         self.single, self.double = (alone % buckets)[index], (joined % buckets)[which]
         self.pair_owner = self.word_owner[:-1][within]
@@ -90,7 +107,7 @@ class Features:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(BUCKETS, np.int64)
     for batch in batches:
-        for block in blocks(batch, "text"):
+        for block in blocks(batch, "text", BLOCK):
             total += Features(block.column("text")).counts()
     found = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["bucket", "n"])
@@ -114,7 +131,7 @@ def gains(source: np.ndarray, target: np.ndarray) -> np.ndarray:
 
 def _weigh(batches: Iterator[pa.RecordBatch], gain: np.ndarray) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for block in blocks(batch, "text"):
+        for block in blocks(batch, "text", BLOCK):
             features = Features(block.column("text"))
             n = features.n_features()
             weight = features.sums(gain) // np.maximum(n, 1)
