@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from oracles.sql import oracles
 from tallymart.functions.calendar import with_time_features
-from tallymart.operators import cleaning, customers, filters, forecast, insights, rfm, sales, trends
+from tallymart.operators import (
+    cleaning, customers, dashboard, filters, forecast, insights, rfm, sales, trends,
+)
 from tallymart.params import Params
 from tallymart.plans import batch, catalogue
 from tallymart.sources import files, orders, schema
@@ -59,7 +61,7 @@ def _dashboard(name: str) -> Query:
             spark, sf_dir, [*DONE, "category", "region", "customer_id", "customer_type"],
             (SLICE["start"], SLICE["end"]),
         )
-        return sales.dashboard_datasets(lines, **SLICE, params=PARAMS)[name]
+        return dashboard.dashboard_datasets(lines, **SLICE, params=PARAMS)[name]
 
     return query
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallymart.functions.calendar import elapsed_days, is_weekend, month_key
 from tallymart.functions.numeric import growth_percent_even, percent_even, ratio, round_half_even, summed
 from tallymart.operators.filters import completed, filter_orders
-from tallymart.params import ALL, DAY_LABELS, Params
+from tallymart.params import DAY_LABELS, Params
 
 
 def _day() -> Column:
@@ -238,27 +238,3 @@ def kpi(
             1,
         ).alias("repurchase_rate"),
     )
-
-
-def dashboard_datasets(
-    df: DataFrame,
-    start=None,
-    end=None,
-    category: str = ALL,
-    region: str = ALL,
-    params: Params = Params(),
-) -> dict[str, DataFrame]:
-    """The chart tables of an interactive slice, all over the same filtered orders."""
-    from tallymart.operators.customers import repurchase_by_type
-    from tallymart.operators.trends import trend_ma7
-
-    rows = filter_orders(df, start, end, category, region)
-    return {
-        "kpi": kpi(rows, params=params),
-        "trend": trend_ma7(rows, params=params),
-        "weekday": weekday_average(rows, params=params),
-        "category": category_total(rows, params=params),
-        "region": region_total(rows, params=params),
-        "repurchase": repurchase_by_type(rows, params=params),
-        "category_trend": category_month(rows, params=params),
-    }

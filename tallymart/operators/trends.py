@@ -24,7 +24,7 @@ def daily_totals(df: DataFrame, keys: tuple[str, ...] = (), params: Params = Par
     )
 
 
-def _trailing_mean(days: int, full_only: bool) -> Column:
+def trailing_mean(days: int, full_only: bool = False) -> Column:
     frame = Window.orderBy("date").rowsBetween(1 - days, 0)
     mean = ratio(F.sum("total").over(frame), F.count("total").over(frame))
     return F.when(F.count("total").over(frame) == days, mean) if full_only else mean
@@ -33,7 +33,7 @@ def _trailing_mean(days: int, full_only: bool) -> Column:
 def moving_average(df: DataFrame, params: Params = Params()) -> DataFrame:
     """Daily revenue and orders with averages that stay null until their window is full."""
     averages = {
-        f"ma{days}": _trailing_mean(days, full_only=True) for days in params.moving_average_days
+        f"ma{days}": trailing_mean(days, full_only=True) for days in params.moving_average_days
     }
     return (
         daily_totals(df, params=params)
@@ -50,7 +50,7 @@ def trend_ma7(df: DataFrame, params: Params = Params()) -> DataFrame:
         .select(
             "date",
             F.col("total").cast("double").alias("revenue"),
-            _trailing_mean(7, full_only=False).alias("ma7"),
+            trailing_mean(7).alias("ma7"),
         )
         .orderBy("date")
     )
