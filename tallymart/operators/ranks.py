@@ -14,6 +14,8 @@ no other way for small tables.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass, replace
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,6 +27,7 @@ CELLS = 128
 SKETCH_SIZE = 1024  # ranks are right within about 0.3 %
 SORTED_VALUES = 50_000  # distinct values of a cell that one task may sort
 TIE_PREFIX = 4  # hex digits of the tie key, 65,536 buckets
+TIE_DIGITS = 32
 
 
 def _before(weight: str, keys: Sequence[str], order: str) -> Column:
@@ -47,7 +50,8 @@ def _bounds(value: str) -> Column:
     """
     sketch = F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(SKETCH_SIZE))
     shares = F.array(*[F.lit(i / CELLS) for i in range(1, CELLS)])
-    usable = ~F.isnan(F.min(F.col(value).cast("double")))
+    least = F.min(F.col(value).cast("double"))
+    usable = least.isNotNull() & ~F.isnan(least)
     found = F.when(usable, F.array_distinct(F.kll_sketch_get_quantile_double(sketch, shares)))
     return F.coalesce(found, F.array().cast("array<double>"))
 
@@ -157,12 +161,10 @@ def weighted_quantiles(
     return found.select(*keys, F.array(*[interpolate(p) for p in probabilities]).alias(out))
 
 
-def _tile_starts(n: int, total: Column) -> Column:
-    """First position of tiles 2..n when the first total % n tiles get one row more."""
-    starts = [
-        (total / n).cast("long") * k + F.least(F.lit(k), total % n) for k in range(1, n)
-    ]
-    return F.filter(F.array(*starts), lambda s: s < total)
+def _tile_starts(n: int, rows: int) -> list[int]:
+    """First position of tiles 2..n when the first rows % n tiles get one row more."""
+    starts = (rows // n * k + min(k, rows % n) for k in range(1, n))
+    return [s for s in starts if s < rows]
 
 
 def _common_type(df: DataFrame, column: str) -> str:
@@ -179,8 +181,8 @@ def with_tiles(
     """Add ntile(n) numbers of several columns, each over the whole table in ascending order.
 
     Nulls come first. Rows of equal value are ordered by a hash of ``tie_columns``, which must
-    identify a row. Only the n - 1 rows where a tile starts are looked up; every row then finds its
-    tile by comparing itself with them, so the table itself is neither sorted nor shuffled.
+    identify a row. Only the n - 1 rows where a tile starts are looked up, here and now; every row
+    then finds its tile by comparing itself with them, so the table is neither sorted nor shuffled.
     ``df`` should be a stored table, since it is read several times.
     """
     identity = F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("")) for c in tie_columns])
@@ -194,6 +196,103 @@ def with_tiles(
     return tiled.drop("_tie")
 
 
+@dataclass(frozen=True)
+class _Cut:
+    """The place where a tile of a metric starts: the ``offset``-th of ``alike`` rows of one value."""
+
+    metric: str
+    value: Any
+    offset: int
+    alike: int
+    prefix: str = ""
+
+    @property
+    def name(self) -> str:
+        return f"{self.metric}|{self.prefix}|{self.offset}|{self.value}"
+
+
+def _cuts(counts: DataFrame, n: int, common: str) -> list[_Cut]:
+    """Where the tiles of each metric start, from the counts of its values.
+
+    A metric has at most n - 1 of them, so the driver holds the wanted positions, and what a pass
+    finds for them, whatever the size of the table. Nulls are sorted before all values.
+    """
+    spark = counts.sparkSession
+    v, known = F.col("value"), F.col("value").isNotNull()
+    cuts: list[_Cut] = []
+    wanted: list[tuple] = []
+    ends = counts.groupBy("metric").agg(
+        F.min("value"), F.max("value"), F.count("value"), F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0)),
+        F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)), _bounds("value"),
+    )
+    for metric, low, high, kinds, values, nulls, bounds in ends.collect():
+        for start in _tile_starts(n, values + nulls):
+            if start < nulls:
+                cuts.append(_Cut(metric, None, start, nulls))
+            else:
+                wanted.append((metric, low, high, 0, kinds, bounds, start - nulls))
+    schema = f"metric string, _low {common}, _high {common}, _start long, _kinds long, _bounds array<double>, rank long"
+    cell = ["metric", "_low", "_high"]
+    first = F.col("_start") + F.col("_before")
+
+    def inside(spans: DataFrame) -> DataFrame:
+        distinct = spans.dropDuplicates(cell).drop("rank")
+        return counts.filter(known).join(F.broadcast(distinct), "metric").filter(v.between(F.col("_low"), F.col("_high")))
+
+    most = None
+    while wanted and max(w[4] for w in wanted) > SORTED_VALUES and max(w[4] for w in wanted) != most:
+        most = max(w[4] for w in wanted)
+        spans = spark.createDataFrame(wanted, schema)
+        cells = (
+            inside(spans).withColumn("_cell", _cell(v)).groupBy(*cell, "_start", "_cell")
+            .agg(F.sum("n").alias("_n"), F.min("value").alias("_least"), F.max("value").alias("_most"),
+                 F.count(F.lit(1)).alias("_values"), _bounds("value").alias("_next"))
+            .withColumn("_before", _before("_n", cell, "_cell"))
+        )
+        ranks = F.broadcast(spans.select(*cell, "rank"))
+        found = cells.join(ranks, cell).filter(_holds(F.col("rank"), first, F.col("_n")))
+        wanted = [tuple(r) for r in found.select("metric", "_least", "_most", first, "_values", "_next", "rank").collect()]
+    if wanted:
+        spans = spark.createDataFrame(wanted, schema)
+        placed = inside(spans).withColumn("_before", _before("n", cell, "value"))
+        found = placed.join(F.broadcast(spans.select(*cell, "rank")), cell)
+        found = found.filter(_holds(F.col("rank"), first, F.col("n")))
+        cuts += [_Cut(*r) for r in found.select("metric", "value", F.col("rank") - first, "n").collect()]
+    return cuts
+
+
+def _tied_starts(values: DataFrame, cuts: list[_Cut], common: str) -> list[tuple[str, Any, str]]:
+    """Metric, value and tie key of the row where each tile starts.
+
+    Rows of equal value are narrowed by the digits of their tie keys until a task can sort them.
+    """
+    spark = values.sparkSession
+    # A value becomes text for the join, so that null meets null.
+    text = F.coalesce(F.col("value").cast("string"), F.lit("null")).alias("_value")
+    schema = f"metric string, value {common}, _prefix string, _offset long, _name string"
+
+    def tied() -> DataFrame:
+        rows = [(c.metric, c.value, c.prefix, c.offset, c.name) for c in cuts]
+        places = spark.createDataFrame(rows, schema).select("metric", text, "_prefix", "_offset", "_name")
+        joined = values.select("metric", text, "_tie").join(F.broadcast(places), ["metric", "_value"])
+        return joined.filter(F.startswith("_tie", F.col("_prefix")))
+
+    while max(c.alike for c in cuts) > SORTED_VALUES and len(cuts[0].prefix) < TIE_DIGITS:
+        by_name = {c.name: c for c in cuts}
+        longer = F.left("_tie", F.lit(len(cuts[0].prefix) + TIE_PREFIX)).alias("_longer")
+        groups = tied().groupBy("_name", "_offset", longer).agg(F.count(F.lit(1)).alias("_n"))
+        groups = groups.withColumn("_start", _before("_n", ["_name"], "_longer"))
+        held = groups.filter(_holds(F.col("_offset"), F.col("_start"), F.col("_n")))
+        cuts = [
+            replace(by_name[r["_name"]], prefix=r["_longer"], offset=r["_offset"] - r["_start"], alike=r["_n"])
+            for r in held.collect()
+        ]
+    by_name = {c.name: c for c in cuts}
+    place = F.row_number().over(Window.partitionBy("_name").orderBy("_tie")) - 1
+    starts = tied().withColumn("_place", place).filter(F.col("_place") == F.col("_offset"))
+    return [(by_name[r[0]].metric, by_name[r[0]].value, r[1]) for r in starts.select("_name", "_tie").collect()]
+
+
 def _with_tiles_of_kind(
     tiled: DataFrame, source: DataFrame, n: int, columns: dict[str, str], common: str
 ) -> DataFrame:
@@ -204,59 +303,16 @@ def _with_tiles_of_kind(
     ]
     values = source.select("_tie", F.inline(F.array(*pairs)))
     counts = stage(values.groupBy("metric", "value").agg(F.count(F.lit(1)).alias("n")), "value-counts")
-    # nulls are sorted before all values, so positions among the values begin behind them
-    nulls = counts.groupBy("metric").agg(
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("_nulls"),
-        F.sum("n").alias("_rows"),
-    )
-    known = counts.dropna(subset=["value"]).join(F.broadcast(nulls), "metric")
-    shifted = lambda total: F.filter(
-        F.transform(_tile_starts(n, F.col("_rows")), lambda r: r - F.col("_nulls")), lambda r: r >= 0
-    )
-    among = select_ranks(known, ["metric", "_nulls", "_rows"], shifted).select(
-        "metric", "value", (F.col("rank") - F.col("below")).alias("offset")
-    )
-    empty = nulls.select(
-        "metric", F.lit(None).cast(common).alias("value"),
-        F.explode(F.filter(_tile_starts(n, F.col("_rows")), lambda r: r < F.col("_nulls"))).alias("offset"),
-    )
-    starts = among.unionByName(empty)
-
-    # A tile that starts among equal values starts at one of their tie keys. There are at most
-    # len(columns) * (n - 1) such places, whatever the size of the table.
-    # Their values become text here, so that null ones meet in joins like any other.
-    name = F.coalesce(F.col("value").cast("string"), F.lit("null")).alias("_name")
-    cut_points = starts.select("metric", name, "value", "offset")
-    tied = (
-        values.select("metric", name, "_tie").join(F.broadcast(cut_points), ["metric", "_name"])
-        .withColumn("_prefix", F.left("_tie", F.lit(TIE_PREFIX)))
-    )
-    place = ["metric", "_name", "offset"]
-    prefixes = tied.groupBy(*place, "_prefix").agg(F.count(F.lit(1)).alias("_n"))
-    prefixes = prefixes.withColumn("_start", _before("_n", place, "_prefix")).filter(
-        _holds(F.col("offset"), F.col("_start"), F.col("_n"))
-    )
-    order = Window.partitionBy(*place).orderBy("_tie")
-    first_rows = (
-        tied.join(F.broadcast(prefixes.drop("_n")), [*place, "_prefix"])
-        .withColumn("_position", F.col("_start") + F.row_number().over(order) - 1)
-        .filter(F.col("_position") == F.col("offset"))
-    )
-    cuts = first_rows.agg(
-        *[
-            F.collect_list(
-                F.when(F.col("metric") == out, F.struct("value", F.col("_tie").alias("tie")))
-            ).alias(f"_cuts_{out}")
-            for out in columns
-        ]
-    )
+    cuts = _cuts(counts, n, common)
+    starts = _tied_starts(values, cuts, common) if cuts else []
 
     def tile(out: str, column: str) -> Column:
         own = F.struct(F.col(column).cast(common).alias("value"), F.col("_tie").alias("tie"))
-        return (F.size(F.filter(f"_cuts_{out}", lambda cut: cut <= own)) + 1).cast("long")
+        at = [
+            F.struct(F.lit(value).cast(common).alias("value"), F.lit(tie).alias("tie"))
+            for metric, value, tie in starts if metric == out
+        ]
+        reached = F.size(F.filter(F.array(*at), lambda cut: cut <= own)) if at else F.lit(0)
+        return (reached + 1).cast("long")
 
-    return (
-        tiled.crossJoin(F.broadcast(cuts))
-        .withColumns({out: tile(out, column) for out, column in columns.items()})
-        .drop(*[f"_cuts_{out}" for out in columns])
-    )
+    return tiled.withColumns({out: tile(out, column) for out, column in columns.items()})
