@@ -156,6 +156,22 @@ def create_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def insert_new_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two overlapping loads into a keyed table: rows of it and rejected ones by month."""
+    table = f"orders_{uuid.uuid4().hex}"
+    schema.create_order_table(spark, table, scratch_path(spark, "keyed-orders"))
+    lines = with_time_features(orders.order_lines(spark, sf_dir))
+    loads = lines.filter("order_date < timestamp_ntz '1998-01-01'"), lines.filter("order_date >= timestamp_ntz '1997-01-01'")
+    rejected = [files.insert_new_orders(load, table) for load in loads]
+    reasons = rejected[0].unionByName(rejected[1]).groupBy(F.date_format("order_date", "yyyy-MM").alias("year_month")).agg(
+        F.count_if(F.col("reason") == "repeated").alias("repeated"), F.count_if(F.col("reason") == "exists").alias("existing")
+    )
+    stored = spark.table(table).groupBy("year_month").agg(
+        F.count(F.lit(1)).alias("records"), F.sum("final_amount").cast("double").alias("revenue")
+    )
+    return stored.join(reasons, "year_month", "left").fillna(0, ["repeated", "existing"])
+
+
 def export_completed(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "export")
     files.export_completed(orders.order_lines(spark, sf_dir), path, PARAMS)
@@ -272,6 +288,7 @@ def _order_queries() -> dict[str, Query]:
         "write_metrics": write_metrics,
         "write_report": write_report,
         "create_table": create_table,
+        "insert_new_orders": insert_new_orders,
         "export_completed": export_completed,
         "export_summary": _over_orders(sales.export_summary, "category"),
         "load_orders": load_orders,

@@ -469,6 +469,14 @@ SELECT {ORDER_LIST} FROM (SELECT * FROM ({COERCED_ROWS.replace("FROM dirty", "FR
     q["create_table"] = f"""WITH {RO}
 SELECT {YM} AS year_month, count(*) AS records, {REV} AS revenue FROM ro
 WHERE order_date >= TIMESTAMP '1997-03-15' AND order_date <= TIMESTAMP '1998-02-10' GROUP BY 1"""
+    first_copy = UNIQUE[UNIQUE.index("QUALIFY"):].rstrip(")").rsplit(" = 1", 1)[0]
+    q["insert_new_orders"] = f"""WITH {RO},
+copies AS (SELECT *, {first_copy.removeprefix("QUALIFY ")} AS copy, order_date >= TIMESTAMP '1998-01-01' AS late FROM ro)
+SELECT {YM} AS year_month, count(*) FILTER (copy = 1) AS records,
+  (sum(final_amount) FILTER (copy = 1))::DOUBLE AS revenue,
+  count(*) FILTER (copy > 1) + count(*) FILTER (copy > 1 AND year(order_date) = 1997) AS repeated,
+  count(*) FILTER (copy = 1 AND year(order_date) = 1997) AS existing
+FROM copies GROUP BY 1"""
     q["export_completed"] = done(_export_csv_columns())
     q["export_summary"] = cat_month
     q["load_orders"] = done(f"SELECT {ORDER_LIST}, {TIME} FROM done")

@@ -72,19 +72,22 @@ def price_counts(df: DataFrame) -> DataFrame:
 
 
 def median_prices(counts: DataFrame) -> DataFrame:
-    """The price to impute per category: its median, else the median of all orders."""
-    priced = counts.dropna(subset=["value"])
-    known = priced.dropna(subset=["category"])
-    category = weighted_quantiles(known, ["category"], [0.5], out="_own")
-    everything = priced.withColumn("_scope", F.lit("all"))
-    overall = weighted_quantiles(everything, ["_scope"], [0.5], out="_overall")
-    overall = overall.agg(F.max(F.get("_overall", F.lit(0))).alias("_overall"))
+    """The price to impute per category: its median, else the median of all orders.
+
+    The whole table is one more key of the same selection.
+    """
+    own = F.when(F.col("category").isNotNull(), F.struct(F.lit(True).alias("own"), "category"))
+    everything = F.struct(F.lit(False).alias("own"), F.lit("").alias("category"))
+    keyed = counts.dropna(subset=["value"]).select(F.inline(F.array_compact(F.array(own, everything))), "value", "n")
+    found = weighted_quantiles(keyed, ["own", "category"], [0.5], out="_median")
+    # one row per category
+    medians = stage(found.select("own", "category", F.get("_median", F.lit(0)).alias("_median")), "medians")
+    overall = medians.filter("not own").agg(F.max("_median").alias("_overall"))
     return (
-        counts.select("category")
-        .distinct()
-        .join(category, "category", "left")
+        counts.select("category").distinct()
+        .join(medians.filter("own").drop("own"), "category", "left")
         .crossJoin(F.broadcast(overall))
-        .select("category", F.coalesce(F.get("_own", F.lit(0)), "_overall").alias(_FILL))
+        .select("category", F.coalesce("_median", "_overall").alias(_FILL))
     )
 
 

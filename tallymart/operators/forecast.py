@@ -84,15 +84,11 @@ def _grid(series: DataFrame, keys: Sequence[str], params: Params) -> DataFrame:
         for b in params.betas
         for g in params.gammas
     )
-    # The work is in the folds, not in the bytes, so the number of partitions is stated. Few
-    # series spread their parameter sets as well; many series are spread by their keys alone.
-    tasks = series.sparkSession.sparkContext.defaultParallelism
-    many = bool(keys) and series.count() >= 4 * tasks
-    source = series.repartition(tasks * 4, *keys) if many else series
+    # The work is in the folds, not in the bytes: a fold takes far longer than moving its array, so
+    # every series and parameter set is dealt out on its own, and the number of partitions is stated.
     numbered = F.expr(f"posexplode(array({sets}))").alias("set_no", "set")
-    rows = source.select(*keys, "ys", numbered)
-    rows = rows.select(*keys, "ys", "set_no", "set.*")
-    return rows if many else rows.repartition(tasks, *keys, "set_no")
+    rows = series.select(*keys, "ys", numbered).select(*keys, "ys", "set_no", "set.*")
+    return rows.repartition(4 * series.sparkSession.sparkContext.defaultParallelism, *keys, "set_no")
 
 
 def _scored_grid(series: DataFrame, keys: Sequence[str], params: Params) -> DataFrame:

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallymart.functions.calendar import moment, with_time_features
+from tallymart.operators.cleaning import drop_duplicate_orders
 from tallymart.operators.filters import completed
 from tallymart.params import Params
 from tallymart.sources import csv_ranges
 from tallymart.sources.csv_ranges import BYTE_ORDER_MARK
-from tallymart.sources.schema import CLEAN_SCHEMA, RAW_TEXT_SCHEMA
+from tallymart.sources.schema import CLEAN_SCHEMA, RAW_TEXT_SCHEMA, REQUIRED
+from tallymart.sources.staging import stage
 
 # Cell texts that mean a missing value.
 MISSING = (
@@ -106,9 +110,36 @@ def write_orders(df: DataFrame, path: str) -> None:
 
 
 def insert_orders(df: DataFrame, table: str) -> None:
-    """Append orders with calendar columns to a table made by ``create_order_table``."""
+    """Append orders with calendar columns to a table made by ``create_order_table``.
+
+    A null where the table has none stops the job. Rows of a file lie in order of their ids.
+    """
     names = df.sparkSession.table(table).columns
-    _by_month(df).select(*names).write.insertInto(table)
+    missing = {c: F.raise_error(F.lit(f"an order of {table} needs {c}")) for c in REQUIRED}
+    checked = df.withColumns({c: F.coalesce(F.col(c), e.cast(df.schema[c].dataType)) for c, e in missing.items()})
+    ordered = _by_month(checked).sortWithinPartitions("year_month", "order_id")
+    ordered.select(*names).write.insertInto(table)
+
+
+def insert_new_orders(df: DataFrame, table: str) -> DataFrame:
+    """Append the orders whose ids the table does not have yet, one for each id.
+
+    Returns what was rejected: order_id, order_date and a ``reason``, one of ``missing`` (an id or a
+    date), ``repeated`` (another copy of the id went in) and ``exists``. The table is read in one column.
+    """
+    spark = df.sparkSession
+    rows = stage(df, "incoming")
+    missing = functools.reduce(Column.__or__, (F.col(c).isNull() for c in REQUIRED))
+    unique = drop_duplicate_orders(rows.filter(~missing), copies="_copies")
+    present = spark.table(table).select("order_id", F.lit(True).alias("_exists"))
+    known = stage(unique.join(present.distinct(), "order_id", "left"), "known")
+    insert_orders(known.filter("_exists is null").drop("_exists", "_copies"), table)
+    place = ("order_id", "order_date")
+    again = known.select(*place, F.explode(F.array_repeat(F.lit("repeated"), (F.col("_copies") - 1).cast("int"))).alias("reason"))
+    return functools.reduce(DataFrame.unionByName, [
+        rows.filter(missing).select(*place, F.lit("missing").alias("reason")),
+        again, known.filter("_exists").select(*place, F.lit("exists").alias("reason")),
+    ])
 
 
 def read_orders(spark: SparkSession, path: str) -> DataFrame:

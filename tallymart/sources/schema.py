@@ -79,14 +79,25 @@ CLEAN_SCHEMA = T.StructType(
 )
 
 
+# Columns that an order in the table must have; file tables do not enforce it, inserting does.
+REQUIRED = ("order_id", "order_date")
+# Columns by which single orders are looked up: a Bloom filter in every file skips the others.
+LOOKED_UP = ("order_id", "customer_id")
+
+
 def create_order_table(spark: SparkSession, table: str, location: str | None = None) -> None:
-    """Create the Parquet order table, partitioned by month for pruning."""
+    """Create the Parquet order table.
+
+    Month folders, the order of rows within files and Bloom filters stand in for indexes on the
+    date, the month, the order and the customer; columns of few values need none in this format.
+    """
     columns = ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}"
+        f"`{f.name}` {f.dataType.simpleString()}{' NOT NULL' * (f.name in REQUIRED)}"
         for f in ORDER_SCHEMA.fields + [f for f in TIME_SCHEMA if f.name != "year_month"]
     )
+    filters = ", ".join(f"'parquet.bloom.filter.enabled#{name}' 'true'" for name in LOOKED_UP)
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}, `year_month` string) "
-        f"USING parquet PARTITIONED BY (year_month){where}"
+        f"USING parquet OPTIONS ({filters}) PARTITIONED BY (year_month){where}"
     )
