@@ -70,8 +70,8 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text, h, _, _ = _anchors_of(Words(block.column("text")))
             once = np.unique(_within(h, text), return_index=True)[1]
             yield pa.RecordBatch.from_arrays(
-                [block.column("did").take(pa.array(text[once])), pa.array(h[once].view(np.int64))],
-                names=["did", "h"],
+                [block.column(c).take(pa.array(text[once])) for c in ("did", "rk")] + [pa.array(h[once].view(np.int64))],
+                names=["did", "rk", "h"],
             )
 
 
@@ -225,59 +225,62 @@ def _counted(fragments: DataFrame) -> DataFrame:
     return fragments.join(located, ["h", "codes"]).mapInArrow(_later_spans, SPANS)
 
 
-def _copies(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """did and rk of rows whose text a smaller document has, and the did of only such rows."""
+def _copies(texts: DataFrame) -> DataFrame:
+    """did and rk of rows whose text a smaller document has."""
     named = texts.select(
         "did", "rk", F.xxhash64("text").alias("name"), F.hash("text").alias("check"),
         F.octet_length("text").alias("size"),
     )
     same = ["name", "check", "size"]
     firsts = stage(named.groupBy(*same).agg(F.min("did").alias("first")), "first-copies")
-    marked = stage(
-        named.join(firsts, same).select("did", "rk", (F.col("did") > F.col("first")).alias("copy")), "copies"
-    )
-    copies = marked.filter("copy").distinct()
-    return copies, copies.select("did").distinct().join(marked.filter("not copy"), "did", "left_anti")
+    later = named.join(firsts, same).filter(F.col("did") > F.col("first"))
+    return stage(later.select("did", "rk").distinct(), "copies")
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """did, rk, begin, finish: runs of words to remove from each text; they may overlap.
 
-    ``texts`` (with did, rk and text) is shuffled by did once for all joins of a query with it.
+    ``texts`` (with did, rk and text) is shuffled by did and rk once for all joins of a query with it,
+    so rows that share an id, or have none, are apart. The anchors that a text shares with others are
+    found once and stored.
     """
-    anchors = texts.select("did", "text").mapInArrow(_anchors, "did long, h long")
+    anchors = texts.select("did", "rk", "text").mapInArrow(_anchors, "did long, rk long, h long")
     recurring = (
         anchors.groupBy("h")
         .agg(F.min("did").alias("a"), F.max("did").alias("b"), F.count("*").alias("n"))
         .filter("a < b").select("h", (F.col("n") > CROWD).alias("crowded"))
     )
     recurring = stage(recurring, "recurring")  # so that joins may be split at a hot anchor
-    copies, all_copies = _copies(texts)
-    found = anchors.join(recurring, "h").join(all_copies, "did", "left_anti")
+    copies = _copies(texts)
+    found = anchors.join(recurring, "h").groupBy("did", "rk").agg(
+        F.collect_set(F.when(~F.col("crowded"), F.col("h"))).alias("few"),
+        F.collect_set(F.when(F.col("crowded"), F.col("h"))).alias("many"),
+    )
+    found = stage(found.join(copies, ["did", "rk"], "left_anti"), "wanted")
 
     def fragments(which: str) -> DataFrame:
-        wanted = found.filter(which).groupBy("did").agg(F.collect_set("h").alias("wanted"))
-        return texts.join(wanted, "did").mapInArrow(_fragments, FRAGMENTS)
+        wanted = found.filter(F.size(which) > 0).select("did", "rk", F.col(which).alias("wanted"))
+        return texts.join(wanted, ["did", "rk"]).mapInArrow(_fragments, FRAGMENTS)
 
-    few = fragments("not crowded").repartition("h").sortWithinPartitions("h").mapInArrow(_locate, SPANS)
+    few = fragments("few").repartition("h").sortWithinPartitions("h").mapInArrow(_locate, SPANS)
     whole = copies.select("did", "rk", F.lit(0).alias("begin"), F.lit(WHOLE).alias("finish"))
-    return few.unionByName(_counted(fragments("crowded"))).unionByName(whole)
+    return few.unionByName(_counted(fragments("many"))).unionByName(whole)
 
 
 def _remove(batches: Iterator[pa.RecordBatch], rewrite: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts, removed, kept = [], [], []
-        columns = (batch.column(c).to_pylist() for c in ("rk", "text", "spans"))
-        for rk, text, spans in zip(*columns):
+        columns = (batch.column(c).to_pylist() for c in ("text", "spans"))
+        for text, spans in zip(*columns):
             words = WORD.findall(text or "")
             rest = words
             if spans:
                 gone = bytearray(len(words))
                 for s in spans:
-                    if s["rk"] == rk and s["finish"] == WHOLE:
+                    if s["finish"] == WHOLE:
                         if len(words) >= WINDOW:
                             gone = bytearray(b"\1" * len(words))
-                    elif s["rk"] == rk:
+                    else:
                         gone[s["begin"] : s["finish"]] = b"\1" * (s["finish"] - s["begin"])
                 rest = [word for word, lost in zip(words, gone) if not lost]
             counts.append(len(words))
@@ -295,10 +298,8 @@ def remove_repeats(
     The kept words are joined by one space; without ``rewrite`` a text that loses none stays as it is.
     """
     texts = docs.select(F.struct(*carry).alias("row"), *(c.alias(n) for n, c in row_names().items()), "text")
-    spans = repeated_spans(texts).groupBy("did").agg(
-        F.collect_set(F.struct("rk", "begin", "finish")).alias("spans")
-    )
+    spans = repeated_spans(texts).groupBy("did", "rk").agg(F.collect_set(F.struct("begin", "finish")).alias("spans"))
     kind = texts.schema["row"].dataType.simpleString()
-    return texts.join(spans, "did", "left").mapInArrow(
+    return texts.join(spans, ["did", "rk"], "left").mapInArrow(
         functools.partial(_remove, rewrite=rewrite), f"row {kind}, n_words long, n_removed long, kept string"
     )
