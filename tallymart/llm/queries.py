@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tallymart.llm import (
-    embeddings, gram_resampling, language, line_dedup, mixing, ngram_join, packing, phrases,
+    embeddings, gram_resampling, language, line_dedup, mixing, ngram_join, oracles, packing, phrases,
     quality_rules, quality_trees, spelling, suffixes, token_files,
 )
 from tallymart.sources.staging import scratch_path
@@ -106,4 +106,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracles()
