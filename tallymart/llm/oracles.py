@@ -92,5 +92,59 @@ paths AS (
 SELECT word, form, reached AS root, n, n_near, form_n FROM forms JOIN paths USING (word) WHERE paths.next IS NULL"""
 
 
+OP5 = r"""WITH rows AS (
+  SELECT row_number() OVER () AS row, coalesce(doc_id, 9223372036854775807) AS did, doc_id,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT row, did, i, md5(array_to_string(w[i:i + 12], ' ')) AS name
+  FROM (SELECT *, unnest(range(1, len(w) - 11)) AS i FROM rows WHERE len(w) > 12)),
+later AS (SELECT row, i FROM windows QUALIFY min(did) OVER (PARTITION BY name) < did),
+gone AS (SELECT DISTINCT row, unnest(range(i, i + 13)) AS i FROM later),
+words AS (SELECT row, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM rows),
+kept AS (
+  SELECT words.row, count(gone.i) AS n_removed, string_agg(word, ' ' ORDER BY words.i) FILTER (gone.i IS NULL) AS text
+  FROM words LEFT JOIN gone ON words.row = gone.row AND words.i = gone.i GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM rows LEFT JOIN kept USING (row)"""
+
+OP10 = r"""WITH rows AS (
+  SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+strings AS (
+  SELECT row, i, md5(substr(x, 2 * i + 1, 800)) AS name
+  FROM (SELECT *, unnest(range(len(x) // 2 - 399)) AS i FROM rows WHERE len(x) >= 800)),
+twice AS (SELECT row, i FROM strings QUALIFY count(*) OVER (PARTITION BY name) > 1),
+joined AS (
+  SELECT row, i, coalesce(i > lag(i) OVER w + 400, true) AS begins FROM twice WINDOW w AS (PARTITION BY row ORDER BY i)),
+spans AS (
+  SELECT row, min(i) AS a, max(i) + 400 AS b
+  FROM (SELECT *, sum(begins::INT) OVER (PARTITION BY row ORDER BY i) AS run FROM joined) GROUP BY row, run),
+gaps AS (
+  SELECT row, coalesce(lag(b) OVER w, 0) AS a, spans.a AS b FROM spans WINDOW w AS (PARTITION BY row ORDER BY spans.a)
+  UNION ALL SELECT row, max(b), len(any_value(x)) // 2 FROM spans JOIN rows USING (row) GROUP BY row),
+kept AS (
+  SELECT row, string_agg(substr(x, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS rest FROM gaps JOIN rows USING (row) GROUP BY row),
+removed AS (SELECT row, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans FROM spans GROUP BY row)
+SELECT doc_id, len(x) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(rest, x))) AS kept_sha256
+FROM rows LEFT JOIN removed USING (row) LEFT JOIN kept USING (row)"""
+
+#: The recursion finds all vectors that links lead to.
+OP9 = """WITH RECURSIVE vectors AS (
+  SELECT row_number() OVER () AS row, * FROM embeddings),
+usable AS (
+  SELECT row, vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM vectors
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.row AS a, b.row AS b, b.vec_id AS other FROM usable a JOIN usable b
+  ON a.label = b.label AND a.row <> b.row AND len(a.v) = len(b.v)
+  WHERE list_inner_product(a.v, b.v) / (sqrt(list_inner_product(a.v, a.v)) * sqrt(list_inner_product(b.v, b.v))) >= 0.98),
+reached AS (SELECT row, row AS other FROM vectors UNION SELECT reached.row, b FROM reached JOIN links ON reached.other = a)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vectors.row) AS n_links, component_id,
+       coalesce(vec_id = component_id, true) AS kept
+FROM vectors JOIN (
+  SELECT reached.row, min(o.vec_id) AS component_id FROM reached JOIN vectors o ON o.row = reached.other GROUP BY 1) USING (row)"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op11_gram_resampling": OP11, "op12_line_bitmaps": OP12, "op13_trie_frontier": OP13}
+    return {"op5_phrase_automata": OP5, "op9_itq_codes": OP9, "op10_previous_factors": OP10, "op11_gram_resampling": OP11, "op12_line_bitmaps": OP12, "op13_trie_frontier": OP13}
