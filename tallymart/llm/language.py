@@ -17,7 +17,6 @@ an empty result.
 from __future__ import annotations
 
 import functools
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.llm.quality_trees import held_out
+from tallymart.llm.rows import doc_id
 from tallymart.llm.text import blocks, utf8
 
 GRAMS = (2, 3, 4)
@@ -41,7 +41,6 @@ PREDICTION = "doc_id long, held_out boolean, lang_pred string, score double"
 #: Texts of one presence matrix at most, so that it stays below 10 MB.
 ROWS = 256
 
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def presence(texts: pa.Array) -> np.ndarray:
@@ -75,7 +74,7 @@ class Model:
     offset: np.ndarray
 
     def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
-        letters = np.array([bool(t and _LETTER.search(t)) for t in texts.to_pylist()], bool)
+        letters = np.array([any(map(str.isalpha, t or "")) for t in texts.to_pylist()], bool)
         if not self.languages:
             return [UNKNOWN] * len(texts), np.zeros(len(texts))
         margin = (unit(presence(texts)) @ self.weights).astype(np.float64) + self.offset
@@ -157,7 +156,7 @@ def _predict(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Rec
 def predict_language(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     """doc_id, held_out, lang_pred and score for every document."""
     predict = functools.partial(_predict, model=train(docs, per_language))
-    return docs.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(predict, PREDICTION)
+    return docs.select(doc_id(), held_out().alias("held_out"), "text").mapInArrow(predict, PREDICTION)
 
 
 def keep_languages(

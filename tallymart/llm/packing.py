@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from tallymart.llm.rows import doc_id
 from tallymart.llm.text import blocks, mix
 from tallymart.llm.tokens import END_ID, encoder, tokenizer_path
 from tallymart.sources.staging import stage
@@ -134,7 +135,7 @@ def _cut(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBa
 
 def pack(docs: DataFrame, length: int = 1024, tokenizer: str = "byte_bpe_50k.json") -> DataFrame:
     """One row per piece: where it lies in its document and in its sequence, and its ids."""
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), doc_id(), "text")
     axes = ", ".join(f"{a} double" for a in AXES)
     tokens = stage(
         numbered.mapInArrow(

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymart.llm.rows import doc_id
 from tallymart.llm.text import SEPARATORS, Words, blocks, mix
 
 SYMBOLS = b"#*$%&|<>"
@@ -205,7 +206,7 @@ def labelled_sample(
         usable = usable.filter(allowed)
     means = usable.groupBy("doc_id").agg(F.avg("_label").alias("_label"))
     chosen = means.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # so few may be broadcast
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return docs.select(doc_id(), "text").join(F.broadcast(chosen), "doc_id")
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,4 +254,4 @@ def quality_rules(
 ) -> DataFrame:
     """Counts, calibrated probability of good quality and the verdict for every document."""
     score = functools.partial(_score, model=train(docs, labels, sample), keep_at=keep_at)
-    return docs.select("doc_id", "text").mapInArrow(score, RESULT)
+    return docs.select(doc_id(), "text").mapInArrow(score, RESULT)

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from tallymart.llm.quality_rules import (
     duplicate_lines, labelled_sample, per_text, repeated_words, sigmoid,
 )
+from tallymart.llm.rows import doc_id
 from tallymart.llm.text import Words, blocks, mix
 
 SAMPLE = 20_000
@@ -210,6 +211,6 @@ def _score(batches: Iterator[pa.RecordBatch], trees: Trees) -> Iterator[pa.Recor
 def quality_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, held_out, score (likelihood of quality 1) and predicted for every document."""
     score = functools.partial(_score, trees=train(docs, labels, sample))
-    return docs.select("doc_id", "text", held_out().alias("held_out")).mapInArrow(
+    return docs.select(doc_id(), "text", held_out().alias("held_out")).mapInArrow(
         score, "doc_id long, held_out boolean, score double, predicted int"
     )

@@ -18,6 +18,11 @@ _KINDS = {
 }
 
 
+def doc_id() -> Column:
+    """The id as a 64-bit number, whatever whole number it is stored as."""
+    return F.col("doc_id").cast("long").alias("doc_id")
+
+
 def row_names() -> dict[str, Column]:
     """did and rk name a document and its text: they are equal for repeated rows only."""
     return {

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.llm.rows import keyed, row_names, to_batch
+from tallymart.llm.rows import doc_id, keyed, row_names, to_batch
 from tallymart.llm.text import blocks, byte_symbols, minima, mix, owned, prefix_hash, run_hash, utf8
 from tallymart.sources.staging import stage
 
@@ -313,6 +313,6 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none") ->
         .agg(F.collect_set(F.struct("begin", "finish")).alias("spans"))
     )
     texts = docs.select("doc_id", "text").withColumns(row_names())
-    return texts.join(spans, ["did", "rk"], "left").select("doc_id", "text", "spans").mapInArrow(
+    return texts.join(spans, ["did", "rk"], "left").select(doc_id(), "text", "spans").mapInArrow(
         _remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
     )

@@ -27,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallymart.llm.rows import doc_id
 from tallymart.llm.text import blocks
 from tallymart.llm.tokens import END_ID, encoder, tokenizer_path
 
@@ -191,7 +192,7 @@ def write_token_files(
 ) -> DataFrame:
     """Write all documents and return the manifest, which is stored beside the files."""
     ordered = (
-        docs.select("doc_id", "text", F.xxhash64("text").alias("_tie"))
+        docs.select(doc_id(), "text", F.xxhash64("text").alias("_tie"))
         .repartitionByRange(F.col("doc_id").asc_nulls_last(), "_tie")
         .sortWithinPartitions(F.col("doc_id").asc_nulls_last(), "_tie")
         .select("doc_id", "text")

@@ -64,11 +64,10 @@ class Units(dict):
 
 
 class Encoder:
-    """Special tokens' strings in a text are plain text."""
+    """Ids as the library gives them: the string of a special token in a text is that token."""
 
     def __init__(self, path: str):
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
         self.spaced, self.bare = Units(tokenizer, " "), Units(tokenizer, "")
         self.newline = self.bare["\n"]
 

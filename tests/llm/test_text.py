@@ -59,12 +59,14 @@ def test_blocks_keep_every_row_once():
 @pytest.fixture(scope="module")
 def pair():
     plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    plain.encode_special_tokens = True
     return Encoder(tokenizer_path()), plain
 
 
+_ODD = st.lists(st.sampled_from([*"abÀß日 \n\t\r 　\x1c\x85.,'’sdt|<>1²_-", "<|endoftext|>"]), max_size=60).map("".join)
+
+
 @settings(deadline=None, max_examples=150)
-@given(st.text(alphabet="abÀß日 \n\t\r 　\x1c\x85.,'’sdt|<>1²_-", max_size=60) | st.text(max_size=30))
+@given(_ODD | st.text(max_size=30))
 def test_units_give_the_ids_of_the_whole_text(pair, text):
     own, plain = pair
     got = np.frombuffer(own.encode([text])[0], "<u4").tolist()

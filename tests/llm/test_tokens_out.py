@@ -14,7 +14,6 @@ from tallymart.sources.staging import scratch_path
 @pytest.fixture(scope="module")
 def ids_of():
     plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    plain.encode_special_tokens = True
     return lambda text: np.array([*plain.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
 
 
