@@ -17,13 +17,27 @@ LEAST_LANGUAGE_SCORE = 0.3
 LENGTH = 1024
 
 
+#: Rows of an Arrow batch. Whole rows with their texts pass, and a worker holds a batch both ways.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Limit the batches of this session, unless they are smaller already."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(spark.conf.get(name))
+    if not 0 < rows <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Reject texts without letters and those whose language nothing tells."""
+    small_batches(spark)
     return language.keep_languages(docs, LEAST_LANGUAGE_SCORE)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the first document of each group of near copies."""
+    small_batches(spark)
     return ngram_join.keep_one(docs)
 
 
@@ -32,6 +46,7 @@ def without_shared_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
     A text that loses words is rewritten with single spaces, and its n_chars counted again.
     """
+    small_batches(spark)
     others = [c for c in docs.columns if c != "text"]
     found = phrases.remove_repeats(docs, others, rewrite=False)
     found = found.filter((F.col("n_removed") < F.col("n_words")) | (F.col("n_words") == 0))
@@ -45,12 +60,14 @@ def without_shared_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Thin out poor and toxic documents to their share beside the good ones; none is repeated."""
+    small_batches(spark)
     labelled = mixing.label_domains(spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return mixing.repeat_by_rate(mixing.mix(docs, labelled, hold="good", most=1.0))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 1024 ids, near documents together."""
+    small_batches(spark)
     return packing.pack(docs, LENGTH)
 
 
