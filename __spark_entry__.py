@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import importlib
+import importlib.util
 import uuid
 from collections.abc import Callable
 from pathlib import Path
@@ -21,18 +22,23 @@ from tallymart.plans import batch, catalogue
 from tallymart.sources import files, orders, schema
 from tallymart.sources.staging import scratch_path
 
-try:
-    llm = importlib.import_module("tallymart.llm.queries")
-except ModuleNotFoundError as missing:
-    if not (missing.name or "").startswith(("tallymart.llm", "corpus_pipeline")):
-        raise
-    llm = None  # the subpackage is not part of this installation
+
+def _is_installed(name: str) -> bool:
+    """Whether there is a module or package of that name; what it imports is its own affair."""
+    spec = importlib.util.find_spec(name)
+    return spec is not None and spec.has_location
+
+
+# The subpackage may not be part of this installation. A broken one is an error.
+_with_llm = _is_installed("tallymart.llm") and _is_installed("corpus_pipeline")
+llm = importlib.import_module("tallymart.llm.queries") if _with_llm else None
 
 PARAMS = Params(completed_status="F", as_of=dt.date(2002, 1, 1))
 SLICE = {"start": "1996-01-01", "end": "1998-12-31", "category": "all", "region": "EUROPE"}
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+METRICS = ("daily_sales", "category_contribution", "customer_orders", "monthly_region")
 DONE = ["order_id", "order_date", "order_status", "final_amount"]
 
 
@@ -121,6 +127,20 @@ def write_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
+def _stored_metric(name: str) -> Query:
+    """The rows of one metric table as they come back from its CSV files."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        lines = orders.order_lines(
+            spark, sf_dir, [*DONE, "customer_id", "category", "region", "unit_price"]
+        )
+        table = batch.base_metrics(lines, PARAMS)[name]
+        paths = files.write_metrics({name: table}, scratch_path(spark, "metrics"))
+        return files.read_csv(spark, paths[name], table.schema)
+
+    return query
+
+
 def _flat_report(report: DataFrame) -> DataFrame:
     return report.select(
         "rows_before",
@@ -286,6 +306,7 @@ def _order_queries() -> dict[str, Query]:
         "dedup_input_order": dedup_input_order,
         "write_clean": write_clean,
         "write_metrics": write_metrics,
+        **{f"stored_{name}": _stored_metric(name) for name in METRICS},
         "write_report": write_report,
         "create_table": create_table,
         "insert_new_orders": insert_new_orders,

@@ -698,6 +698,8 @@ FROM rfm JOIN named ON customer_type = cluster GROUP BY 1"""
     q["group_sizes"] = f"""{named}
 SELECT segment, count(*) AS count, sum(monetary::DECIMAL(14,2))::DOUBLE / count(*) AS avg_monetary
 FROM rfm JOIN named ON customer_type = cluster GROUP BY 1"""
+    for metric in ("daily_sales", "category_contribution", "customer_orders", "monthly_region"):
+        q[f"stored_{metric}"] = q[metric]
     q["insights"] = _insights(REPORT_ROWS)
     q["insights_service"] = _insights(SERVICE_ROWS)
     return q
