@@ -5,50 +5,31 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
-TEXT_COLUMNS = (
-    "category",
-    "product",
-    "region",
-    "city",
-    "channel",
-    "customer_id",
-    "customer_type",
-    "payment_method",
-    "order_status",
+# The columns of an order, their types, and what cleaning takes them for.
+_COLUMNS = (
+    ("order_id", T.StringType(), "key"),
+    ("order_date", T.TimestampNTZType(), "moment"),
+    ("category", T.StringType(), "text"),
+    ("product", T.StringType(), "text"),
+    ("region", T.StringType(), "text"),
+    ("city", T.StringType(), "text"),
+    ("channel", T.StringType(), "text"),
+    ("customer_id", T.StringType(), "text"),
+    ("customer_type", T.StringType(), "text"),
+    ("unit_price", T.DecimalType(12, 2), "number"),
+    ("quantity", T.IntegerType(), "number"),
+    ("total_amount", T.DecimalType(14, 2), "number"),
+    ("discount_rate", T.DecimalType(5, 4), "number"),
+    ("final_amount", T.DecimalType(14, 2), "number"),
+    ("payment_method", T.StringType(), "text"),
+    ("order_status", T.StringType(), "text"),
 )
-NUMERIC_COLUMNS = ("unit_price", "quantity", "total_amount", "discount_rate", "final_amount")
 
-ORDER_COLUMNS = (
-    "order_id",
-    "order_date",
-    "category",
-    "product",
-    "region",
-    "city",
-    "channel",
-    "customer_id",
-    "customer_type",
-    "unit_price",
-    "quantity",
-    "total_amount",
-    "discount_rate",
-    "final_amount",
-    "payment_method",
-    "order_status",
-)
-
-_TYPES: dict[str, T.DataType] = {
-    "order_date": T.TimestampNTZType(),
-    "unit_price": T.DecimalType(12, 2),
-    "quantity": T.IntegerType(),
-    "total_amount": T.DecimalType(14, 2),
-    "discount_rate": T.DecimalType(5, 4),
-    "final_amount": T.DecimalType(14, 2),
-}
+ORDER_COLUMNS = tuple(name for name, _, _ in _COLUMNS)
+TEXT_COLUMNS = tuple(name for name, _, role in _COLUMNS if role == "text")
+NUMERIC_COLUMNS = tuple(name for name, _, role in _COLUMNS if role == "number")
 
-ORDER_SCHEMA = T.StructType(
-    [T.StructField(name, _TYPES.get(name, T.StringType())) for name in ORDER_COLUMNS]
-)
+ORDER_SCHEMA = T.StructType([T.StructField(name, kind) for name, kind, _ in _COLUMNS])
 
 # A file that may hold bad cells is read as text and coerced by the cleaning step.
 RAW_TEXT_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in ORDER_COLUMNS])
