@@ -164,9 +164,7 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH) ->
             at = slice(first, first + count)
             out.feature[t, at] = np.where(split, feature, 0)
             out.threshold[t, at] = np.where(split, edges[feature, bin_], np.inf)
-            own = node - first
             node = 2 * node + 1 + (x[np.arange(len(y)), out.feature[t, node]] > out.threshold[t, node])
-            del own
         leaf = node - inner
         sums = np.bincount(leaf, gradient, minlength=leaves)
         out.leaf[t] = -RATE * sums / (np.bincount(leaf, curve, minlength=leaves) + RIDGE)
