@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from oracles.sql import oracles
 from tallymart.functions.calendar import with_time_features
+from tallymart.functions.numeric import round_half_up
 from tallymart.operators import (
-    cleaning, customers, dashboard, filters, forecast, insights, rfm, sales, trends,
+    cleaning, customers, dashboard, filters, forecast, insights, long_series, rfm, sales, trends,
 )
 from tallymart.params import Params
 from tallymart.plans import batch, catalogue
@@ -250,6 +251,22 @@ def forecast_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast.forecast_total(forecast.sales_forecast(lines, params=PARAMS))
 
 
+def event_series_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    points = events.select("event_type", F.col("ts").alias("t"), F.col("value").alias("y"))
+    found = long_series.grid(points, ["event_type"], PARAMS, block=512)
+    return found.withColumn("aic", round_half_up(F.col("aic"), 4))
+
+
+def sales_forecast_in_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The forecast by category composed from quarters instead of folded whole."""
+    lines = orders.order_lines(spark, sf_dir, [*DONE, "category"])
+    days = trends.daily_totals(lines, ("category",), PARAMS)
+    points = days.select("category", F.col("date").alias("t"), F.col("total").alias("y"))
+    found = long_series.forecast(points, ["category"], PARAMS, block=91)
+    return found.withColumn("predicted", round_half_up(F.col("predicted"), 2))
+
+
 def forecast_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = orders.order_lines(spark, sf_dir, DONE)
     predicted = forecast.sales_forecast(lines, params=PARAMS)
@@ -385,6 +402,8 @@ def _order_queries() -> dict[str, Query]:
         "sales_forecast_by_category": _over_orders(
             forecast.sales_forecast, "category", keys=("category",)
         ),
+        "sales_forecast_in_blocks": sales_forecast_in_blocks,
+        "event_series_grid": event_series_grid,
         "forecast_total": forecast_total,
         "forecast_overlay": forecast_overlay,
         "rfm": _over_orders(rfm.rfm, *who),

@@ -196,11 +196,15 @@ FROM capped"""
 # --- forecast -------------------------------------------------------------------------------
 
 
-def holt_winters(key: str | None = None) -> str:
-    """CTEs hw (one row per series, parameter set and day) and fit (final rows with AIC)."""
+def holt_winters(key: str | None = None, points: str = "") -> str:
+    """CTEs hw (one row per series, parameter set and day) and fit (final rows with AIC).
+
+    ``points`` selects ds and y, and the key, where they are not the days of the orders.
+    """
     k, kc, kj = (f"{key}, ", f"{key}, ", f" AND p.{key} = hw.{key}") if key else ("", "", "")
     part = f"PARTITION BY {key} " if key else ""
     by = f"GROUP BY {key}" if key else ""
+    points = points or f"SELECT {kc}{DAY} AS ds, {REV} AS y FROM done GROUP BY ALL"
     ys = [f"ys[{i}]" for i in range(1, 15)]
     level = f"(({' + '.join(ys[:7])}) / 7)"
     trend = f"((({' + '.join(ys[7:])}) / 7 - {level}) / 7)"
@@ -208,8 +212,8 @@ def holt_winters(key: str | None = None) -> str:
     fitted = [f"(lv + tr + se[{i}])" for i in range(1, 8)]
     sse = " + ".join(f"(ys[{i + 1}] - {f}) * (ys[{i + 1}] - {f})" for i, f in enumerate(fitted))
     return f"""pts AS (
-  SELECT {kc}ds, y, row_number() OVER ({part}ORDER BY ds) AS i
-  FROM (SELECT {kc}{DAY} AS ds, {REV} AS y FROM done GROUP BY ALL)),
+  SELECT {kc}ds, y, row_number() OVER ({part}ORDER BY ds, y) AS i
+  FROM ({points})),
 ser AS (SELECT {kc}list(y ORDER BY i) AS ys, count(*) AS n, max(ds) AS last FROM pts {by}),
 sets AS (
   SELECT row_number() OVER (ORDER BY a, b, g) AS set_no, a, b, g
@@ -646,6 +650,14 @@ WINDOW w7 AS (ORDER BY date ROWS 6 PRECEDING), w30 AS (ORDER BY date ROWS 29 PRE
     q["hw_grid"] = f"""WITH RECURSIVE {DONE},
 {holt_winters()}
 SELECT a AS alpha, b AS beta, g AS gamma, aic FROM fit"""
+    q["event_series_grid"] = f"""WITH RECURSIVE {holt_winters("event_type", """
+  SELECT event_type, ts AS ds, value AS y FROM events WHERE ts IS NOT NULL AND value IS NOT NULL""")}
+SELECT event_type, a AS alpha, b AS beta, g AS gamma, {rnd("aic", 4)} AS aic
+FROM fit WHERE n >= 14"""
+    q["sales_forecast_in_blocks"] = with_forecast(
+        f"""SELECT category, row_number() OVER (PARTITION BY category ORDER BY ds) - 1 AS n,
+  CASE WHEN NOT is_forecast THEN ds END AS t, actual, {rnd("predicted", 2)} AS predicted, is_forecast
+FROM forecast""", "category")
     q["sales_forecast"] = with_forecast("FROM forecast")
     q["sales_forecast_by_category"] = with_forecast("FROM forecast", "category")
     q["forecast_total"] = with_forecast(

@@ -43,13 +43,9 @@ def _initial(season: int, keep_fitted: bool) -> str:
     return _state(level, trend, seasonal, sse, kept)
 
 
-def _fit(params: Params, keep_fitted: bool) -> Column:
-    """Final state of the recursion over ``ys``; null for a series shorter than two seasons.
-
-    Expects the columns ys, alpha, beta and gamma. Arithmetic is repeated where a lambda cannot
-    name an intermediate value; that is cheaper than wrapping it.
-    """
-    season = params.season_length
+def _update(season: int, keep_fitted: bool) -> str:
+    """State ``s`` after value ``y``. Arithmetic is repeated where a lambda cannot name an
+    intermediate value; that is cheaper than wrapping it."""
     level = "(alpha * (y - s.s0) + (1 - alpha) * (s.level + s.trend))"
     trend = f"(beta * ({level} - s.level) + (1 - beta) * s.trend)"
     newest = f"(gamma * (y - {level}) + (1 - gamma) * s.s0)"
@@ -57,11 +53,19 @@ def _fit(params: Params, keep_fitted: bool) -> Column:
     queue = [f"s.s{i}" for i in range(1, season)] + [newest]
     sse = f"s.sse + (y - {fit}) * (y - {fit})"
     kept = f"concat(s.fitted, array({fit}))" if keep_fitted else None
-    update = _state(level, trend, queue, sse, kept)
+    return _state(level, trend, queue, sse, kept)
+
+
+def _fit(params: Params, keep_fitted: bool) -> Column:
+    """Final state of the recursion over ``ys``; null for a series shorter than two seasons.
+
+    Expects the columns ys, alpha, beta and gamma.
+    """
+    season = params.season_length
     rest = f"slice(ys, {season + 1}, size(ys) - {season})"
     return F.expr(
         f"CASE WHEN size(ys) >= {2 * season} THEN "
-        f"aggregate({rest}, {_initial(season, keep_fitted)}, (s, y) -> {update}) END"
+        f"aggregate({rest}, {_initial(season, keep_fitted)}, (s, y) -> {_update(season, keep_fitted)}) END"
     )
 
 
@@ -77,16 +81,22 @@ def _series(df: DataFrame, keys: Sequence[str], params: Params) -> DataFrame:
     )
 
 
+def _sets(params: Params) -> str:
+    """Array of the parameter sets, as SQL."""
+    return "array(" + ", ".join(
+        f"named_struct('alpha', {a}D, 'beta', {b}D, 'gamma', {g}D)" for a, b, g in parameter_sets(params)
+    ) + ")"
+
+
+def parameter_sets(params: Params) -> list[tuple[float, float, float]]:
+    """The grid, in order of set_no."""
+    return [(a, b, g) for a in params.alphas for b in params.betas for g in params.gammas]
+
+
 def _grid(series: DataFrame, keys: Sequence[str], params: Params) -> DataFrame:
-    sets = ", ".join(
-        f"named_struct('alpha', {a}D, 'beta', {b}D, 'gamma', {g}D)"
-        for a in params.alphas
-        for b in params.betas
-        for g in params.gammas
-    )
     # The work is in the folds, not in the bytes: a fold takes far longer than moving its array, so
     # every series and parameter set is dealt out on its own, and the number of partitions is stated.
-    numbered = F.expr(f"posexplode(array({sets}))").alias("set_no", "set")
+    numbered = F.expr(f"posexplode({_sets(params)})").alias("set_no", "set")
     rows = series.select(*keys, "ys", numbered).select(*keys, "ys", "set_no", "set.*")
     return rows.repartition(4 * series.sparkSession.sparkContext.defaultParallelism, *keys, "set_no")
 
