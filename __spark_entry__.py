@@ -94,7 +94,7 @@ def dedup_input_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files that hold late orders first; of each order the copy that comes first in them stays."""
     path = scratch_path(spark, "late-first")
     late_first = [F.desc_nulls_last(c) for c in ("order_date", *schema.ORDER_COLUMNS)]
-    lines = orders.dirty_order_lines(spark, sf_dir).repartitionByRange(4, *late_first)
+    lines = orders.dirty_order_lines(spark, sf_dir).repartitionByRange(*late_first)
     files.write_csv(lines.sortWithinPartitions(*late_first), path)
     loaded = cleaning.coerce_types(files.read_csv(spark, path, ordered=True))
     return cleaning.drop_duplicate_orders(loaded, files.INPUT_ORDER).select(*schema.ORDER_COLUMNS)
