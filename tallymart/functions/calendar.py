@@ -45,18 +45,21 @@ def elapsed_days(start: Column, end: Column) -> Column:
     return F.extract(F.lit("DAY"), end - start).cast("long")
 
 
-def with_time_features(df: DataFrame, ts: str = "order_date") -> DataFrame:
+def time_features(ts: str = "order_date") -> dict[str, Column]:
+    """The calendar columns by name."""
     t = F.col(ts)
-    return df.withColumns(
-        {
-            "year": F.year(t),
-            "month": F.month(t),
-            "quarter": F.quarter(t),
-            "week": F.weekofyear(t),
-            "day_of_week": F.weekday(t),
-            "day_name": F.date_format(F.to_date(t), "EEEE"),
-            "is_weekend": is_weekend(t),
-            "year_month": month_label(t),
-            "year_week": F.concat(F.lpad(F.year(t), 4, "0"), F.lit("-W"), sunday_week(t)),
-        }
-    )
+    return {
+        "year": F.year(t),
+        "month": F.month(t),
+        "quarter": F.quarter(t),
+        "week": F.weekofyear(t),
+        "day_of_week": F.weekday(t),
+        "day_name": F.date_format(F.to_date(t), "EEEE"),
+        "is_weekend": is_weekend(t),
+        "year_month": month_label(t),
+        "year_week": F.concat(F.lpad(F.year(t), 4, "0"), F.lit("-W"), sunday_week(t)),
+    }
+
+
+def with_time_features(df: DataFrame, ts: str = "order_date") -> DataFrame:
+    return df.withColumns(time_features(ts))

@@ -8,10 +8,13 @@ three columns of the stored orders. Applying the statistics is then a scan with
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallymart.functions import narrow
 from tallymart.functions.calendar import moment, with_time_features
 from tallymart.functions.numeric import MONEY, clip, nan_to_null, percent_even, round_half_even
 from tallymart.operators.ranks import weighted_quantiles
@@ -41,23 +44,32 @@ def coerce_types(df: DataFrame, params: Params = Params()) -> DataFrame:
     return df.withColumns({n: c for n, c in parsed.items() if n in present})
 
 
+def least_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], counts: dict[str, Column]) -> DataFrame:
+    """The first row of each group by ``order``, a null after every value, with the group's counts.
+
+    The least row of a group is found map-side first, so a key that repeats without end sends one
+    row per input partition through the shuffle.
+    """
+    fields = [df.schema[c] for c in order]
+    # a null comes after every value
+    cells = [c for i, (cell, nullable) in enumerate(narrow.packed(fields))
+             for c in ([F.isnull(cell).alias(f"none{i}")] * nullable + [cell.alias(f"cell{i}")])]
+    found = df.groupBy(*keys).agg(F.min(F.struct(*cells)).alias("_first"), *(c.alias(n) for n, c in counts.items()))
+    names = [n for n in found.schema["_first"].dataType.names if n.startswith("cell")]
+    place = narrow.unpacked(fields, [F.col(f"_first.{n}") for n in names])
+    return found.select(*(place.get(c, F.col(c)).alias(c) for c in df.columns), *counts)
+
+
 def drop_duplicate_orders(
     df: DataFrame, order_by: tuple[str, ...] = Params.duplicate_order, copies: str | None = None
 ) -> DataFrame:
     """Keep one row per order id: the first by ``order_by``, then by all other columns.
 
-    The least row of an id is found map-side first, so an id that repeats without end sends one row
-    per input partition through the shuffle. ``copies`` names a column for how many rows the id had.
+    ``copies`` names a column for how many rows the id had.
     """
     first = list(order_by)
     order = first + [c for c in df.columns if c not in {*first, "order_id"}]
-    # a null comes after every value
-    least = F.min(F.struct(*(f(F.col(c)).alias(f"{k}{i}") for i, c in enumerate(order)
-                             for k, f in (("none", F.isnull), ("cell", lambda cell: cell)))))
-    found = df.groupBy("order_id").agg(least.alias("_first"), F.count(F.lit(1)).alias("_copies"))
-    place = {c: f"_first.cell{i}" for i, c in enumerate(order)}
-    cells = [F.col(place.get(c, c)).alias(c) for c in df.columns]
-    return found.select(*cells, *([F.col("_copies").alias(copies)] if copies else []))
+    return least_rows(df, ["order_id"], order, {copies: F.count(F.lit(1))} if copies else {})
 
 
 def _filled_label(params: Params) -> Column:

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallymart.functions import narrow
 from tallymart.functions.calendar import moment, with_time_features
-from tallymart.operators.cleaning import drop_duplicate_orders
+from tallymart.operators.cleaning import least_rows
 from tallymart.operators.filters import completed
 from tallymart.params import Params
 from tallymart.sources import csv_ranges
@@ -99,9 +100,14 @@ def _by_month(df: DataFrame) -> DataFrame:
     """Bring the rows of a month together for writing.
 
     A rebalance, unlike a repartition, lets adaptive execution split a month that holds a third
-    of all orders into many tasks and merge small months into one.
+    of all orders into many tasks and merge small months into one. Rows travel narrow.
     """
-    return df.hint("rebalance", "year_month")
+    slim = narrow.folded(df, ["year_month"])
+    fields = [f for f in slim.schema if f.name != "year_month"]
+    cells = [c.alias(f"_{i}") for i, (c, _) in enumerate(narrow.packed(fields))]
+    moved = slim.select("year_month", *cells).hint("rebalance", "year_month")
+    back = narrow.unpacked(fields, [F.col(f"_{i}") for i in range(len(cells))])
+    return narrow.unfolded(moved.select("year_month", *(c.alias(n) for n, c in back.items())), df.columns)
 
 
 def write_orders(df: DataFrame, path: str) -> None:
@@ -126,19 +132,34 @@ def insert_new_orders(df: DataFrame, table: str) -> DataFrame:
 
     Returns what was rejected: order_id, order_date and a ``reason``, one of ``missing`` (an id or a
     date), ``repeated`` (another copy of the id went in) and ``exists``. The table is read in one column.
+    One pass over the load makes it unique and counts what is missing: orders without an id are
+    groups by their date.
     """
     spark = df.sparkSession
-    rows = stage(df, "incoming")
-    missing = functools.reduce(Column.__or__, (F.col(c).isNull() for c in REQUIRED))
-    unique = drop_duplicate_orders(rows.filter(~missing), copies="_copies")
-    present = spark.table(table).select("order_id", F.lit(True).alias("_exists"))
-    known = stage(unique.join(present.distinct(), "order_id", "left"), "known")
-    insert_orders(known.filter("_exists is null").drop("_exists", "_copies"), table)
-    place = ("order_id", "order_date")
-    again = known.select(*place, F.explode(F.array_repeat(F.lit("repeated"), (F.col("_copies") - 1).cast("int"))).alias("reason"))
+    no_id = F.col("order_id").isNull()
+    date = F.when(no_id, F.coalesce(F.col("order_date").cast("string"), F.lit(""))).otherwise("-")
+    rows = narrow.folded(df).withColumn("_date", date)
+    order = ["order_date", *(c for c in rows.columns if c not in ("order_id", "order_date", "_date"))]
+    counts = {"_copies": F.count("order_date"), "_undated": F.count_if(F.col("order_date").isNull())}
+    unique = least_rows(rows, ["order_id", "_date"], order, counts)
+    # the same keys, so that unique rows are not shuffled once more
+    present = spark.table(table).select("order_id").distinct().select(
+        "order_id", F.when(no_id, "").otherwise("-").alias("_date"), F.lit(True).alias("_exists")
+    )
+    known = stage(unique.join(present, ["order_id", "_date"], "left"), "known")
+    keyed = known.filter(~no_id & (F.col("_copies") > 0))
+    insert_orders(narrow.unfolded(keyed.filter("_exists is null"), df.columns), table)
+
+    def rejected(rows: DataFrame, reason: str, times: Column) -> DataFrame:
+        cells = F.explode(F.array_repeat(F.lit(reason), times.cast("int"))).alias("reason")
+        return rows.select("order_id", "order_date", cells)
+
+    nothing = F.lit(None).cast(df.schema["order_date"].dataType)
     return functools.reduce(DataFrame.unionByName, [
-        rows.filter(missing).select(*place, F.lit("missing").alias("reason")),
-        again, known.filter("_exists").select(*place, F.lit("exists").alias("reason")),
+        rejected(known.filter(no_id), "missing", F.col("_copies") + F.col("_undated")),
+        rejected(known.filter(~no_id).withColumn("order_date", nothing), "missing", F.col("_undated")),
+        rejected(keyed, "repeated", F.col("_copies") - 1),
+        keyed.filter("_exists").select("order_id", "order_date", F.lit("exists").alias("reason")),
     ])
 
 
