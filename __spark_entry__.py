@@ -181,8 +181,11 @@ def insert_new_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two overlapping loads into a keyed table: rows of it and rejected ones by month."""
     table = f"orders_{uuid.uuid4().hex}"
     schema.create_order_table(spark, table, scratch_path(spark, "keyed-orders"))
-    lines = with_time_features(orders.order_lines(spark, sf_dir))
-    loads = lines.filter("order_date < timestamp_ntz '1998-01-01'"), lines.filter("order_date >= timestamp_ntz '1997-01-01'")
+    # A load reads the orders of its own days; a day more at its ends has room for any hour.
+    early, late = (
+        with_time_features(orders.order_lines(spark, sf_dir, days=days)) for days in ((None, "1998-01-02"), ("1996-12-31", None))
+    )
+    loads = early.filter("order_date < timestamp_ntz '1998-01-01'"), late.filter("order_date >= timestamp_ntz '1997-01-01'")
     rejected = [files.insert_new_orders(load, table) for load in loads]
     reasons = rejected[0].unionByName(rejected[1]).groupBy(F.date_format("order_date", "yyyy-MM").alias("year_month")).agg(
         F.count_if(F.col("reason") == "repeated").alias("repeated"), F.count_if(F.col("reason") == "exists").alias("existing")

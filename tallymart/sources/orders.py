@@ -37,7 +37,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-Days = tuple[str, str]
+Days = tuple[str | None, str | None]
 
 
 def _order_headers(
@@ -47,7 +47,8 @@ def _order_headers(
     headers = _table(spark, sf_dir, "orders")
     if days:
         first, last = (F.lit(day).cast("timestamp_ntz") for day in days)
-        headers = headers.filter((F.col("o_orderdate") >= first) & (F.col("o_orderdate") <= last))
+        headers = headers.filter(F.col("o_orderdate") >= first) if days[0] else headers
+        headers = headers.filter(F.col("o_orderdate") <= last) if days[1] else headers
     if wanted & (_FROM_CUSTOMER | _FROM_NATION):
         customer = _table(spark, sf_dir, "customer")
         headers = headers.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
@@ -95,7 +96,8 @@ def order_lines(
     """Order lines with the asked-for columns.
 
     ``days``, a first and a last day, limits the scan of the orders: the hours that the view adds
-    to the stored day never leave it. Lines without such an order are then left out.
+    to the stored day never leave it. Lines without such an order are then left out. Either day may
+    be None.
 
     Every dimension hangs on by a left join on its primary key. Such a join neither drops nor
     repeats a line, so dimensions that supply none of the columns are not joined at all. Small
