@@ -405,8 +405,8 @@ def _order_queries() -> dict[str, Query]:
         "sales_forecast_by_category": _over_orders(
             forecast.sales_forecast, "category", keys=("category",)
         ),
-        "sales_forecast_in_blocks": sales_forecast_in_blocks,
-        "event_series_grid": event_series_grid,
+        "sales_forecast_in_blocks": _importable(sales_forecast_in_blocks),
+        "event_series_grid": _importable(event_series_grid),
         "forecast_total": forecast_total,
         "forecast_overlay": forecast_overlay,
         "rfm": _over_orders(rfm.rfm, *who),
