@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tallymart.llm.rows import doc_id
 from tallymart.llm.text import blocks
-from tallymart.llm.tokens import END_ID, encoder, tokenizer_path
+from tallymart.llm.tokens import ENCODE_BYTES, END_ID, encoder, tokenizer_path
 
 BLOCK_IDS = 1 << 16
 LEVEL = 3
@@ -59,11 +59,12 @@ def join_planes(planes: list[bytes], n: int, unit: str) -> np.ndarray:
             if plane:
                 row[:] = np.frombuffer(plane, np.uint8)
         return np.ascontiguousarray(table.T).view("<u4").ravel()
-    bits = np.zeros((32, n), np.uint8)
-    for row, plane in zip(bits, planes):
+    ids = np.zeros(n, "<u4")
+    for place, plane in enumerate(planes):
         if plane:
-            row[:] = np.unpackbits(np.frombuffer(plane, np.uint8), count=n, bitorder="little")
-    return np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little").view("<u4").ravel()
+            bits = np.unpackbits(np.frombuffer(plane, np.uint8), count=n, bitorder="little")
+            ids |= bits.astype("<u4") << np.uint32(place)
+    return ids
 
 
 def _index(kept: list[tuple[int, list[int]]], documents: list[tuple[int | None, int]]) -> bytes:
@@ -85,7 +86,7 @@ def _index(kept: list[tuple[int, list[int]]], documents: list[tuple[int | None,
 def _write_shard(
     batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, unit: str, block_ids: int
 ) -> Iterator[pa.RecordBatch]:
-    encode = encoder(tokenizer_path(tokenizer)).encode
+    encode = encoder(tokenizer_path(tokenizer)).encode_block
     part = TaskContext.get().partitionId()
     store, root = fs.FileSystem.from_uri(folder)
     name = f"{part:08d}-{uuid.uuid4().hex}.ids"
@@ -110,13 +111,11 @@ def _write_shard(
         if batch.num_rows and out is None:
             store.create_dir(root, recursive=True)
             out = store.open_output_stream(f"{root}/{name}")
-        for block in blocks(batch, "text"):
-            found = encode(block.column("text").to_pylist())
-            for doc_id, data in zip(block.column("doc_id").to_pylist(), found):
-                ids = np.append(np.frombuffer(data, "<u4"), np.uint32(END_ID))
-                documents.append((doc_id, len(ids)))
-                waiting.append(ids)
-                total += len(ids)
+        for block in blocks(batch, "text", ENCODE_BYTES):
+            ids, counts = encode(block.column("text"), END_ID)
+            documents += zip(block.column("doc_id").to_pylist(), counts.tolist())
+            waiting.append(ids)
+            total += len(ids)
             flush(block_ids)
     if out is not None:
         flush(1)

@@ -73,6 +73,34 @@ def test_units_give_the_ids_of_the_whole_text(pair, text):
     assert got == plain.encode(text, add_special_tokens=False).ids
 
 
+@settings(deadline=None, max_examples=100)
+@given(st.lists(st.none() | _ODD, max_size=8))
+def test_a_block_gives_the_ids_of_each_of_its_texts(pair, some):
+    own, plain = pair
+    ids, counts = own.encode_block(pa.array([*some, "cut off"], pa.string())[:-1], 0)
+    wanted = [[*plain.encode(text or "", add_special_tokens=False).ids, 0] for text in some]
+    assert counts.tolist() == list(map(len, wanted))
+    assert ids.tolist() == sum(wanted, [])
+
+
+def test_a_word_is_encoded_once_whatever_marks_follow(monkeypatch):
+    own, asked = Encoder(tokenizer_path()), []
+    for units in (own.spaced, own.bare):
+        monkeypatch.setattr(units, "tokens", lambda word, do=units.tokens: asked.append(word) or do(word))
+        monkeypatch.setattr(units, "_encode", lambda text, do=units._encode: asked.append(text) or do(text))
+    own.encode(["a wordy wordy, wordy.### wordy!!\nwordy wordy###", "b wordy### wordy.\nwordy"] * 2)
+    assert sorted(asked) == sorted({"a", "b", "\u0120wordy", "wordy", ",", ".###", "!!", "###", ".", "\n"})
+
+
+def test_units_in_use_are_not_forgotten(monkeypatch):
+    monkeypatch.setattr("tallymart.llm.tokens.REMEMBERED", 4)
+    own, asked = Encoder(tokenizer_path()), []
+    monkeypatch.setattr(own.spaced, "tokens", lambda word, do=own.spaced.tokens: asked.append(word) or do(word))
+    for fresh in ("one", "two", "three", "four", "five", "six"):
+        own.encode([f"and so on {fresh}"])
+    assert sorted(asked) == sorted("\u0120" + word for word in "so on one two three four five six".split())
+
+
 def test_units_are_forgotten_without_harm(pair, monkeypatch):
     own, plain = pair
     monkeypatch.setattr("tallymart.llm.tokens.REMEMBERED", 2)
