@@ -88,8 +88,9 @@ def test_a_word_is_encoded_once_whatever_marks_follow(monkeypatch):
     for units in (own.spaced, own.bare):
         monkeypatch.setattr(units, "tokens", lambda word, do=units.tokens: asked.append(word) or do(word))
         monkeypatch.setattr(units, "_encode", lambda text, do=units._encode: asked.append(text) or do(text))
-    own.encode(["a wordy wordy, wordy.### wordy!!\nwordy wordy###", "b wordy### wordy.\nwordy"] * 2)
-    assert sorted(asked) == sorted({"a", "b", "\u0120wordy", "wordy", ",", ".###", "!!", "###", ".", "\n"})
+    own.encode([" wordy wordy, wordy.### wordy!!\nwordy wordy###", " wordy### wordy.\nwordy"] * 2)
+    assert sorted(text for text in asked if "wordy" in text) == ["wordy", "\u0120wordy"]
+    assert sorted(asked) == sorted(set(asked))
 
 
 def test_units_in_use_are_not_forgotten(monkeypatch):
@@ -97,7 +98,7 @@ def test_units_in_use_are_not_forgotten(monkeypatch):
     own, asked = Encoder(tokenizer_path()), []
     monkeypatch.setattr(own.spaced, "tokens", lambda word, do=own.spaced.tokens: asked.append(word) or do(word))
     for fresh in ("one", "two", "three", "four", "five", "six"):
-        own.encode([f"and so on {fresh}"])
+        own.encode([f" so on {fresh}"])
     assert sorted(asked) == sorted("\u0120" + word for word in "so on one two three four five six".split())
 
 
