@@ -28,7 +28,7 @@ from pyspark.sql.types import LongType
 
 from tallymart.llm.rows import doc_id
 from tallymart.llm.text import blocks, mix
-from tallymart.llm.tokens import END_ID, encoder, tokenizer_path
+from tallymart.llm.tokens import ENCODE_BYTES, END_ID, encoder, tokenizer_path
 from tallymart.sources.staging import stage
 
 DIMENSIONS = 3
@@ -73,22 +73,20 @@ def hilbert_key(points: np.ndarray, bits: int = BITS) -> np.ndarray:
 
 
 def _encode(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[pa.RecordBatch]:
-    encode = encoder(tokenizer_path(tokenizer)).encode
+    encode = encoder(tokenizer_path(tokenizer)).encode_block
     compress = zstandard.ZstdCompressor(level=1).compress
     bucket = (mix(np.arange(1 << 16, dtype=np.uint64)) % np.uint64(BUCKETS)).astype(np.int64)
     directions = projection()[bucket]
-    end = np.array([END_ID], "<u4").tobytes()
     for batch in batches:
-        for block in blocks(batch, "text"):
-            found = [ids + end for ids in encode(block.column("text").to_pylist())]
-            counts = np.array([len(ids) // 4 for ids in found], np.int64)
-            ids = np.frombuffer(b"".join(found), "<u4")
-            sums = np.add.reduceat(directions[ids & 0xFFFF], np.cumsum(counts) - counts)
+        for block in blocks(batch, "text", ENCODE_BYTES):
+            ids, counts = encode(block.column("text"), END_ID)
+            begins = np.cumsum(counts) - counts
+            sums = np.add.reduceat(directions[ids & 0xFFFF], begins)
             axes = (sums / np.sqrt(counts)[:, None]).astype(np.float64)
             yield pa.RecordBatch.from_arrays(
                 [block.column("row"), block.column("doc_id"), pa.array(counts)]
                 + [pa.array(axes[:, i]) for i in range(DIMENSIONS)]
-                + [pa.array([compress(ids) for ids in found], pa.binary())],
+                + [pa.array([compress(own.tobytes()) for own in np.split(ids, begins[1:])], pa.binary())],
                 names=["row", "doc_id", "doc_tokens", *AXES, "ids"],
             )
 
