@@ -21,7 +21,7 @@ from tallymart.operators import (
 from tallymart.params import Params
 from tallymart.plans import batch, catalogue
 from tallymart.sources import files, orders, schema
-from tallymart.sources.staging import scratch_path
+from tallymart.sources.staging import scratch_path, shuffles_released, stage, staging
 
 
 def _is_installed(name: str) -> bool:
@@ -92,10 +92,12 @@ def scan_csv_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dedup_input_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files that hold late orders first; of each order the copy that comes first in them stays."""
-    path = scratch_path(spark, "late-first")
+    path = f"{scratch_path(spark, 'late-first')}.gz"
     late_first = [F.desc_nulls_last(c) for c in ("order_date", *schema.ORDER_COLUMNS)]
-    lines = orders.dirty_order_lines(spark, sf_dir).repartitionByRange(*late_first)
-    files.write_csv(lines.sortWithinPartitions(*late_first), path)
+    # The ranges are found and dealt from stored lines, after the shuffles of the joins are gone.
+    with staging(spark), shuffles_released(spark):
+        lines = stage(orders.dirty_order_lines(spark, sf_dir), "lines").repartitionByRange(*late_first)
+        files.write_csv(lines.sortWithinPartitions(*late_first), path)
     loaded = cleaning.coerce_types(files.read_csv(spark, path, ordered=True))
     return cleaning.drop_duplicate_orders(loaded, files.INPUT_ORDER).select(*schema.ORDER_COLUMNS)
 

@@ -90,10 +90,13 @@ def _cell(field: T.StructField, params: Params) -> Column:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Write a folder of CSV parts; nulls are empty cells, moments keep their fractions."""
+    """Write a folder of CSV parts; nulls are empty cells, moments keep their fractions.
+
+    A folder whose name ends in ``.gz`` gets compressed parts, each of which is read by one task.
+    """
     moments = {f.name: F.col(f.name).cast("string") for f in df.schema if _is_moment(f)}
     df = df.withColumns(moments) if moments else df
-    df.write.mode("overwrite").options(**CSV_STYLE).csv(path)
+    df.write.mode("overwrite").options(**CSV_STYLE).csv(path, compression="gzip" if path.endswith(".gz") else "none")
 
 
 def _by_month(df: DataFrame) -> DataFrame:

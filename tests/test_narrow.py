@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 import uuid
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -15,7 +17,7 @@ import __spark_entry__ as registry
 from tallymart.functions import narrow
 from tallymart.functions.calendar import time_features, with_time_features
 from tallymart.operators import cleaning, long_series
-from tallymart.sources import files, schema
+from tallymart.sources import files, schema, staging
 
 ODD = ["", "a", "a\x00", "a\x00b", "a\x01", "a\x01\x01", "a\x01\x02\x00", "a\x02", "ab", "\x00", "\x01", "2", "é", None]
 
@@ -90,6 +92,51 @@ def test_files_of_late_orders_follow_the_input(spark, monkeypatch):
     assert "REPARTITION_BY_COL" in plan and "REPARTITION_BY_NUM" not in plan
 
 
+def test_late_orders_are_dealt_without_the_joins_and_leave_compressed_files_alone(spark, monkeypatch):
+    """What the joins shuffled and the lines that were stored for the ranges are gone when the files are read."""
+    seen, paths, before = [], [], shuffle_files(spark)
+    real = files.write_csv
+    monkeypatch.setattr(files, "write_csv", lambda df, path: (seen.append(df), paths.append(path), real(df, path)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        registry.queries()["dedup_input_order"](spark, SF_DIR)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    stored = [Path(p.removeprefix("file:")) for p in seen[0].inputFiles()]
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and stored and not any(p.exists() for p in stored)
+    folder = Path(paths[0].removeprefix("file:"))
+    assert list(folder.glob("part-*.csv.gz")) and not list(folder.glob("part-*.csv"))
+    assert not left_after(spark, before)
+
+
+def shuffle_files(spark) -> set[str]:
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    found = disk.getAllFiles()
+    names = (found.apply(i).getName() for i in range(found.size()))
+    return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+def left_after(spark, before: set[str]) -> set[str]:
+    """Files are deleted in the background."""
+    for _ in range(50):
+        left = shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.2)
+    return left
+
+
+def test_a_write_releases_its_shuffles(spark, tmp_path):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = shuffle_files(spark), spark.conf.get(setting, None)
+    with pytest.raises(KeyError), staging.shuffles_released(spark):
+        spark.range(1000).repartition(4).write.parquet(str(tmp_path / "t"))
+        raise KeyError
+    assert not left_after(spark, before) and spark.conf.get(setting, None) == was
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 1000
+
+
 def test_blocks_are_not_copied_for_each_set(spark):
     blocks, by_block = long_series._fitted(_points(spark, _values(200)), [], P, 14)
     assert by_block.count() == blocks.count() == 15
