@@ -83,10 +83,15 @@ def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_csv_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One file whose product cells hold a line break, commas and quotes, read by many tasks."""
+    """Files whose product cells hold a line break, commas and quotes, each read by many tasks.
+
+    There is one for each core, so that all write and every file is long enough for many ranges.
+    """
     path = scratch_path(spark, "raw-csv")
     odd = F.concat("product", F.lit('\nsay "'), "city", F.lit('", '), "order_id")
-    files.write_csv(orders.raw_text_lines(spark, sf_dir).withColumn("product", odd).coalesce(1), path)
+    lines = orders.raw_text_lines(spark, sf_dir).withColumn("product", odd)
+    with shuffles_released(spark):
+        files.write_csv(lines.coalesce(spark.sparkContext.defaultParallelism), path)
     return cleaning.coerce_types(files.read_csv(spark, path))
 
 

@@ -51,7 +51,7 @@ def clip(value: Column, low: float, high: float) -> Column:
 
 
 def nan_to_null(value: Column) -> Column:
-    return F.when(~F.isnan(value), value)
+    return F.nullif(value, F.lit(float("nan")))  # works the value out once
 
 
 def amount(name: str = "final_amount") -> Column:

@@ -6,8 +6,9 @@ every range to a map: the state at its end if it begins outside a cell, and if i
 Such a map keeps, flips or sets the state, and a running composition over the ranges of a file
 gives the true state at each range's start. The second pass joins lines to records from there.
 A record that crosses the end of a range comes in fragments, one from each range, which are put
-together by a third, small step. Both passes see lines in file order within a range and hold one
-record at a time.
+together by a third, small step; they are cut out in a pass of their own over the ranges that have
+any. All passes see lines in file order within a range, work on a batch of lines in Arrow kernels and
+hold no more than that and one record.
 
 A quote opens a cell only at the cell's start, is doubled within it, and what follows a closing
 quote belongs to the cell up to the next comma. An unclosed cell reaches to the end of its file.
@@ -33,6 +34,11 @@ _RECORDS = "file string, block long, row long, kind string, record string"
 _KINDS = {"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_()}
 _END = (1 << 63) - 1  # behind all ranges
 
+# Lines that end outside a cell, if they begin outside and if they begin inside; see ``ends_inside``.
+_CLOSES = r'(?:[^"]|"")*"(?:[^",][^,]*)?'
+_CELL = f'(?:"{_CLOSES}|(?:[^",][^,]*)?)'
+_ENDS_OUTSIDE = f"^{_CELL}(?:,{_CELL})*$", f"^{_CLOSES}(?:,{_CELL})*$"
+
 
 def _closed(line: str, at: int) -> int:
     """Behind the quote that closes a cell whose text begins at ``at``; -1 if none does."""
@@ -59,6 +65,22 @@ def ends_inside(line: str, inside: bool) -> bool:
     return False
 
 
+def _line_maps(lines: pa.Array) -> list[np.ndarray]:
+    """``ends_inside`` of all lines, if they begin outside a cell and if they begin inside."""
+    cells = lines.cast(pa.binary())
+    return [~pc.match_substring_regex(cells, form).to_numpy(zero_copy_only=False) for form in _ENDS_OUTSIDE]
+
+
+def _after(maps: list[np.ndarray], inside: bool) -> np.ndarray:
+    """The state at the end of each line, of which the first begins in the state ``inside``."""
+    outer, inner = maps
+    flips = np.cumsum(outer & ~inner)
+    # the last line that sets the state, whatever it was, and the flips since then
+    last = np.maximum.accumulate(np.where(outer == inner, np.arange(len(outer)), -1))
+    since = flips - np.where(last < 0, 0, flips[last])
+    return np.where(last < 0, inside, outer[last]) ^ (since % 2 == 1)
+
+
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.option("lineSep", "\n").text(path)
     return lines.select(
@@ -89,8 +111,8 @@ def _range_maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if current:
                 yield _batch([(*current, *states)], _MAPS)
             current, states = (file, block), (False, True)
-        for line in lines.to_pylist():
-            states = tuple(ends_inside(line, s) for s in states)
+        maps = _line_maps(lines)
+        states = tuple(bool(_after(maps, state)[-1]) for state in states)
     if current:
         yield _batch([(*current, *states)], _MAPS)
 
@@ -123,50 +145,78 @@ def _left_open(lines: DataFrame) -> dict[str, list[tuple[int, int]]]:
 
 
 def _records(
-    batches: Iterator[pa.RecordBatch], left_open: dict[str, list[tuple[int, int]]], names: list[str] | None
+    batches: Iterator[pa.RecordBatch], left_open: dict[str, list[tuple[int, int]]], names: list[str] | None, crossing: bool = False
 ) -> Iterator[pa.RecordBatch]:
-    """Records, and fragments of those that cross the ends of ranges.
+    """Records that lie within a range or, if ``crossing``, the fragments of those that cross its ends.
 
     ``kind`` is ``head`` for the header of a file, ``whole`` for other records, ``open`` for the first
     fragment of a record, ``on`` for one that does not end it and ``end`` for the last.
     """
     current, inside, lead, row, pending = None, False, False, 0, []
 
-    def leave() -> list[tuple]:
-        return [(*current, row, "on" if lead else "open", "\n".join(pending))] if pending else []
+    def fragment(kind: str, record: str) -> pa.RecordBatch:
+        return _batch([(*current, row, kind, record)], _RECORDS)
+
+    def leave() -> Iterator[pa.RecordBatch]:
+        if pending and crossing:
+            yield fragment("on" if lead else "open", "\n".join(pending))
 
     for file, block, lines in _runs(batches):
-        out: list[tuple] = []
         if current != (file, block):
-            out += leave()
-            inside = any(after < block <= until for after, until in left_open.get(file, []))
+            yield from leave()
+            opened = left_open.get(file, [])
+            inside = any(after < block <= until for after, until in opened)
+            crosses = inside or any(after == block for after, _ in opened)
             current, lead, row, pending = (file, block), inside, 0, []
-        if not (inside or pc.any(pc.match_substring(lines, '"')).as_py()) and (row or block):
-            plain = lines.filter(pc.not_equal(pc.utf8_trim_whitespace(lines), ""))
-            plain = pc.replace_substring_regex(plain, pattern=r"\r$", replacement="")
-            n = len(plain)
-            yield _batch(out, _RECORDS)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([file] * n, pa.string()), pa.array(np.full(n, block)), pa.array(np.arange(row, row + n)),
-                 pa.array(["whole"] * n, pa.string()), plain],
-                names=_names(_RECORDS),
-            )
+        if crossing and not crosses:
+            continue
+        before, after = inside, np.full(len(lines), inside)
+        if pc.any(pc.match_substring(lines, '"')).as_py():
+            after = _after(_line_maps(lines), inside)
+        inside = bool(after[-1])
+        ends = np.flatnonzero(~after)
+        if not len(ends):
+            pending += lines.to_pylist()
+            continue
+        # a line of blanks is no record, but may belong to one
+        alone = ~np.concatenate([[before], after[:-1]])[ends]
+        blank = pc.equal(pc.utf8_trim_whitespace(lines.take(pa.array(ends))), "").to_numpy(zero_copy_only=False)
+        keep = ~(alone & blank)
+        n, behind = int(keep.sum()), int(ends[-1]) + 1
+        first, pending, led = pending, lines[behind:].to_pylist(), lead
+        lead = False
+        if crossing:
+            if led:
+                yield fragment("end", "\n".join([*first, *lines[: int(ends[0]) + 1].to_pylist()]).removesuffix("\r"))
             row += n
             continue
-        for line in lines.to_pylist():
-            if '"' in line:
-                inside = ends_inside(line, inside)
-            if inside:
-                pending.append(line)
-            elif pending or lead or line.strip():
-                kind = "end" if lead else "whole" if row or block else "head"
-                record = "\n".join([*pending, line.removesuffix("\r")])
-                if kind == "head" and names is not None and header(record) != names:
-                    raise ValueError(f"{file} has other columns: {record[:200]}")
-                out.append((*current, row, kind, record))
-                row, pending, lead = row + 1, [], False
-        yield _batch(out, _RECORDS)
-    yield _batch(leave(), _RECORDS)
+        texts = lines[:behind]
+        if len(ends) < behind:
+            starts = pa.array(np.concatenate([[0], ends + 1]), pa.int32())
+            texts = pc.binary_join(pa.ListArray.from_arrays(starts, texts), "\n")
+        if first:
+            whole = "\n".join([*first, texts[0].as_py()])
+            texts = pa.concat_arrays([pa.array([whole], texts.type), texts[1:]])
+        if n < len(ends):
+            texts = texts.filter(pa.array(keep))
+        if pc.any(pc.ends_with(texts, "\r")).as_py():
+            texts = pc.replace_substring_regex(texts, pattern=r"\r$", replacement="")
+        numbers, kinds = np.arange(row, row + n), pa.repeat(pa.scalar("whole"), n)
+        row += n
+        if led:  # the end of a record that began in an earlier range
+            texts, numbers, kinds = texts[1:], numbers[1:], kinds[1:]
+        elif n and not (numbers[0] or block):
+            record = texts[0].as_py()
+            if names is not None and header(record) != names:
+                raise ValueError(f"{file} has other columns: {record[:200]}")
+            kinds = pa.concat_arrays([pa.array(["head"]), kinds[1:]])
+        n = len(texts)
+        yield pa.RecordBatch.from_arrays(
+            [pa.repeat(pa.scalar(file, pa.string()), n), pa.repeat(pa.scalar(block, pa.int64()), n), pa.array(numbers, pa.int64()),
+             kinds, texts.cast(pa.string())],
+            names=_names(_RECORDS),
+        )
+    yield from leave()
 
 
 def _joined_fragments(parts: DataFrame) -> DataFrame:
@@ -190,11 +240,11 @@ def records(spark: SparkSession, path: str, names: list[str] | None = None) -> D
     """
     lines = _lines(spark, path)
     left_open = _left_open(lines)
-    found = lines.mapInArrow(functools.partial(_records, left_open=left_open, names=names), _RECORDS)
-    if not left_open:
-        return found
-    whole = F.col("kind").isin("whole", "head")
-    return found.filter(whole).unionByName(_joined_fragments(found.filter(~whole)))
+
+    def found(crossing: bool) -> DataFrame:
+        return lines.mapInArrow(functools.partial(_records, left_open=left_open, names=names, crossing=crossing), _RECORDS)
+
+    return found(False).unionByName(_joined_fragments(found(True))) if left_open else found(False)
 
 
 def header(record: str) -> list[str]:

@@ -6,14 +6,17 @@ import csv
 import io
 import random
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+import __spark_entry__ as registry
 from tallymart.operators.cleaning import coerce_types, drop_duplicate_orders
 from tallymart.params import Params
 from tallymart.sources import csv_ranges, files
 from tallymart.sources.schema import ORDER_COLUMNS, ORDER_SCHEMA, RAW_TEXT_SCHEMA
+from tests.conftest import SF_DIR
 
 
 @pytest.fixture
@@ -139,3 +142,76 @@ def test_typed_cells_are_those_of_the_plain_reader(spark, tmp_path, small_ranges
     plain = files.read_csv(spark, path, ORDER_SCHEMA, line_breaks=False)
     assert split.schema == plain.schema
     assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect())) and split.count() == 50
+
+
+def batched(rows: list[tuple], cuts: set[int]):
+    edges = [0, *sorted(c for c in cuts if c < len(rows)), len(rows)]
+    for a, b in zip(edges, edges[1:]):
+        file, block, value = zip(*rows[a:b]) if a < b else ((), (), ())
+        columns = [pa.array(file, pa.string()), pa.array(block, pa.int64()), pa.array(value, pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, names=["file", "block", "value"])
+
+
+LINES = st.lists(st.text(alphabet='a",\r \u3000é', max_size=8), min_size=1, max_size=12)
+
+
+@settings(deadline=None, max_examples=300)
+@given(LINES, st.sets(st.integers(1, 11)), st.sets(st.integers(1, 11)))
+def test_lines_of_a_batch_at_once_as_one_by_one(lines, ranges, cuts):
+    """The states, the maps of the ranges, and all records and fragments, with ranges and batches cut anywhere."""
+    for maps, inside in zip(csv_ranges._line_maps(pa.array(lines)), (False, True)):
+        assert maps.tolist() == [csv_ranges.ends_inside(line, inside) for line in lines]
+    starts = [0, *sorted(c for c in ranges if c < len(lines))]
+    block = [max(s for s in starts if s <= i) for i in range(len(lines))]
+    rows = [("f", b, line) for b, line in zip(block, lines)]
+    inside, parts, number, wanted, left = False, [], {}, [], []
+    for i, (_, b, line) in enumerate(rows):
+        if not parts:
+            begun = inside
+        parts.append(line)
+        inside = csv_ranges.ends_inside(line, inside)
+        last = i + 1 == len(rows) or block[i + 1] != b
+        if not inside and not begun and len(parts) == 1 and not line.strip():
+            parts = []
+        elif not inside or last:
+            kind = ("on" if begun else "open") if inside else "end" if begun else "head" if not (b or number.get(b)) else "whole"
+            record = "\n".join(parts)
+            wanted.append(("f", b, number.get(b, 0), kind, record if inside else record.removesuffix("\r")))
+            number[b], parts = number.get(b, 0) + 1, []
+        if inside and last:
+            left.append((b, min((s for s in starts if s > b), default=csv_ranges._END)))
+    found = {
+        crossing: [tuple(r.values()) for out in csv_ranges._records(batched(rows, cuts), {"f": left}, None, crossing) for r in out.to_pylist()]
+        for crossing in (False, True)
+    }
+    fragments = ("open", "on", "end")
+    assert found[False] == [r for r in wanted if r[3] not in fragments]
+    assert found[True] == [r for r in wanted if r[3] in fragments]
+    for out in csv_ranges._range_maps(batched(rows, cuts)):
+        for row in out.to_pylist():
+            own = [line for b, line in zip(block, lines) if b == row["block"]]
+            ends = []
+            for state in (False, True):
+                for line in own:
+                    state = csv_ranges.ends_inside(line, state)
+                ends.append(state)
+            assert ends == [row["from_outside"], row["from_inside"]]
+
+
+def test_all_tasks_write_the_files_with_breaks(spark, monkeypatch):
+    seen = []
+    real = files.write_csv
+    monkeypatch.setattr(files, "write_csv", lambda df, path: seen.append(df) or real(df, path))
+    registry.queries()["scan_csv_breaks"](spark, SF_DIR)
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition 1," not in plan and f"Repartition {spark.sparkContext.defaultParallelism}, false" in plan
+
+
+def test_compressed_parts_keep_the_order_of_the_input(spark, make_orders, tmp_path):
+    rows = make_orders(*({"order_id": f"O{i % 7}", "quantity": i, "product": 'a\n"b", c'} for i in range(50)))
+    path = str(tmp_path / "late.gz")
+    files.write_csv(rows.coalesce(1), path)
+    assert all(p.name.endswith(".csv.gz") for p in (tmp_path / "late.gz").glob("part-*"))
+    raw = coerce_types(files.read_csv(spark, path, ordered=True))
+    kept = drop_duplicate_orders(raw, files.INPUT_ORDER).collect()
+    assert sorted((r["order_id"], r["quantity"], r["product"]) for r in kept) == [(f"O{i}", i, 'a\n"b", c') for i in range(7)]
