@@ -89,8 +89,9 @@ def scan_csv_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     path = scratch_path(spark, "raw-csv")
     odd = F.concat("product", F.lit('\nsay "'), "city", F.lit('", '), "order_id")
-    lines = orders.raw_text_lines(spark, sf_dir).withColumn("product", odd)
-    with shuffles_released(spark):
+    # The files are written from stored lines, after the shuffles of the joins are gone.
+    with staging(spark), shuffles_released(spark):
+        lines = stage(orders.raw_text_lines(spark, sf_dir), "lines").withColumn("product", odd)
         files.write_csv(lines.coalesce(spark.sparkContext.defaultParallelism), path)
     return cleaning.coerce_types(files.read_csv(spark, path))
 
